@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from candlewick.operators.clean import KEY, value_columns
 from candlewick.operators.quantiles import exact_quantiles
+from candlewick.session import stored
 
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 
@@ -83,11 +84,12 @@ def _on_key(left: str, right: str, key: Sequence[str]) -> Column:
 def duplicated_rows(df: DataFrame, key: Sequence[str] = tuple(KEY)) -> DataFrame:
     """All copies of keys that occur more than once.
 
-    The repeated keys come from a pre-aggregated count; the rows meet them in a
-    semi join, which adaptive execution broadcasts when small and otherwise
-    splits at hot keys. No window gathers the copies of a key.
+    The repeated keys come from a pre-aggregated count and are stored, so Spark
+    knows their size: a short list is broadcast and the rows need no shuffle; a
+    long one is sort-merged, split at hot keys by adaptive execution. No window
+    gathers the copies of a key.
     """
-    repeated = key_counts(df, key).filter("n_rows > 1").select(*key)
+    repeated = stored(key_counts(df, key).filter("n_rows > 1").select(*key), "repeated-keys")
     return df.alias("rows").join(repeated.alias("repeated"), _on_key("rows", "repeated", key), "left_semi")
 
 

@@ -4,7 +4,8 @@ The built-in ``percentile`` keeps all distinct values of a group in one task.
 Here a sketch gives cut points near the wanted quantiles, values are counted in
 narrow bins between the cut points, and only the bins that hold a wanted rank
 are looked at value by value. The counts are exact, so a poor sketch costs time
-but never changes the result.
+but never changes the result. Cut points and bins are a few rows per group; they
+are stored, because a sketch may come out differently when computed again.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from candlewick.session import stored
+
 BINS = 4096
 
 
@@ -42,7 +45,7 @@ def exact_quantiles(
     n_cuts = len(near) + 2
     segment = " + ".join(f"int(_v >= _cuts[{i}])" for i in range(1, n_cuts - 1))
     binned = (
-        rows.join(cuts, keys)
+        rows.join(stored(cuts, "cuts"), keys)
         .withColumn("_seg", F.expr(segment))
         .withColumn("_low", F.expr("_cuts[_seg]"))
         .withColumn("_width", F.expr("_cuts[_seg + 1] - _low"))
@@ -67,6 +70,7 @@ def exact_quantiles(
         .withColumn("_rank", F.explode(F.expr("array_distinct(array(floor(_at), least(floor(_at) + 1, _total - 1)))")))
         .filter("_rank >= _start AND _rank < _end")
     )
+    targets = stored(targets, "ranks")
     bins = targets.select(*place, "_start").distinct()
     in_bin = Window.partitionBy(*place).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     values = (
