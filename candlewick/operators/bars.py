@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from candlewick.operators.ordering import GRAIN_MICROS
 from candlewick.schemas import VALUE_COLUMNS
+from candlewick.session import stored
 
 # Bar sizes by name.
 INTERVALS = {
@@ -79,21 +80,23 @@ def last_n_bars(
 
     Large ``n`` first drops the minutes that lie before the last ``n`` rows,
     found from row counts per minute, so the ranking sees few more rows than it
-    keeps.
+    keeps. The list of first minutes, one per key, is stored so that Spark knows
+    whether it can be broadcast.
     """
     rows = df.filter(F.col(order).isNotNull())
     if n > GROUP_LIMIT_ROWS:
-        grain = F.floor(F.unix_micros(order) / F.lit(GRAIN_MICROS))
-        rows = rows.withColumn("_grain", grain)
+        rows = rows.withColumn("_grain", F.floor(F.unix_micros(order) / F.lit(GRAIN_MICROS)))
         later = Window.partitionBy(*key).orderBy(F.desc("_grain")).rowsBetween(Window.unboundedPreceding, -1)
-        kept = (
+        first = (
             rows.groupBy(*key, "_grain")
             .agg(F.count(F.lit(1)).alias("_rows"))
             .withColumn("_later", F.coalesce(F.sum("_rows").over(later), F.lit(0)))
             .filter(F.col("_later") < n)
-            .select(*key, "_grain")
+            .groupBy(*key)
+            .agg(F.min("_grain").alias("_first"))
         )
-        rows = rows.join(kept, [*key, "_grain"], "left_semi").drop("_grain")
+        rows = rows.join(stored(first, "first-minutes"), list(key)).filter("_grain >= _first")
+        rows = rows.select(*df.columns)
     newest = Window.partitionBy(*key).orderBy(F.desc(order))
     return rows.withColumn("_rank", F.row_number().over(newest)).filter(F.col("_rank") <= n).drop("_rank")
 

@@ -37,9 +37,13 @@ class Smoothing:
     alpha: float
     out: str
 
+    @property
+    def base(self) -> float:
+        return 1.0 - self.alpha
+
     @property
     def decay(self) -> float:
-        return -math.log1p(-self.alpha)
+        return -math.log(self.base)
 
 
 def span_alpha(span: float) -> float:
@@ -50,17 +54,18 @@ def block_rows(alphas: Sequence[float], reach: int = 0) -> int:
     """Rows per block: small enough for the fastest decay, else large against ``reach``."""
     if not alphas:
         return max(8192, 8 * reach)
-    fastest = max(-math.log1p(-alpha) for alpha in alphas)
+    fastest = max(Smoothing("", alpha, "").decay for alpha in alphas)
     return max(1, min(MAX_BLOCK_ROWS, int(LOCAL_WEIGHT_RANGE / fastest)))
 
 
-def _weight(decay: float, distance: str) -> str:
-    return f"exp({-decay!r}D * ({distance}))"
+def _weight(spec: Smoothing, distance: str) -> str:
+    return f"pow({spec.base!r}D, {distance})"
 
 
 def _mean(spec: Smoothing, numerator: str) -> str:
     """Weighted mean from the weighted sum: the weights of rows 0 to ``_pos`` have a closed form."""
-    return f"({numerator}) * {spec.alpha!r}D / -expm1({-spec.decay!r}D * (_pos + 1))"
+    weights = f"(1 - {_weight(spec, '_pos + 1')}) / {1 - spec.base!r}D"
+    return f"({numerator}) / ({weights})"
 
 
 def _steps(specs: Sequence[Smoothing], size: int) -> int:
@@ -76,7 +81,7 @@ def _fan_out(ends: DataFrame, steps: int) -> DataFrame:
 
 def _arriving(spec: Smoothing, size: int) -> Column:
     """Sum of what earlier blocks bring into a block, in weights of the row before its first."""
-    weight = _weight(spec.decay * size, "_step - 1")
+    weight = _weight(spec, f"{size} * (_step - 1)")
     return F.expr(f"sum(if(_step > 0, _end_{spec.out} * {weight}, 0D)) AS _carry_{spec.out}")
 
 
@@ -106,28 +111,28 @@ def _smooth(
     to_end = f"{size - 1} - {local}"
     value = {s.out: f"coalesce({s.source}, 0D)" for s in specs}
 
-    def running_sum(column: str, decay: float) -> str:
-        return f"sum({column} * {_weight(-decay, local)}) {running} * {_weight(decay, local)}"
+    def running_sum(column: str, spec: Smoothing) -> str:
+        return f"sum({column} * {_weight(spec, f'-{local}')}) {running} * {_weight(spec, local)}"
 
-    def numerator(out: str, decay: float) -> str:
-        return f"coalesce(_carry_{out}, 0D) * {_weight(decay, f'{local} + 1')} + _own_{out}"
+    def numerator(spec: Smoothing) -> str:
+        return f"coalesce(_carry_{spec.out}, 0D) * {_weight(spec, f'{local} + 1')} + _own_{spec.out}"
 
-    sums = rows.selectExpr("*", *[f"{running_sum(value[s.out], s.decay)} AS _own_{s.out}" for s in specs])
-    block_sums = [f"sum({value[s.out]} * {_weight(s.decay, to_end)}) AS _end_{s.out}" for s in specs]
+    sums = rows.selectExpr("*", *[f"{running_sum(value[s.out], s)} AS _own_{s.out}" for s in specs])
+    block_sums = [f"sum({value[s.out]} * {_weight(s, to_end)}) AS _end_{s.out}" for s in specs]
     if signal_alpha is None:
         ends = sums.groupBy(*block).agg(*map(F.expr, block_sums))
         carry = _fan_out(ends, _steps(specs, size)).groupBy(*block).agg(*[_arriving(s, size) for s in specs])
         joined = sums.join(carry, block, "left")
-        return joined.selectExpr(*rows.columns, *[f"{_mean(s, numerator(s.out, s.decay))} AS {s.out}" for s in specs])
+        return joined.selectExpr(*rows.columns, *[f"{_mean(s, numerator(s))} AS {s.out}" for s in specs])
 
     signal = Smoothing("macd", signal_alpha, "_signal")
     lines = specs[:2]
     fast, slow = lines
-    share = _weight(signal.decay, to_end)
+    share = _weight(signal, to_end)
     gap = f"({_mean(fast, f'_own_{fast.out}')} - {_mean(slow, f'_own_{slow.out}')})"
     block_sums.append(f"sum({gap} * {share}) AS _own_end")
     for s in lines:
-        block_sums.append(f"sum({_mean(s, _weight(s.decay, f'{local} + 1'))} * {share}) AS _factor_{s.out}")
+        block_sums.append(f"sum({_mean(s, _weight(s, f'{local} + 1'))} * {share}) AS _factor_{s.out}")
     ends = sums.groupBy(*block).agg(*map(F.expr, block_sums))
     carried = [f"_carry_{s.out}" for s in specs]
     kept = ["_own_end", *[f"_factor_{s.out}" for s in lines]]
@@ -140,11 +145,11 @@ def _smooth(
     carry = carry.agg(_arriving(signal, size), *map(_staying, carried))
 
     means = sums.join(carry, block, "left").selectExpr(
-        *rows.columns, *[f"{_mean(s, numerator(s.out, s.decay))} AS {s.out}" for s in specs], "_carry__signal"
+        *rows.columns, *[f"{_mean(s, numerator(s))} AS {s.out}" for s in specs], "_carry__signal"
     )
     with_line = means.selectExpr("*", f"{fast.out} - {slow.out} AS macd")
-    own = with_line.selectExpr("*", f"{running_sum('macd', signal.decay)} AS _own__signal")
-    return own.selectExpr("*", f"{_mean(signal, numerator('_signal', signal.decay))} AS _signal")
+    own = with_line.selectExpr("*", f"{running_sum('macd', signal)} AS _own__signal")
+    return own.selectExpr("*", f"{_mean(signal, numerator(signal))} AS _signal")
 
 
 def _with_move(rows: DataFrame, key: Sequence[str], order: str) -> DataFrame:

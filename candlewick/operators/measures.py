@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -68,7 +69,7 @@ def route_measures(
     replay gives the same records; ``processing_time`` takes the clock instead.
     """
     spark = messages.sparkSession
-    config = spark.createDataFrame([tuple(route) for route in routes], ROUTE_SCHEMA)
+    config = spark.createDataFrame(pa.table({n: [getattr(r, n) for r in routes] for n in Route._fields}), ROUTE_SCHEMA)
     text = F.col("value").cast("string")
     fields = F.from_json(text, "map<string,string>")
     found = (

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from candlewick.session import stored
+
 CHUNK_CHARS = 1000
 CHUNK_OVERLAP = 200
 
@@ -162,15 +164,13 @@ def vector_topk(
     Vectors whose length differs from the queries' are not compared.
     """
     asked = queries.select(query_id, embedding).filter(F.col(embedding).isNotNull())
-    stored = vectors.select(vector_id, embedding).filter(F.col(embedding).isNotNull())
-    schema = T.StructType(
-        [asked.schema[query_id], stored.schema[vector_id], T.StructField("score", T.DoubleType())]
-    )
+    known = vectors.select(vector_id, embedding).filter(F.col(embedding).isNotNull())
+    schema = T.StructType([asked.schema[query_id], known.schema[vector_id], T.StructField("score", T.DoubleType())])
     few = asked.limit(broadcast_queries + 1).toArrow()
     if few.num_rows <= broadcast_queries:
-        partial = _against_broadcast(few, stored, k, schema)
+        partial = _against_broadcast(few, known, k, schema)
     else:
-        partial = _against_blocks(asked, stored, k, schema, broadcast_queries)
+        partial = _against_blocks(asked, known, k, schema, broadcast_queries)
     ranked = Window.partitionBy(query_id).orderBy(F.desc("score"), vector_id)
     return partial.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k)
 
@@ -213,14 +213,14 @@ def _against_blocks(
     left = queries.withColumn("_q", block_of(query_id, query_blocks)).withColumn("_v", each(vector_blocks))
     right = vectors.withColumn("_v", block_of(vector_id, vector_blocks)).withColumn("_q", each(query_blocks))
 
-    def search(asked: pd.DataFrame, stored: pd.DataFrame) -> pd.DataFrame:
-        if asked.empty or stored.empty:
+    def search(asked: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        if asked.empty or known.empty:
             return pd.DataFrame({name: [] for name in names})
         matrix = np.stack(asked[embedding]).astype(np.float64)
-        stored = stored[stored[embedding].map(len) == matrix.shape[1]]
+        known = known[known[embedding].map(len) == matrix.shape[1]]
         best = _Candidates(asked[query_id].to_numpy(), matrix, k)
-        if len(stored):
-            best.add(stored[vector_id].to_numpy(), np.stack(stored[embedding]).astype(np.float64))
+        if len(known):
+            best.add(known[vector_id].to_numpy(), np.stack(known[embedding]).astype(np.float64))
         return best.frame(names)
 
     return left.groupBy("_q", "_v").cogroup(right.groupBy("_q", "_v")).applyInPandas(search, schema)
@@ -235,8 +235,12 @@ def retrieve(
     text: str = "text",
     source: str = "source_uri",
 ) -> DataFrame:
-    """Top chunks per query: rank, score, text (empty when missing) and location."""
-    top = vector_topk(queries, vectors, k, query_id, vector_id)
+    """Top chunks per query: rank, score, text (empty when missing) and location.
+
+    The hits are stored before their texts are fetched: a short list is then
+    broadcast, and the texts are scanned without a shuffle.
+    """
+    top = stored(vector_topk(queries, vectors, k, query_id, vector_id), "hits")
     return top.join(vectors.select(vector_id, text, source), vector_id, "left").select(
         query_id,
         "rank",
