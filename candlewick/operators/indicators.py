@@ -18,10 +18,11 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.functions.scalars import to_number
+from candlewick.operators.clean import drop_incomplete
 from candlewick.operators.ordering import own_rows, spread_to_blocks, with_position
 
 LOCAL_WEIGHT_RANGE = 150 * math.log(10)  # weights inside a block span at most 150 decimal orders
@@ -152,6 +153,34 @@ def _smooth(
     return own.selectExpr("*", f"{_mean(signal, numerator(signal))} AS _signal")
 
 
+def _with_trailing_mean(rows: DataFrame, key: Sequence[str], order: str, n: int, out: str) -> DataFrame:
+    """Add the mean of ``_x`` over the last ``n`` rows of the block.
+
+    A sliding frame adds up all ``n`` values for every row. Here a short frame
+    gives sums of about sqrt(n) rows, and the long sum is put together from
+    those of earlier rows; nothing is ever subtracted. The number of values
+    comes from a running count.
+    """
+    quoted = ", ".join(f"`{name}`" for name in [*key, "_block"])
+    over = f"(PARTITION BY {quoted} ORDER BY `{order}`"
+    width = max(1, math.isqrt(n))
+    pieces = n // width
+    parts = [f"sum(_x) OVER {over} ROWS BETWEEN {width - 1} PRECEDING AND CURRENT ROW) AS _piece"]
+    if n > pieces * width:
+        frame = f"ROWS BETWEEN {n - 1} PRECEDING AND {pieces * width} PRECEDING"
+        parts.append(f"coalesce(sum(_x) OVER {over} {frame}), 0D) AS _rest")
+    else:
+        parts.append("0D AS _rest")
+    parts.append(f"count(_x) OVER {over} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS _count")
+    pieces_sum = " + ".join(
+        ["coalesce(_piece, 0D)", *[f"coalesce(lag(_piece, {i * width}) OVER {over}), 0D)" for i in range(1, pieces)]]
+    )
+    total, count = f"{pieces_sum} + _rest AS _sum", f"_count - coalesce(lag(_count, {n}) OVER {over}), 0L) AS _values"
+    return rows.selectExpr("*", *parts).selectExpr(*rows.columns, total, count).selectExpr(
+        *rows.columns, f"try_divide(_sum, _values) AS {out}"
+    )
+
+
 def _with_move(rows: DataFrame, key: Sequence[str], order: str) -> DataFrame:
     """Add ``_gain`` and ``_loss`` against the previous row; both 0 in the first row."""
     quoted = ", ".join(f"`{name}`" for name in key)
@@ -168,7 +197,7 @@ def _rsi_value(no_loss: float | None) -> str:
 
 def _series(df: DataFrame, column: str, key: Sequence[str], order: str) -> DataFrame:
     known = df.select(*key, order, to_number(column).alias("_x"))
-    return known.dropna(how="any", subset=[*key, order])
+    return drop_incomplete(known, [*key, order])
 
 
 def _attach(df: DataFrame, result: DataFrame, key: Sequence[str], order: str, outputs: Sequence[str]) -> DataFrame:
@@ -189,9 +218,7 @@ def sma(
     out = out or f"sma_{n}"
     size = block_rows([], n - 1)
     rows = spread_to_blocks(with_position(_series(df, col, key, order), key, order), size, n - 1)
-    trailing = Window.partitionBy(*key, "_block").orderBy(order).rowsBetween(-(n - 1), 0)
-    mean = F.avg("_x").over(trailing)
-    result = own_rows(rows.withColumn("_mean", mean), size).withColumn(
+    result = own_rows(_with_trailing_mean(rows, key, order, n, "_mean"), size).withColumn(
         out, F.when(F.col("_pos") + 1 >= min_rows, F.col("_mean"))
     )
     return _attach(df, result, key, order, [out])
@@ -304,8 +331,7 @@ def all_indicators(
     reach = max(periods.sma - 1, 1)
     sma_out, ema_out, rsi_out = periods.outputs[:3]
     rows = spread_to_blocks(with_position(_series(df, "close", key, order), key, order), size, reach)
-    trailing = Window.partitionBy(*key, "_block").orderBy(order).rowsBetween(-(periods.sma - 1), 0)
-    moved = _with_move(rows.withColumn(sma_out, F.avg("_x").over(trailing)), key, order)
+    moved = _with_move(_with_trailing_mean(rows, key, order, periods.sma, sma_out), key, order)
     specs = [
         Smoothing("_x", alphas[1], "_fast"),
         Smoothing("_x", alphas[2], "_slow"),

@@ -48,7 +48,8 @@ def with_position(
         running = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         ranked = ranked.withColumn("_local_seen", F.count(count_values).over(running))
         drop += ["_local_seen", "_seen_start"]
-    placed = ranked.join(starts, [*key, "_grain"]).withColumn("_pos", F.col("_start") + F.col("_rank"))
+    # Every row has its grain's start; a left join adds no filters that would tell the branches apart.
+    placed = ranked.join(starts, [*key, "_grain"], "left").withColumn("_pos", F.col("_start") + F.col("_rank"))
     if count_values:
         placed = placed.withColumn("_seen", F.col("_seen_start") + F.col("_local_seen"))
     return placed.drop(*drop)

@@ -119,11 +119,11 @@ def describe_by(
     ]
     group = [key, "column"]
     if approximate:
-        sketches = [F.percentile_approx("value", p).alias(name) for name, p in QUARTILES.items()]
-        stats = long.groupBy(*group).agg(*basic, *sketches)
+        sketch = F.percentile_approx("value", list(QUARTILES.values())).alias("_sketch")
+        stats = long.groupBy(*group).agg(*basic, sketch)
+        stats = stats.withColumns({name: F.col("_sketch")[i] for i, name in enumerate(QUARTILES)})
     else:
-        quartiles = exact_quantiles(long, group, "value", list(QUARTILES.values()), list(QUARTILES))
-        stats = long.groupBy(*group).agg(*basic).join(quartiles, group, "left")
+        stats = exact_quantiles(long, group, "value", list(QUARTILES.values()), list(QUARTILES), also=basic)
     floats = ["mean", "std", "min", *QUARTILES, "max"]
     return stats.select(*group, "count", *[F.bround(name, 6).alias(name) for name in floats])
 

@@ -12,12 +12,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlewick.session import stored
 
-BINS = 4096
+BINS = 1024  # per segment in which a wanted rank is expected
 
 
 def exact_quantiles(
@@ -27,31 +27,42 @@ def exact_quantiles(
     probs: Sequence[float],
     names: Sequence[str],
     accuracy: int = 1000,
+    also: Sequence[Column] = (),
 ) -> DataFrame:
-    """One row per key with the given quantiles, linear between neighbouring ranks."""
+    """One row per key with the given quantiles, linear between neighbouring ranks.
+
+    ``also`` are further aggregates of the same column, taken in the first scan.
+    Groups without values have null quantiles.
+    """
     keys = list(keys)
-    rows = df.select(*keys, F.col(column).alias("_v")).filter("_v IS NOT NULL")
+    rows = df.select(*keys, column).withColumn("_v", F.col(column))
     margin = 2.0 / accuracy
     near = sorted({min(max(p + side * margin, 0.0), 1.0) for p in probs for side in (-1, 1)})
-    cuts = (
-        rows.groupBy(*keys)
-        .agg(
-            F.min("_v").alias("_min"),
-            F.max("_v").alias("_max"),
-            F.percentile_approx("_v", near, accuracy).alias("_near"),
-        )
-        .select(*keys, F.expr("array_sort(concat(array(_min), _near, array(_max)))").alias("_cuts"))
+    summary = rows.groupBy(*keys).agg(
+        F.min("_v").alias("_min"),
+        F.max("_v").alias("_max"),
+        F.percentile_approx("_v", near, accuracy).alias("_near"),
+        *also,
     )
+    extras = [name for name in summary.columns if name not in (*keys, "_min", "_max", "_near")]
+    cut_points = F.expr("array_sort(concat(array(_min), _near, array(_max)))").alias("_cuts")
+    summary = stored(summary.select(*keys, cut_points, *extras), "cuts")
     n_cuts = len(near) + 2
     segment = " + ".join(f"int(_v >= _cuts[{i}])" for i in range(1, n_cuts - 1))
+    edges = [0.0, *near, 1.0]
+    expected = [i for i in range(n_cuts - 1) if any(edges[i] <= p <= edges[i + 1] for p in probs)]
+    in_expected = f"_seg IN ({', '.join(map(str, expected))})"
     binned = (
-        rows.join(stored(cuts, "cuts"), keys)
+        rows.filter("_v IS NOT NULL")
+        .join(summary.select(*keys, "_cuts"), keys)
         .withColumn("_seg", F.expr(segment))
         .withColumn("_low", F.expr("_cuts[_seg]"))
         .withColumn("_width", F.expr("_cuts[_seg + 1] - _low"))
         .withColumn(
             "_bin",
-            F.expr(f"if(_width > 0, int(least(floor((_v - _low) / _width * {BINS}), {BINS - 1})), 0)"),
+            F.expr(
+                f"if(_width > 0 AND {in_expected}, int(least(floor((_v - _low) / _width * {BINS}), {BINS - 1})), 0)"
+            ),
         )
         .select(*keys, "_seg", "_bin", "_v")
     )
@@ -82,8 +93,9 @@ def exact_quantiles(
     )
     found = targets.join(values, place).filter("_rank >= _from AND _rank < _upto")
     share = "1 - abs(_at - _rank)"  # the two ranks around the wanted place share the weight
-    return (
+    quantiles = (
         found.withColumn("_part", F.expr(f"_v * ({share})"))
         .groupBy(*keys)
         .agg(*[F.expr(f"sum(if(_name = '{name}', _part, NULL)) AS {name}") for name in names])
     )
+    return summary.drop("_cuts").join(quantiles, keys, "left")

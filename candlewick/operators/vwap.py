@@ -7,10 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from candlewick.operators.clean import drop_incomplete
+
 
 def priced(df: DataFrame) -> DataFrame:
     """Rows with both close and volume; a row without a close must not add its volume to the divisor."""
-    return df.dropna(how="any", subset=["close", "volume"])
+    return drop_incomplete(df, ["close", "volume"])
 
 
 def vwap_value(value: Column | str, volume: Column | str) -> Column:
@@ -24,26 +26,28 @@ def vwap(df: DataFrame, keys: Sequence[str] = ("symbol",), keep_unpriced: bool =
     return rows.groupBy(*keys).agg(vwap_value(F.col("close") * F.col("volume"), "volume").alias("vwap"))
 
 
+PANES_FROM = 10  # windows per row
+
+
 def vwap_windows(
     df: DataFrame, minutes: int = 5, slide_minutes: int = 1, keep_unpriced: bool = False
 ) -> DataFrame:
     """VWAP per symbol and sliding window.
 
-    Rows are first summed per slide-wide pane; the panes, not the rows, are
-    copied into the windows that cover them.
+    When a row falls into many windows, rows are first summed per slide-wide
+    pane, and the panes, not the rows, are copied into the windows.
     """
     if minutes % slide_minutes:
         raise ValueError("the window must be a multiple of the slide")
-    rows = (df if keep_unpriced else priced(df)).filter(F.col("datetime").isNotNull())
-    panes = (
-        rows.withColumn("_pane", F.window("datetime", f"{slide_minutes} minutes").start)
-        .groupBy("symbol", "_pane")
-        .agg(F.sum(F.col("close") * F.col("volume")).alias("_value"), F.sum("volume").alias("_volume"))
-    )
-    starts = f"sequence(_pane - interval {minutes - slide_minutes} minutes, _pane, interval {slide_minutes} minutes)"
+    rows = df if keep_unpriced else priced(df)
+    traded = rows.select("symbol", "datetime", F.expr("close * volume AS _value"), F.col("volume").alias("_volume"))
+    if minutes >= PANES_FROM * slide_minutes:
+        pane = F.window("datetime", f"{slide_minutes} minutes").start
+        sums = [F.sum(name).alias(name) for name in ("_value", "_volume")]
+        traded = traded.groupBy("symbol", pane.alias("datetime")).agg(*sums)
     return (
-        panes.withColumn("window_start", F.explode(F.expr(starts)))
-        .groupBy("symbol", "window_start")
+        traded.groupBy("symbol", F.window("datetime", f"{minutes} minutes", f"{slide_minutes} minutes"))
         .agg(vwap_value("_value", "_volume").alias("vwap"))
-        .select("window_start", F.expr(f"window_start + interval {minutes} minutes").alias("window_end"), "symbol", "vwap")
+        .select("window.start", "window.end", "symbol", "vwap")
+        .toDF("window_start", "window_end", "symbol", "vwap")
     )

@@ -103,13 +103,14 @@ def test_sliding_vwap_lies_between_low_and_high(spark):
         assert min(inside) - 1e-9 <= window["vwap"] <= max(inside) + 1e-9
 
 
-def test_sliding_vwap_equals_direct_windows(spark):
+@pytest.mark.parametrize("minutes", [5, 30])
+def test_sliding_vwap_equals_direct_windows(spark, minutes):
     df = ticks(spark, [("a", at(1, 0, m), float(m), 1.0 + m % 5) for m in range(0, 50, 3)])
-    direct = df.groupBy(F.window("datetime", "5 minutes", "1 minute"), "symbol").agg(
+    direct = df.groupBy(F.window("datetime", f"{minutes} minutes", "1 minute"), "symbol").agg(
         F.try_divide(F.sum(F.col("close") * F.col("volume")), F.sum("volume")).alias("vwap")
     )
     expected = {(r["window"]["start"], round(r["vwap"], 9)) for r in direct.collect()}
-    assert {(r["window_start"], round(r["vwap"], 9)) for r in V.vwap_windows(df).collect()} == expected
+    assert {(r["window_start"], round(r["vwap"], 9)) for r in V.vwap_windows(df, minutes).collect()} == expected
 
 
 def parsed(spark, raw, **options):

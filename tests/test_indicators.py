@@ -32,6 +32,24 @@ def test_sma_can_wait_for_enough_rows(series):
     assert values(I.sma(series([1, 2, 3]), n=2, out="m", min_rows=2), "m") == [None, 1.5, 2.5]
 
 
+@pytest.mark.parametrize("n", [1, 2, 3, 16, 17, 200, 1500])
+def test_sma_equals_rolling_mean_with_gaps(series, n):
+    rng = np.random.default_rng(n)
+    closes = [None if rng.random() < 0.2 else float(v) for v in rng.uniform(1, 9, 3000)]
+    result = I.sma(series(closes), n=n, out="m")
+    expected = pd.Series(closes, dtype=float).rolling(n, min_periods=1).mean()
+    assert np.allclose(np.array(values(result, "m"), dtype=float), expected, equal_nan=True)
+
+
+@pytest.mark.parametrize("size", [10, 64])
+def test_trailing_mean_does_not_depend_on_block_size(series, size):
+    closes = [1e15, *np.random.default_rng(4).uniform(1, 9, 300)]
+    rows = spread_to_blocks(with_position(series(closes).withColumnRenamed("close", "_x")), size, 29)
+    means = own_rows(I._with_trailing_mean(rows, ["symbol"], "datetime", 30, "m"), size)
+    expected = [np.mean(closes[max(0, i - 29) : i + 1]) for i in range(301)]
+    assert np.allclose(values(means, "m"), expected, rtol=1e-14)
+
+
 def test_ema_of_constant_is_constant(series):
     result = values(I.ema(series([5] * 20_100), span=9), "ema_9")
     assert all(math.isclose(value, 5.0, rel_tol=1e-12) for value in result)
