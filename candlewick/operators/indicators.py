@@ -191,7 +191,8 @@ def _with_move(rows: DataFrame, key: Sequence[str], order: str) -> DataFrame:
 
 
 def _rsi_value(no_loss: float | None) -> str:
-    value = "100 - 100 / (1 + _avg_gain / nullif(_avg_loss, 0D))"
+    """RSI from the averages; null without loss, or when both are too small to be divided."""
+    value = "if(greatest(_avg_gain, _avg_loss) > 1e-290D, 100 - 100 / (1 + _avg_gain / nullif(_avg_loss, 0D)), NULL)"
     return value if no_loss is None else f"coalesce({value}, {float(no_loss)!r}D)"
 
 

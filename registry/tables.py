@@ -201,12 +201,17 @@ def gap_check(spark, folder):
 
 @query(
     "missing_days",
-    f"""WITH {_ORDERS}, spans AS (SELECT symbol, min(datetime) AS a, max(datetime) AS b FROM dates GROUP BY symbol),
+    """WITH dates AS (
+    SELECT c_nationkey AS symbol, o_orderdate AS datetime FROM orders JOIN customer ON o_custkey = c_custkey),
+spans AS (SELECT symbol, min(datetime) AS a, max(datetime) AS b FROM dates GROUP BY symbol),
 spine AS (SELECT symbol, unnest(generate_series(a, b, INTERVAL 1 DAY)) AS datetime FROM spans)
 SELECT symbol, datetime FROM spine ANTI JOIN dates USING (symbol, datetime)""",
 )
 def missing_days(spark, folder):
-    return Q.missing_days(_dates(spark, folder))
+    """Days between a nation's first and last order without any order."""
+    customers = views.table(spark, folder, "customer").selectExpr("c_custkey AS symbol", "c_nationkey")
+    dates = _dates(spark, folder).join(customers, "symbol").selectExpr("c_nationkey AS symbol", "datetime")
+    return Q.missing_days(dates)
 
 
 @query(
