@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from candlewick.functions.scalars import format_symbol
 from candlewick.operators.ordering import GRAIN_MICROS
 from candlewick.schemas import VALUE_COLUMNS
 from candlewick.session import stored
@@ -101,9 +102,23 @@ def last_n_bars(
     return rows.withColumn("_rank", F.row_number().over(newest)).filter(F.col("_rank") <= n).drop("_rank")
 
 
-def history(bars: DataFrame, symbol: str, interval: str = "daily", n_bars: int = 10) -> DataFrame:
-    """The last ``n_bars`` bars of one symbol at the given bar size, oldest first."""
-    return last_n_bars(resample(bars.filter(F.col("symbol") == symbol), interval), n_bars).orderBy("datetime")
+def history(
+    bars: DataFrame,
+    symbol: str,
+    interval: str = "daily",
+    n_bars: int = 10,
+    exchange: str | None = None,
+    contract: int | None = None,
+) -> DataFrame:
+    """The last ``n_bars`` bars of one symbol at the given bar size, oldest first.
+
+    With ``exchange`` (and ``contract`` for futures) the symbol is looked up
+    under its full name, ``EXCHANGE:TICKER`` or ``EXCHANGE:TICKER<n>!``.
+    """
+    name = F.lit(symbol)
+    if exchange is not None:
+        name = format_symbol(name, F.lit(exchange), None if contract is None else F.lit(contract))
+    return last_n_bars(resample(bars.filter(F.col("symbol") == name), interval), n_bars).orderBy("datetime")
 
 
 def week_slice(df: DataFrame, symbol: str | None, date: dt.date | str, closed: str = "both") -> DataFrame:

@@ -26,7 +26,10 @@ def require_columns(df: DataFrame, names: Sequence[str] = tuple(BAR_SCHEMA.names
     return df
 
 
-def _coerced(field: T.StructField) -> Column:
+def _coerced(field: T.StructField, found: T.DataType) -> Column:
+    """The column in the wanted type; NaN becomes null also where the type fits."""
+    if field.dataType == found and not isinstance(found, T.DoubleType):
+        return F.col(field.name)
     if isinstance(field.dataType, T.DoubleType):
         return to_number(F.col(field.name))
     if isinstance(field.dataType, T.TimestampType):
@@ -36,9 +39,14 @@ def _coerced(field: T.StructField) -> Column:
 
 def enforce_schema(df: DataFrame, schema: T.StructType = BAR_SCHEMA) -> DataFrame:
     """Cast the schema's columns in place; bad values become null, other columns stay."""
-    fields = {field.name: field for field in schema.fields}
+    wanted = {field.name: field for field in schema.fields}
     return df.select(
-        *[_coerced(fields[name]).alias(name) if name in fields else F.col(f"`{name}`") for name in df.columns]
+        *[
+            _coerced(wanted[found.name], found.dataType).alias(found.name)
+            if found.name in wanted
+            else F.col(f"`{found.name}`")
+            for found in df.schema.fields
+        ]
     )
 
 

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -330,6 +330,9 @@ def all_indicators(
     alphas = [span_alpha(span) for span in (periods.ema, periods.fast, periods.slow, periods.signal)]
     size = block_rows([*alphas, wilder])
     reach = max(periods.sma - 1, 1)
+    if reach > size // 2 and periods.sma > 2:  # too many copies for these blocks: average in larger ones
+        others = all_indicators(df, replace(periods, sma=1), key, order)
+        return sma(others, "close", periods.sma, key=key, order=order).select(*df.columns, *periods.outputs)
     sma_out, ema_out, rsi_out = periods.outputs[:3]
     rows = spread_to_blocks(with_position(_series(df, "close", key, order), key, order), size, reach)
     moved = _with_move(_with_trailing_mean(rows, key, order, periods.sma, sma_out), key, order)

@@ -13,11 +13,16 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Window state of a long backfill belongs on disk, not on the executors' heap.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Set what the operators rely on: UTC session time and adaptive execution."""
+    """Set what the operators rely on: UTC session time, adaptive execution, stream state on disk."""
     for name, value in SETTINGS.items():
         spark.conf.set(name, value)
     return spark

@@ -84,6 +84,12 @@ def test_history_is_one_symbol_oldest_first(spark):
     assert [row["close"] for row in B.history(ticks(spark, rows), "a", "daily", 3).collect()] == [6.0, 7.0, 8.0]
 
 
+def test_history_by_exchange_and_contract(spark):
+    rows = [("NSE:NIFTY1!", at(1), 1.0, 1.0), ("NSE:NIFTY", at(1), 2.0, 1.0), ("NIFTY", at(1), 3.0, 1.0)]
+    close = lambda **names: B.history(ticks(spark, rows), "NIFTY", **names).first()["close"]
+    assert (close(exchange="NSE", contract=1), close(exchange="NSE"), close()) == (1.0, 2.0, 3.0)
+
+
 def test_vwap_values(spark):
     rows = [("a", at(1), 10.0, 1.0), ("a", at(1), 20.0, 3.0), ("z", at(1), 10.0, 0.0), ("n", at(1), 10.0, 1.0), ("n", at(1), None, 9.0)]
     result = {row["symbol"]: row["vwap"] for row in V.vwap(ticks(spark, rows)).collect()}

@@ -163,6 +163,14 @@ def test_dedup_is_independent_of_row_order(spark):
     assert sorted(map(tuple, one)) == sorted(map(tuple, two)) == [("a", 1, 5.0, 3.0), ("b", 1, None, 2.0)]
 
 
+def test_long_average_in_the_indicator_table(series):
+    closes = np.random.default_rng(9).uniform(1, 9, 3000)
+    table = I.all_indicators(series(closes), I.GoldPeriods(sma=1200))
+    assert table.columns == ["symbol", "datetime", "close", *I.GoldPeriods(sma=1200).outputs]
+    assert np.allclose(values(table, "sma_1200"), pd.Series(closes).rolling(1200, min_periods=1).mean())
+    assert np.allclose(values(table, "ema_50"), recursion(closes, 2 / 51))
+
+
 def final_plan(df):
     df.collect()
     return df._jdf.queryExecution().executedPlan().toString()
@@ -175,3 +183,19 @@ def test_no_window_gathers_a_whole_symbol_of_rows(spark):
     assert specs
     for line in specs:
         assert "_rows" in line or "_grain" in line.split("windowspecdefinition(", 1)[1][:40] or "_block" in line
+
+
+def test_rows_are_shuffled_once_for_all_row_windows(spark, tmp_path):
+    """Merging copies happens once for all branches, and the block sums reuse the rows' shuffle."""
+    bars = views.ticks(spark, SMALL).withColumns({name: F.col("close") for name in ("open", "high", "low")})
+    bars.drop("event_id").write.parquet(str(tmp_path / "bars"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = final_plan(gold(spark.read.parquet(str(tmp_path / "bars")))).split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("ReusedExchange") == 2
+    assert plan.count("FileScan") == 2
+    assert "IsNotNull(datetime)" in plan and "IsNotNull(symbol)" in plan
+    by_block = [line for line in plan.splitlines() if "Exchange hashpartitioning(symbol" in line and "_block" in line]
+    assert len([line for line in by_block if "Reused" not in line]) == 3  # rows, sums of blocks, sums of signals

@@ -101,6 +101,21 @@ def test_work_folder_follows_the_cluster_setting(spark):
     assert work_folder(spark, "x") != work_folder(spark, "x")
 
 
+def test_a_cluster_needs_a_shared_work_folder():
+    class Conf:
+        def get(self, name, default=None):
+            return default
+
+    class Context:
+        master = "yarn"
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        work_folder(Session(), "x")
+
+
 def test_kafka_options():
     plain = kafka.connection("host:9092")
     assert plain == {"kafka.bootstrap.servers": "host:9092"}
