@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlewick import views
@@ -232,14 +235,17 @@ def time_scalars(spark, folder):
 @query("late_audit")
 def late_audit(spark, folder):
     """Late rows per micro-batch when the events arrive in three drops that each span the whole time."""
-    drops = work_folder(spark, "drops")
+    staged, inbox, out, checkpoint = (work_folder(spark, name) for name in ("staged", "inbox", "late", "late-checkpoint"))
     events = views.table(spark, folder, "events")
+    events.withColumn("drop", F.pmod(F.hash("event_id"), F.lit(3))).write.partitionBy("drop").parquet(staged)
+    audits = []
     for drop in range(3):
-        events.filter(F.col("event_id") % 3 == drop).coalesce(1).write.mode("append").parquet(drops)
-    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(drops)
-    candles = stream.selectExpr(
-        "event_type AS symbol", "CAST(ts AS timestamp) AS timestamp", "value AS close", "1D AS volume"
-    )
-    query = run_to_files(vwap_stream(candles), work_folder(spark, "late"), work_folder(spark, "late-checkpoint"))
-    query.awaitTermination()
-    return late_rows(spark, query)
+        arriving = spark.read.parquet(staged).filter(F.col("drop") == drop).drop("drop")
+        arriving.write.mode("append").parquet(inbox)
+        candles = spark.readStream.schema(events.schema).parquet(inbox).selectExpr(
+            "event_type AS symbol", "CAST(ts AS timestamp) AS timestamp", "value AS close", "1D AS volume"
+        )
+        query = run_to_files(vwap_stream(candles), out, checkpoint)
+        query.awaitTermination()
+        audits.append(late_rows(spark, query).withColumn("drop", F.lit(drop)))
+    return reduce(DataFrame.union, audits)
