@@ -19,6 +19,7 @@ CHUNK_OVERLAP = 200
 # Queries up to this number go to every task; more are matched block by block.
 BROADCAST_QUERIES = 2048
 VECTORS_PER_BLOCK = 20_000
+SLICE_ROWS = 2048  # vectors scored at a time, which keeps the score matrix small
 
 # Texts of the assistant and the separator between chunks.
 BASE_INSTRUCTION = "Eres un asistente útil que responde preguntas de forma clara y concisa en español."
@@ -124,6 +125,10 @@ class _Candidates:
         self.ids: list[np.ndarray | None] = [None] * len(query_ids)
 
     def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
+        for start in range(0, len(ids), SLICE_ROWS):
+            self._add_slice(ids[start : start + SLICE_ROWS], vectors[start : start + SLICE_ROWS])
+
+    def _add_slice(self, ids: np.ndarray, vectors: np.ndarray) -> None:
         similarity = self.queries @ _unit(vectors).T
         for row, fresh in enumerate(similarity):
             scores = np.concatenate([self.scores[row], fresh])

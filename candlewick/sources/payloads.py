@@ -24,11 +24,12 @@ def parse_bar_payloads(
     """
     others = [name for name in df.columns if name not in (raw, symbol)]
     series = F.regexp_extract(raw, SERIES_PATTERN, 1)
+    number = "try_cast(get(b.v, i) AS double)"
     parsed = (
         df.withColumn("_text", series)
         .filter(F.col("_text") != "")
         .withColumn("_bars", F.from_json(F.concat(F.lit("["), "_text", F.lit("}]")), "array<struct<v:array<string>>>"))
-        .withColumn("_values", F.expr("transform(_bars, b -> transform(sequence(0, 5), i -> try_cast(get(b.v, i) AS double)))"))
+        .withColumn("_values", F.expr(f"transform(_bars, b -> transform(sequence(0, 5), i -> {number}))"))
     )
     broken = "exists(slice(v, 2, 5), x -> x IS NULL)"
     first_broken = f"array_position(transform(_values, v -> {broken}), true)"

@@ -15,7 +15,6 @@ from candlewick.sources.kafka import to_messages, topic_envelope
 from candlewick.streaming.candles import closed_candles, live_candles, parse_candles
 from candlewick.streaming.jobs import drain, late_rows, run_to_files, vwap_stream
 from registry import TICKS_SQL, query
-from registry.series import candle_messages
 
 ROUTES = [M.Route("quotes", "quotes_raw", "close"), M.Route("averages", "vwap_5m", "vwap")]
 

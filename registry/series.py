@@ -10,11 +10,11 @@ from candlewick.operators import indicators as I
 from candlewick.operators import vwap as V
 from candlewick.operators.clean import dedup_bars
 from candlewick.plans.gold import gold
+from candlewick.schemas import VWAP_SCHEMA
 from candlewick.sources.payloads import parse_bar_payloads
 from candlewick.streaming.candles import parse_candles
 from candlewick.streaming.jobs import drain, vwap_messages, vwap_stream
-from candlewick.schemas import VWAP_SCHEMA
-from registry import DAY_SQL, HOUR_SQL, TICKS_SQL, bars_sql, near, near_sql, query, rounded
+from registry import DAY_SQL, HOUR_SQL, TICKS_SQL, bars_sql, near_sql, query, rounded
 
 
 def _ema_sql(value: str, base: str, order: str = "i") -> str:

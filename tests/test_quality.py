@@ -1,10 +1,7 @@
 import datetime as dt
 
 import numpy as np
-import pandas as pd
 import pytest
-from pyspark.sql import functions as F
-
 from candlewick.operators import clean as C
 from candlewick.operators import quality as Q
 from candlewick.operators.quantiles import exact_quantiles
