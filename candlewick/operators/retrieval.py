@@ -194,7 +194,9 @@ def _against_broadcast(queries: pa.Table, vectors: DataFrame, k: int, schema: T.
         for batch in batches:
             if batch.num_rows:
                 best.add(batch.column(0).to_numpy(zero_copy_only=False), _matrix(batch.column(1)))
-        yield pa.RecordBatch.from_pandas(best.frame(names), preserve_index=False)
+        found = best.frame(names)
+        if len(found):
+            yield pa.RecordBatch.from_pandas(found, preserve_index=False)
 
     same_length = vectors.filter(F.size(vectors.columns[1]) == matrix.shape[1])
     return same_length.mapInArrow(search, schema)

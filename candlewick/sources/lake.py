@@ -51,7 +51,8 @@ def csv_to_parquet(
         log.warning("no CSV files below %s: %s", source, error)
         return False
     root = source.split("://", 1)[-1].removeprefix("file:").strip("/")
-    file = F.col("_metadata.file_path")
+    # File paths come as URIs: blanks are encoded, a plus sign is not.
+    file = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     after = F.split_part(file, F.lit(f"/{root}/"), F.lit(2))
     outside = F.raise_error(F.concat(F.lit("file outside the source folder: "), file)).cast("string")
     relative = F.when(F.contains(file, F.lit(f"/{root}/")), after).otherwise(outside)

@@ -59,14 +59,14 @@ def test_replacing_only_found_folders(spark, bars, tmp_path):
 
 
 def test_csv_extension_in_any_case_and_nested(spark, tmp_path):
-    source = tmp_path / "in"
-    for place, name in (("", "a.csv"), ("x", "b.CSV"), ("x/y", "c.Csv"), ("x", "d.txt")):
+    source = tmp_path / "in put"
+    for place, name in (("", "a.csv"), ("x", "b.CSV"), ("x/y", "c.Csv"), ("x", "d.txt"), ("é +z", "100% e.csv")):
         (source / place).mkdir(parents=True, exist_ok=True)
         (source / place / name).write_text("symbol,close\nq,1.5\n")
     assert lake.csv_to_parquet(spark, str(source), str(tmp_path / "out"))
     rows = spark.read.parquet(str(tmp_path / "out")).collect()
     assert sorted((row["rel_dir"] or "", row["source_file"].rsplit("/", 1)[1]) for row in rows) == [
-        ("", "a.csv"), ("x", "b.CSV"), ("x/y", "c.Csv"),
+        ("", "a.csv"), ("x", "b.CSV"), ("x/y", "c.Csv"), ("é +z", "100% e.csv"),
     ]
 
 
