@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import decontaminate, fingerprints, tokens
+from candlewick.llm import chat, decontaminate, fingerprints, jaccard, mixing, tokens, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +35,82 @@ def op1_token_counts(spark, folder):
     return tokens.count_tokens(table(spark, folder, "documents"))
 
 
+_OP3_SQL = r"""
+WITH c AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+    UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok')
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS LAST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS LAST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(14 + length(role) + length(regexp_replace(role, '[^\\#<:]', '', 'g'))
+                + length(text) + length(regexp_replace(text, '[^\\#<]', '', 'g'))) AS BIGINT) AS formatted_chars
+FROM c GROUP BY conv_id"""
+
+
+@query("op3_chat_formatting", _OP3_SQL)
+def op3_chat_formatting(spark, folder):
+    """Every conversation as a chain of replies, formatted and read back."""
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    probe = r"\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", probe), (-7, 1, "assistant", probe)], turns.schema)
+    done = chat.format_trees(chat.chained(turns.unionByName(extra)))
+    turns_back, learned = F.col("turns"), F.array_join(F.col("learned"), "")
+    done = done.withColumn("turns", chat.read_back(F.col("formatted")))
+    done = done.withColumn("learned", chat.masked_texts(F.col("formatted"), F.col("loss_mask")))
+    said = F.array_join(F.transform(turns_back, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    conversation = F.nullif(F.split_part("root", F.lit(":"), F.lit(1)), F.lit("")).cast(turns.schema["conv_id"].dataType)
+    return done.select(
+        conversation.alias("conv_id"),
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(said, 256).alias("turns_sha256"),
+        F.length(learned).cast("long").alias("loss_chars"),
+        F.sha2(learned, 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+_OP4_SQL = r"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents),
+s AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, chr(9))]
+        ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda p: array_to_string(w[p : p + 3], chr(9)))) END AS set
+    FROM d),
+t AS (SELECT doc_id, hash(unnest(set)) AS token FROM s),
+shared AS (SELECT token FROM t GROUP BY 1 HAVING count(*) > 1),
+u AS (SELECT doc_id, token FROM t SEMI JOIN shared USING (token)),
+alive AS (SELECT doc_id, n FROM (SELECT doc_id, len(set) AS n FROM s) JOIN (SELECT doc_id, count(*) AS m FROM u GROUP BY 1) USING (doc_id) WHERE 100 * m >= 85 * n),
+v AS (SELECT u.*, n FROM u JOIN alive USING (doc_id)),
+pairs AS (
+    SELECT a.doc_id AS x, b.doc_id AS y FROM v a JOIN v b ON a.token = b.token AND a.doc_id <> b.doc_id AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+reach AS (SELECT x, y FROM pairs UNION SELECT r.x, p.y FROM reach r JOIN pairs p ON r.y = p.x)
+SELECT s.doc_id, CAST(len(set) AS BIGINT) AS n_shingles, least(s.doc_id, coalesce(min(y), s.doc_id)) AS component_id
+FROM s LEFT JOIN reach ON s.doc_id = reach.x GROUP BY s.doc_id, set"""
+
+
+@query("op4_ngram_jaccard_join", _OP4_SQL)
+def op4_ngram_jaccard_join(spark, folder):
+    """Groups of documents whose four-word shingle sets have a similarity of 0.85 or more."""
+    joined = jaccard.jaccard_join(table(spark, folder, "documents"), k=4, num=85, den=100)
+    return joined.select("doc_id", "n_shingles", "component_id")
+
+
+@query("op5_source_mixing")
+def op5_source_mixing(spark, folder):
+    """Documents mixed so that the sources, weighing 3, 1, 2 in turn, share 150 % of all words."""
+    return mixing.mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken", "rate", "copies")
+
+
+@query("op7_toxicity")
+def op7_toxicity(spark, folder):
+    """Toxicity of every document by subword-bag embeddings, learnt outside the held-out fold."""
+    return toxicity.score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 _OP8_SQL = r"""
 WITH d AS (
     SELECT doc_id, row_number() OVER () AS r,

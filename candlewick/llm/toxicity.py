@@ -27,16 +27,22 @@ REMEMBERED = 400_000
 
 @dataclass
 class Settings:
-    buckets: int = 1 << 17
-    dim: int = 12
+    buckets: int = 1 << 20
+    dim: int = 8
     shortest: int = 3
     longest: int = 5
-    epochs: int = 6
-    rate: float = 0.3
-    batch: int = 16
+    epochs: int = 8
+    rate: float = 0.6
+    batch: int = 32
     #: Labelled rows to learn from at most, and characters of one of them at most; longer texts are not learnt from.
     sample_rows: int = 8_000
     sample_chars: int = 20_000
+    #: A bucket must occur in this many texts of the sample to be learnt.
+    least_texts: int = 12
+    #: How far the classes are made equal in weight: 0 not at all, 1 wholly.
+    balance: float = 0.4
+    #: Empty words averaged into every text, so that one word of a short text does not decide alone.
+    padding: int = 30
     seed: int = 7
 
 
@@ -87,20 +93,20 @@ class Model:
                 known.clear()
                 new = list(words)
             known.update(zip(new, self.word_values(new), strict=True))
-            total = sum(known[word] * n for word, n in words.items()) / max(words.total(), 1)
+            total = sum(known[word] * n for word, n in words.items()) / (words.total() + self.settings.padding)
             out.append(float(1.0 / (1.0 + np.exp(-np.clip(total + self.bias, -60, 60)))))
         return out
 
 
 def _bag(text: str, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of a text and their weights, which add up to 1."""
+    """Buckets of a text and their weights."""
     words = Counter(_WORD.findall(text.lower()))
     if not words:
         return np.zeros(0, np.int64), np.zeros(0, np.float32)
     buckets, counts = subwords(list(words), settings)
     each = np.fromiter(words.values(), dtype=np.float64, count=len(words)) / counts
     at, where = np.unique(buckets, return_inverse=True)
-    return at, (np.bincount(where, np.repeat(each, counts)) / words.total()).astype(np.float32)
+    return at, (np.bincount(where, np.repeat(each, counts)) / (words.total() + settings.padding)).astype(np.float32)
 
 
 def train(texts: list[str], labels: list[int], settings: Settings | None = None) -> Model:
@@ -117,8 +123,12 @@ def train(texts: list[str], labels: list[int], settings: Settings | None = None)
         rate = (y.sum() + 0.5) / (len(y) + 1.0)
         return Model(settings, np.zeros(settings.buckets, np.float32), float(np.log(rate / (1 - rate))))
     share = np.bincount(y, minlength=2) / len(y)
-    importance = (0.5 / share) ** 0.5
+    importance = (0.5 / share) ** settings.balance
     bags = [_bag(text, settings) for text in texts]
+    # A bucket that only a few texts have says nothing of others; without it the table learns what texts share.
+    spread = np.bincount(np.concatenate([at for at, _ in bags]), minlength=settings.buckets)
+    common = spread >= settings.least_texts
+    bags = [(at[common[at]], weight[common[at]]) for at, weight in bags]
     for epoch in range(settings.epochs):
         rate = settings.rate * (1 - epoch / settings.epochs) + 0.02
         order = rng.permutation(len(y))
@@ -155,7 +165,8 @@ def train(texts: list[str], labels: list[int], settings: Settings | None = None)
                 table_sum[some] += (total**2).mean(axis=1)
                 table[some] -= rate * total / np.sqrt(table_sum[some])[:, None]
     direction = soft[:, 1] - soft[:, 0]
-    return Model(settings, (table @ direction).astype(np.float32), float(bias[1] - bias[0]))
+    weights = np.where(common, table @ direction, 0.0)
+    return Model(settings, weights.astype(np.float32), float(bias[1] - bias[0]))
 
 
 def held_out(id_column: Column, folds: int = 5) -> Column:
