@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import chat, decontaminate, fingerprints, jaccard, mixing, tokens, toxicity
+from candlewick.llm import chat, decontaminate, fingerprints, jaccard, mixing, passages, quality, tokens, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -105,6 +105,12 @@ def op5_source_mixing(spark, folder):
     return mixing.mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken", "rate", "copies")
 
 
+@query("op6_quality_classifier")
+def op6_quality_classifier(spark, folder):
+    """Quality of every document from its own text, its source and the source's languages."""
+    return quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query("op7_toxicity")
 def op7_toxicity(spark, folder):
     """Toxicity of every document by subword-bag embeddings, learnt outside the held-out fold."""
@@ -146,6 +152,12 @@ def op8_benchmark_decontamination(spark, folder):
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
 
 
+@query("op9_substring_dedup")
+def op9_substring_dedup(spark, folder):
+    """Passages of fifty or more words that two documents share, exactly or nearly."""
+    return passages.repeated_passages(table(spark, folder, "documents"))
+
+
 @query("op10_merkle_fingerprints")
 def op10_merkle_fingerprints(spark, folder):
     """Merkle fingerprints of every document and of its edited text."""
