@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import chat, decontaminate, fingerprints, jaccard, mixing, passages, quality, tokens, toxicity
+from candlewick.llm import chat, decontaminate, extract, fingerprints, jaccard, mixing, passages, quality, tokens, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +35,12 @@ def op1_token_counts(spark, folder):
     return tokens.count_tokens(table(spark, folder, "documents"))
 
 
+@query("op2_html_extraction")
+def op2_html_extraction(spark, folder):
+    """Main text of every page by the recurrent block labeller."""
+    return extract.extract_text(table(spark, folder, "pages"))
+
+
 _OP3_SQL = r"""
 WITH c AS (
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
