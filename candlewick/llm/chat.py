@@ -5,9 +5,9 @@ each time find every message's root and the score of its path; the leaves of a t
 that score; only the chosen leaves' paths are then spelled out, again in doubling steps, and each
 becomes one formatted conversation with its loss mask.
 
-Template: a message is ``### role: text</turn>`` and a line feed. Inside roles and texts a backslash,
-``#`` and ``<`` get a backslash before them (in roles also ``:``), so no marker can occur in a text
-and reading back is exact.
+Template: a message is ``### role: text</turn>`` and a line feed. Inside roles and texts a backslash, ``#`` and ``<``
+(in roles also ``:``) are written as a backslash and a letter, so no part of a marker can occur in a
+text and reading back is exact.
 """
 
 from __future__ import annotations
@@ -22,12 +22,21 @@ END = "</turn>\n"
 STEPS = 40
 
 
-def escape(text: Column, also: str = "") -> Column:
-    return F.regexp_replace(text, rf"([\\#<{also}])", r"\\$1")
+# What stands for each marked character; the backslash comes first when writing, last when reading.
+_ESCAPES = (("\\", "\\b"), ("#", "\\h"), ("<", "\\l"))
+_COLON = (":", "\\c")
+
+
+def escape(text: Column, role: bool = False) -> Column:
+    for plain, mark in (*_ESCAPES, _COLON) if role else _ESCAPES:
+        text = F.replace(text, F.lit(plain), F.lit(mark))
+    return text
 
 
 def unescape(text: Column) -> Column:
-    return F.regexp_replace(text, r"\\([\\#<:])", "$1")
+    for plain, mark in reversed((*_ESCAPES, _COLON)):
+        text = F.replace(text, F.lit(mark), F.lit(plain))
+    return text
 
 
 def _climb(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
@@ -86,7 +95,7 @@ def format_paths(messages: DataFrame, assistant: str = "assistant") -> DataFrame
     in order, end exclusive.
     """
     role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
-    head = F.concat(F.lit("### "), escape(role, ":"), F.lit(": "))
+    head = F.concat(F.lit("### "), escape(role, role=True), F.lit(": "))
     parts = messages.select("path", "place", (role == assistant).alias("learn"), head.alias("head"), escape(text).alias("body"))
     parts = parts.withColumn("length", (F.length("head") + F.length("body") + len(END)).cast("long"))
     before = Window.partitionBy("path").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
@@ -104,12 +113,14 @@ def format_paths(messages: DataFrame, assistant: str = "assistant") -> DataFrame
 
 def read_back(formatted: Column) -> Column:
     """The (role, text) list of a formatted conversation."""
-    raw = F.slice(F.split(formatted, END), 1, F.greatest(F.size(F.split(formatted, END)) - 1, F.lit(0)))
-    head = r"(?s)^### ((?:[^\\:]++|\\.)*+): (.*)$"
+    pieces = F.split(formatted, END)
+    raw = F.slice(pieces, 1, F.greatest(F.size(pieces) - 1, F.lit(0)))
 
     def turn(piece):
+        body = F.substr(piece, F.lit(len("### ") + 1))
+        colon = F.instr(body, ": ")
         return F.struct(
-            unescape(F.regexp_extract(piece, head, 1)).alias("role"), unescape(F.regexp_extract(piece, head, 2)).alias("text")
+            unescape(F.substr(body, F.lit(1), colon - 1)).alias("role"), unescape(F.substr(body, colon + 2)).alias("text")
         )
 
     return F.transform(raw, turn)
