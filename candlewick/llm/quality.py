@@ -68,7 +68,7 @@ def text_counts(column: pa.Array, hasher: Hasher) -> np.ndarray:
 
 def features(counts: np.ndarray) -> np.ndarray:
     """Counts as steps over fixed cuts, so that the model can bend, and short texts apart from long ones."""
-    steps = (counts[:, :, None] > _CUTS).reshape(len(counts), -1).astype(np.float64)
+    steps = (counts[:, :, None] > _CUTS).reshape(len(counts), len(NAMES) * len(_CUTS)).astype(np.float64)
     short = (counts[:, -1:] < np.log1p(12) / 12.0).astype(np.float64)
     return np.hstack([np.ones((len(counts), 1)), steps, steps * short])
 

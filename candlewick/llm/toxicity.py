@@ -124,11 +124,16 @@ def train(texts: list[str], labels: list[int], settings: Settings | None = None)
         return Model(settings, np.zeros(settings.buckets, np.float32), float(np.log(rate / (1 - rate))))
     share = np.bincount(y, minlength=2) / len(y)
     importance = (0.5 / share) ** settings.balance
-    bags = [_bag(text, settings) for text in texts]
     # A bucket that only a few texts have says nothing of others; without it the table learns what texts share.
-    spread = np.bincount(np.concatenate([at for at, _ in bags]), minlength=settings.buckets)
+    # Bags are made twice, so that those rare buckets are never all held at once.
+    spread = np.zeros(settings.buckets, dtype=np.int32)
+    for text in texts:
+        spread[_bag(text, settings)[0]] += 1
     common = spread >= settings.least_texts
-    bags = [(at[common[at]], weight[common[at]]) for at, weight in bags]
+    bags = []
+    for text in texts:
+        at, weight = _bag(text, settings)
+        bags.append((at[common[at]].astype(np.int32), weight[common[at]]))
     for epoch in range(settings.epochs):
         rate = settings.rate * (1 - epoch / settings.epochs) + 0.02
         order = rng.permutation(len(y))

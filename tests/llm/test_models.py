@@ -39,7 +39,7 @@ def test_unseen_misspellings_score_like_their_words():
             words[rng.randrange(30)] = rng.choice(["horrible", "horribly", "disgusting", "disgust"])
         texts.append(" ".join(words))
         labels.append(i % 2)
-    model = toxicity.train(texts, labels, toxicity.Settings(epochs=6))
+    model = toxicity.train(texts, labels, toxicity.Settings(epochs=40))
     clean, odd, other = model.scores(["river stone garden window " * 7 + w for w in ("paper", "horrrible disgustin", "zzyzx")], {})
     assert odd > 0.5 > clean and odd > other
 
