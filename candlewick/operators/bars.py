@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from candlewick.functions.scalars import format_symbol
 from candlewick.operators.ordering import GRAIN_MICROS
@@ -77,7 +78,7 @@ def resample(df: DataFrame, interval: str, unique: bool = False) -> DataFrame:
 def last_n_bars(
     df: DataFrame, n: int, key: Sequence[str] = ("symbol",), order: str = "datetime"
 ) -> DataFrame:
-    """The last ``n`` rows of each key by time.
+    """The last ``n`` rows of each key by time; at equal times the greater other columns, in their order, come later.
 
     Large ``n`` first drops the minutes that lie before the last ``n`` rows,
     found from row counts per minute, so the ranking sees few more rows than it
@@ -98,7 +99,8 @@ def last_n_bars(
         )
         rows = rows.join(stored(first, "first-minutes"), list(key)).filter("_grain >= _first")
         rows = rows.select(*df.columns)
-    newest = Window.partitionBy(*key).orderBy(F.desc(order))
+    others = [f.name for f in df.schema.fields if f.name not in (*key, order) and not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    newest = Window.partitionBy(*key).orderBy(F.desc(order), *[F.desc(name) for name in others])
     return rows.withColumn("_rank", F.row_number().over(newest)).filter(F.col("_rank") <= n).drop("_rank")
 
 

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.functions.scalars import iso_to_ms, now_ms, to_number
+from candlewick.functions.scalars import iso_to_ms, now_ms, number_text, to_number
 from candlewick.schemas import MEASURE_SCHEMA, ROUTE_SCHEMA
 
 UNKNOWN_SYMBOL = "UNKNOWN"  # fixed value: symbol of messages that name none
@@ -31,7 +31,7 @@ def measure_record(
     columns = [
         F.array(*[F.struct(F.lit(name).alias("Name"), column.alias("Value")) for name, column in dimensions.items()]),
         measure,
-        value.cast("double").cast("string"),
+        number_text(value),
         F.lit("DOUBLE"),
         time_ms.cast("string"),
         F.lit("MILLISECONDS"),

@@ -152,23 +152,27 @@ def coverage_check(df: DataFrame, years: int = 4, tolerance_days: int = 2, key:
 
 
 def gap_check(df: DataFrame, key: str = "symbol", step_days: int = 1) -> DataFrame:
-    """Per key: rows, distinct times, repeated rows, expected steps from first to last time, missing steps."""
+    """Per key: rows, distinct times, repeated rows, expected steps from first to last time, missing steps.
+
+    Rows without a time are rows too, and repeat each other; a key without any time expects no steps.
+    """
     span = F.unix_micros("_last") - F.unix_micros("_first")
-    per_time = df.filter(F.col("datetime").isNotNull()).groupBy(key, "datetime").agg(F.count(F.lit(1)).alias("_n"))
+    per_time = df.groupBy(key, "datetime").agg(F.count(F.lit(1)).alias("_n"))
     return (
         per_time.groupBy(key)
         .agg(
             F.sum("_n").alias("n_rows"),
-            F.count(F.lit(1)).alias("n_times"),
+            F.count("datetime").alias("n_times"),
+            F.sum(F.col("_n") - 1).alias("n_repeated"),
             F.min("datetime").alias("_first"),
             F.max("datetime").alias("_last"),
         )
-        .withColumn("expected", F.floor(span / F.lit(step_days * 86_400_000_000)) + 1)
+        .withColumn("expected", F.coalesce(F.floor(span / F.lit(step_days * 86_400_000_000)) + 1, F.lit(0)))
         .select(
             key,
             "n_rows",
             "n_times",
-            (F.col("n_rows") - F.col("n_times")).alias("n_repeated"),
+            "n_repeated",
             "expected",
             (F.col("expected") - F.col("n_times")).alias("missing"),
         )

@@ -7,9 +7,11 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from candlewick.session import stored
 
@@ -27,7 +29,14 @@ CONTEXT_INSTRUCTION = (
     "\n\nUsa el siguiente contexto para responder. Si no es relevante, usa tu conocimiento general.\n\nCONTEXTO:\n"
 )
 CHUNK_SEPARATOR = "\n\n---\n\n"
-BLANKS = " \t\n\r\f\v"
+# The characters that count as white space in Unicode.
+BLANKS = (
+    "\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+NO_ACCESS = "No tienes acceso a la Knowledge Base."
+NOT_CONFIGURED = "Knowledge Base no configurada."
+DEFAULT_QUESTION = "Hola"
 
 
 def chunk_documents(
@@ -101,11 +110,16 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.where(lengths == 0, 1.0, lengths)
 
 
-def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return flat.reshape(len(column), -1)
+def _by_length(ids: pa.Array, column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Ids and matrix of the finite vectors of each length; a vector with a null or NaN is in none."""
+    lengths = pc.list_value_length(column).to_numpy(zero_copy_only=False)
+    for length in np.unique(lengths[~np.isnan(lengths)] if lengths.dtype.kind == "f" else lengths):
+        rows = pa.array(np.flatnonzero(lengths == length))
+        flat = column.take(rows).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+        matrix = flat.reshape(len(rows), int(length))
+        good = np.isfinite(matrix).all(axis=1)
+        if length and good.any():
+            yield ids.take(rows).to_numpy(zero_copy_only=False)[good], matrix[good]
 
 
 def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
@@ -166,12 +180,13 @@ def vector_topk(
     candidates per query, so scores of single pairs never leave a task. Up to
     ``broadcast_queries`` queries are sent to the tasks and the vectors stay
     where they are; more queries are cut into blocks that meet blocks of vectors.
-    Vectors whose length differs from the queries' are not compared.
+    Only vectors of a query's own length are compared with it, and vectors or queries with a null, NaN or
+    infinite value are left out, so ``k`` hits come back whenever ``k`` good vectors exist.
     """
     asked = queries.select(query_id, embedding).filter(F.col(embedding).isNotNull())
     known = vectors.select(vector_id, embedding).filter(F.col(embedding).isNotNull())
     schema = T.StructType([asked.schema[query_id], known.schema[vector_id], T.StructField("score", T.DoubleType())])
-    few = asked.limit(broadcast_queries + 1).toArrow()
+    few = asked.limit(broadcast_queries + 1).toArrow().combine_chunks()
     if few.num_rows <= broadcast_queries:
         partial = _against_broadcast(few, known, k, schema)
     else:
@@ -180,26 +195,34 @@ def vector_topk(
     return partial.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k)
 
 
+def _searches(ids: pa.Array, embeddings: pa.Array, k: int) -> dict[int, _Candidates]:
+    """One search per vector length."""
+    return {matrix.shape[1]: _Candidates(own, matrix, k) for own, matrix in _by_length(ids, embeddings)}
+
+
+def _whole(column: pa.ChunkedArray) -> pa.Array:
+    return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+
+
 def _against_broadcast(queries: pa.Table, vectors: DataFrame, k: int, schema: T.StructType) -> DataFrame:
     names = schema.names
     spark = vectors.sparkSession
     if queries.num_rows == 0:
         return spark.createDataFrame([], schema)
-    matrix = _matrix(queries.column(1))
-    shared = spark.sparkContext.broadcast((queries.column(0).to_numpy(), matrix))
+    shared = spark.sparkContext.broadcast((_whole(queries.column(0)), _whole(queries.column(1))))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        query_ids, matrix = shared.value
-        best = _Candidates(query_ids, matrix, k)
+        best = _searches(*shared.value, k)
         for batch in batches:
-            if batch.num_rows:
-                best.add(batch.column(0).to_numpy(zero_copy_only=False), _matrix(batch.column(1)))
-        found = best.frame(names)
-        if len(found):
-            yield pa.RecordBatch.from_pandas(found, preserve_index=False)
+            for ids, matrix in _by_length(batch.column(0), batch.column(1)):
+                if matrix.shape[1] in best:
+                    best[matrix.shape[1]].add(ids, matrix)
+        for found in best.values():
+            frame = found.frame(names)
+            if len(frame):
+                yield pa.RecordBatch.from_pandas(frame, preserve_index=False)
 
-    same_length = vectors.filter(F.size(vectors.columns[1]) == matrix.shape[1])
-    return same_length.mapInArrow(search, schema)
+    return vectors.mapInArrow(search, schema)
 
 
 def _against_blocks(
@@ -207,7 +230,6 @@ def _against_blocks(
 ) -> DataFrame:
     names = schema.names
     query_id, vector_id = names[0], names[1]
-    embedding = vectors.columns[1]
     query_blocks = max(1, -(-queries.count() // queries_per_block))
     vector_blocks = max(1, -(-vectors.count() // VECTORS_PER_BLOCK))
 
@@ -220,17 +242,22 @@ def _against_blocks(
     left = queries.withColumn("_q", block_of(query_id, query_blocks)).withColumn("_v", each(vector_blocks))
     right = vectors.withColumn("_v", block_of(vector_id, vector_blocks)).withColumn("_q", each(query_blocks))
 
-    def search(asked: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        if asked.empty or known.empty:
-            return pd.DataFrame({name: [] for name in names})
-        matrix = np.stack(asked[embedding]).astype(np.float64)
-        known = known[known[embedding].map(len) == matrix.shape[1]]
-        best = _Candidates(asked[query_id].to_numpy(), matrix, k)
-        if len(known):
-            best.add(known[vector_id].to_numpy(), np.stack(known[embedding]).astype(np.float64))
-        return best.frame(names)
+    def search(asked: pa.Table, known: pa.Table) -> pa.Table:
+        best = _searches(_whole(asked.column(0)), _whole(asked.column(1)), k) if asked.num_rows else {}
+        if best and known.num_rows:
+            for ids, matrix in _by_length(_whole(known.column(0)), _whole(known.column(1))):
+                if matrix.shape[1] in best:
+                    best[matrix.shape[1]].add(ids, matrix)
+        frames = [found.frame(names) for found in best.values()]
+        frames = [frame for frame in frames if len(frame)]
+        kinds = [to_arrow_type(field.dataType) for field in schema.fields]
+        if not frames:
+            return pa.table({name: pa.array([], kind) for name, kind in zip(names, kinds, strict=True)})
+        return pa.Table.from_pandas(pd.concat(frames), preserve_index=False).cast(pa.schema(list(zip(names, kinds, strict=True))))
 
-    return left.groupBy("_q", "_v").cogroup(right.groupBy("_q", "_v")).applyInPandas(search, schema)
+    columns = [query_id, queries.columns[1], "_q", "_v"], [vector_id, vectors.columns[1], "_q", "_v"]
+    left, right = left.select(columns[0]), right.select(columns[1])
+    return left.groupBy("_q", "_v").cogroup(right.groupBy("_q", "_v")).applyInArrow(search, schema)
 
 
 def retrieve(
@@ -288,6 +315,30 @@ def allowed(queries: DataFrame, access: DataFrame, user: str = "user_id") -> Dat
     return queries.join(access.select(user), user, "left_semi")
 
 
+def access_check(queries: DataFrame, access: DataFrame, configured: bool = True, user: str = "user_id") -> DataFrame:
+    """All queries with ``success`` and, for those that may not use the knowledge base, the ``error`` they are told.
+
+    Without access comes before a base that is not configured; a null user has no access.
+    """
+    users = access.select(F.col(user).alias("_user"), F.lit(True).alias("_allowed")).distinct()
+    joined = queries.join(users, F.col(user) == F.col("_user"), "left")
+    error = F.when(F.col("_allowed").isNull(), NO_ACCESS)
+    if not configured:
+        error = error.otherwise(NOT_CONFIGURED)
+    return joined.withColumn("error", error).withColumn("success", F.col("error").isNull()).drop("_user", "_allowed")
+
+
+def question_of(payload: Column | str) -> Column:
+    """The question of a JSON payload: its ``prompt`` if it has one, else its ``message``, else a greeting.
+
+    As in the payload's own dictionary a field that is there with null or empty text counts as there.
+    """
+    fields = F.from_json(payload, "map<string,string>")
+    has = [F.coalesce(F.map_contains_key(fields, name), F.lit(False)) for name in ("prompt", "message")]
+    text = [F.try_element_at(fields, F.lit(name)) for name in ("prompt", "message")]
+    return F.when(has[0], text[0]).when(has[1], text[1]).otherwise(DEFAULT_QUESTION)
+
+
 def build_prompts(
     queries: DataFrame, contexts: DataFrame, query_id: str = "query_id", message: str = "message"
 ) -> DataFrame:
@@ -305,9 +356,12 @@ def build_prompts(
 
 
 def answers_with_fallback(
-    queries: DataFrame, primary: DataFrame, fallback: DataFrame, query_id: str = "query_id"
+    queries: DataFrame, primary: DataFrame, fallback: DataFrame, query_id: str = "query_id", configured: bool = True
 ) -> DataFrame:
-    """The primary answer of each query, else the fallback's, and which one it was."""
+    """The primary answer of each query, else the fallback's, which one it was, and ``has_context``: was there a knowledge base.
+
+    Only the primary path can use the base; a query without any answer has no context either.
+    """
     first = primary.select(query_id, F.col("response").alias("_first"))
     second = fallback.select(query_id, F.col("response").alias("_second"))
     return (
@@ -320,5 +374,6 @@ def answers_with_fallback(
             F.when(F.col("_first").isNotNull(), "primary")
             .when(F.col("_second").isNotNull(), "fallback")
             .alias("source"),
+            (F.col("_first").isNotNull() & F.lit(configured)).alias("has_context"),
         )
     )

@@ -26,25 +26,20 @@ def vwap(df: DataFrame, keys: Sequence[str] = ("symbol",), keep_unpriced: bool =
     return rows.groupBy(*keys).agg(vwap_value(F.col("close") * F.col("volume"), "volume").alias("vwap"))
 
 
-PANES_FROM = 10  # windows per row
-
-
 def vwap_windows(
     df: DataFrame, minutes: int = 5, slide_minutes: int = 1, keep_unpriced: bool = False
 ) -> DataFrame:
     """VWAP per symbol and sliding window.
 
-    When a row falls into many windows, rows are first summed per slide-wide
-    pane, and the panes, not the rows, are copied into the windows.
+    Rows are first summed per slide-wide pane; the panes, not the rows, are copied into the windows.
     """
     if minutes % slide_minutes:
         raise ValueError("the window must be a multiple of the slide")
     rows = df if keep_unpriced else priced(df)
     traded = rows.select("symbol", "datetime", F.expr("close * volume AS _value"), F.col("volume").alias("_volume"))
-    if minutes >= PANES_FROM * slide_minutes:
-        pane = F.window("datetime", f"{slide_minutes} minutes").start
-        sums = [F.sum(name).alias(name) for name in ("_value", "_volume")]
-        traded = traded.groupBy("symbol", pane.alias("datetime")).agg(*sums)
+    pane = F.window("datetime", f"{slide_minutes} minutes").start
+    sums = [F.sum(name).alias(name) for name in ("_value", "_volume")]
+    traded = traded.groupBy("symbol", pane.alias("datetime")).agg(*sums)
     return (
         traded.groupBy("symbol", F.window("datetime", f"{minutes} minutes", f"{slide_minutes} minutes"))
         .agg(vwap_value("_value", "_volume").alias("vwap"))

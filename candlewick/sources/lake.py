@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import csv
 import logging
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,43 +24,107 @@ CSV_FILES = "*.[cC][sS][vV]"
 CSV_WRITE = {"header": "true", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
 
+def _headers(spark: SparkSession, path: str, any_folders: bool, options: dict) -> list[tuple[str, list[str]]]:
+    """The different header lines below ``path``, each with its files. Files without a line are left out.
+
+    The lines come from one scan of the files as text; the list of files is the only thing collected.
+    """
+    reader = spark.read.option("pathGlobFilter", CSV_FILES).option("recursiveFileLookup", any_folders)
+    kept = {name: value for name, value in options.items() if name.lower() in ("encoding", "linesep")}
+    lines = reader.options(**kept).text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")
+
+    def first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for batch in batches:
+            files = batch.column(1).dictionary_encode()
+            places = files.indices.to_numpy(zero_copy_only=False)
+            for at in np.flatnonzero(np.r_[True, places[1:] != places[:-1]]) if batch.num_rows else ():
+                file = batch.column(1)[int(at)].as_py()
+                if file != last and batch.column(2)[int(at)].as_py() == 0:
+                    yield pa.RecordBatch.from_arrays([pa.array([batch.column(0)[int(at)].as_py()]), pa.array([file])], names=["line", "file"])
+                last = file
+
+    found: dict[str, list[str]] = {}
+    for row in lines.mapInArrow(first_lines, "line string, file string").distinct().collect():
+        found.setdefault(row["line"].strip("\r\ufeff"), []).append(row["file"])
+    return [(line, sorted(files)) for line, files in sorted(found.items())]
+
+
+def _one_type(kinds: list[T.DataType]) -> T.DataType:
+    """The type that holds the values of all: itself, double for different numbers, else text."""
+    if all(kind == kinds[0] for kind in kinds):
+        return kinds[0]
+    return T.DoubleType() if all(isinstance(kind, T.NumericType) for kind in kinds) else T.StringType()
+
+
 def read_bronze(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, any_folders: bool = False, **options
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None = None,
+    any_folders: bool = False,
+    file_column: str | None = None,
+    **options,
 ) -> DataFrame:
-    """All CSV files below ``path``, with a header; types inferred unless a schema is given.
+    """All CSV files below ``path``, each read by its own header; types inferred unless a schema is given.
 
-    ``name=value`` folders become columns, so filters on them skip folders.
-    ``any_folders`` reads every sub-folder instead, whatever its name.
+    Columns are matched by name: a file without a column has nulls there, whatever the order of its
+    columns. Where inferred types differ between headers, numbers become doubles and other values text.
+    A schema sets the types of the columns it names and adds those that no file has.
+    ``name=value`` folders become columns, so filters on them skip folders; ``any_folders`` reads every
+    sub-folder instead, whatever its name. ``file_column`` adds each row's file.
     """
-    reader = spark.read.option("header", True).option("pathGlobFilter", CSV_FILES)
-    if any_folders:
-        reader = reader.option("recursiveFileLookup", True)
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
-    return reader.options(**options).csv(path)
+    parts = []
+    wanted = {} if schema is None else {field.name: field.dataType for field in schema.fields}
+    for line, files in _headers(spark, path, any_folders, options):
+        reader = spark.read.option("header", True).options(**options)
+        if not any_folders:
+            reader = reader.option("basePath", path)
+        names = reader.csv(files[:1]).columns
+        if schema is None:
+            rows = reader.option("inferSchema", True).csv(files)
+        else:
+            folders = set(names) - set(next(csv.reader([line], delimiter=options.get("sep", options.get("delimiter", ",")))))
+            fields = [T.StructField(name, wanted.get(name, T.StringType())) for name in names if name not in folders]
+            rows = reader.schema(T.StructType(fields)).csv(files)
+        parts.append(rows.withColumn(file_column, F.col("_metadata.file_path")) if file_column else rows)
+    if not parts:
+        raise FileNotFoundError(f"no CSV files below {path}")
+    kinds: dict[str, list[T.DataType]] = {}
+    for part in parts:
+        for field in part.schema.fields:
+            kinds.setdefault(field.name, []).append(field.dataType)
+    for name, kind in wanted.items():
+        kinds.setdefault(name, [kind])
+    whole = [
+        part.select(*[F.col(f"`{n}`").cast(_one_type(k)).alias(n) if n in part.columns else F.lit(None).cast(_one_type(k)).alias(n) for n, k in kinds.items()])
+        for part in parts
+    ]
+    return reduce(DataFrame.unionByName, whole)
 
 
 def csv_to_parquet(
     spark: SparkSession, source: str, target: str, schema: T.StructType | None = None, **options
 ) -> bool:
-    """Convert every CSV file below ``source`` to snappy Parquet in one job.
+    """Convert every CSV file below ``source`` to snappy Parquet in one job, each by its own header.
 
     ``rel_dir`` (a partition column) keeps the sub-folder of each row and
-    ``source_file`` its file. Returns False, with a log line, when there is no CSV file.
+    ``source_file`` its file. Files with a header only add their columns. Returns False, with a log
+    line, when there is no CSV file; any other error is raised.
     """
     try:
-        rows = read_bronze(spark, source, schema, any_folders=True, **options)
-        if rows.isEmpty():
-            raise AnalysisException("no rows")
-    except AnalysisException as error:
+        rows = read_bronze(spark, source, schema, any_folders=True, file_column="source_file", **options)
+    except (AnalysisException, FileNotFoundError) as error:
+        if isinstance(error, AnalysisException) and error.getCondition() != "PATH_NOT_FOUND":
+            raise
         log.warning("no CSV files below %s: %s", source, error)
         return False
     root = source.split("://", 1)[-1].removeprefix("file:").strip("/")
     # File paths come as URIs: blanks are encoded, a plus sign is not.
-    file = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    after = F.split_part(file, F.lit(f"/{root}/"), F.lit(2))
-    outside = F.raise_error(F.concat(F.lit("file outside the source folder: "), file)).cast("string")
-    relative = F.when(F.contains(file, F.lit(f"/{root}/")), after).otherwise(outside)
-    placed = rows.withColumns({"source_file": file, "rel_dir": F.regexp_replace(relative, "/?[^/]*$", "")})
+    file = F.url_decode(F.replace("source_file", F.lit("+"), F.lit("%2B")))
+    start = F.instr(F.col("source_file"), f"/{root}/")
+    outside = F.raise_error(F.concat(F.lit("file outside the source folder: "), F.col("source_file"))).cast("string")
+    relative = F.when(start > 0, F.substr("source_file", start + len(root) + 2)).otherwise(outside)
+    placed = rows.withColumn("source_file", file).withColumn("rel_dir", F.regexp_replace(relative, "/?[^/]*$", ""))
     (
         placed.hint("rebalance", F.col("rel_dir"))
         .write.mode("overwrite")

@@ -10,6 +10,7 @@ from candlewick.schemas import VALUE_COLUMNS
 
 # How bars are marked in a payload. "." does not match a line feed.
 SERIES_PATTERN = r'(?d)"s":\[(.+?)\}\]'
+VALUES_PATTERN = r'"v":\[([^\]]*)'
 
 
 def parse_bar_payloads(
@@ -17,19 +18,21 @@ def parse_bar_payloads(
 ) -> DataFrame:
     """One row per bar of the first series in each payload.
 
-    Prices that are no numbers become 0.0, and so does a missing volume. Once a
+    Empty, junk and absent fields become 0.0, each by itself; a bar without a readable time has a null time. Once a
     bar has such a value, the volume is 0.0 from that bar to the end of the
     payload; ``sticky_volume=False`` judges every bar by itself. Payloads
     without a series give no rows.
     """
     others = [name for name in df.columns if name not in (raw, symbol)]
     series = F.regexp_extract(raw, SERIES_PATTERN, 1)
-    number = "try_cast(get(b.v, i) AS double)"
+    # Each bar's values as text, so that one bad field spoils neither its bar nor the payload.
+    texts = F.regexp_extract_all("_text", F.lit(VALUES_PATTERN), F.lit(1))
+    number = "try_cast(get(t, i) AS double)"
     parsed = (
         df.withColumn("_text", series)
         .filter(F.col("_text") != "")
-        .withColumn("_bars", F.from_json(F.concat(F.lit("["), "_text", F.lit("}]")), "array<struct<v:array<string>>>"))
-        .withColumn("_values", F.expr(f"transform(_bars, b -> transform(sequence(0, 5), i -> {number}))"))
+        .withColumn("_fields", F.transform(texts, lambda text: F.split(text, ",")))
+        .withColumn("_values", F.expr(f"transform(_fields, t -> transform(sequence(0, 5), i -> {number}))"))
     )
     broken = "exists(slice(v, 2, 5), x -> x IS NULL)"
     first_broken = f"array_position(transform(_values, v -> {broken}), true)"

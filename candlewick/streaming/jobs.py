@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -18,7 +19,7 @@ def vwap_stream(
     """VWAP per symbol and sliding window of a stream of candle events.
 
     In append mode a window comes out once, when the watermark has reached its
-    end; rows that arrive later are dropped and counted in the query progress.
+    end; rows that arrive later are dropped. :func:`split_late` keeps them.
     """
     return (
         priced(candles)
@@ -61,10 +62,33 @@ def drain(stream: DataFrame, name: str, partition_by: str | None = None) -> Data
     return spark.read.schema(stream.schema).parquet(path)
 
 
-def late_rows(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """Per finished micro-batch: input rows, watermark and rows that came too late."""
-    rows = []
-    for progress in query.recentProgress:
-        late = sum(op["numRowsDroppedByWatermark"] for op in progress["stateOperators"])
-        rows.append((progress["batchId"], progress["numInputRows"], progress["eventTime"].get("watermark"), late))
-    return spark.createDataFrame(rows, "batch long, input_rows long, watermark string, late_rows long")
+def split_late(
+    stream: DataFrame, path: str, checkpoint: str, time: str = "timestamp", watermark: str = "1 minute"
+) -> StreamingQuery:
+    """Write a stream's rows to ``path``, those behind the watermark apart: partition columns ``batch`` and ``late`` (0 or 1).
+
+    A batch's watermark is the greatest event time of all earlier batches less the delay, as for a
+    windowed query; a row is late if its time lies before it. ``watermark_ms`` says which it was; in the
+    first batch it is null and nothing is late. Rows without a time are never late. Each batch replaces its own folders,
+    so a batch that is run again after a failure leaves every row once, and its watermark is read from the batches before it.
+    """
+    def write(rows: DataFrame, batch: int) -> None:
+        own = rows.sparkSession
+        try:
+            seen = own.read.parquet(path).filter(F.col("batch") < batch).agg(F.max(F.unix_millis(time)).alias("last")).first()["last"]
+        except AnalysisException as error:
+            if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+            seen = None
+        limit = F.lit(seen).cast("long") - F.unix_millis(F.timestamp_seconds(F.lit(0)) + F.expr(f"INTERVAL {watermark}"))
+        marked = rows.withColumn("watermark_ms", limit).withColumn("batch", F.lit(batch))
+        marked = marked.withColumn("late", F.coalesce((F.unix_millis(time) < F.col("watermark_ms")).cast("int"), F.lit(0)))
+        writer = marked.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("batch", "late").parquet(path)
+
+    return stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start()
+
+
+def late_counts(spark: SparkSession, path: str) -> DataFrame:
+    """Rows and late rows of every batch that ``split_late`` has written."""
+    return spark.read.parquet(path).groupBy("batch").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("late").cast("long").alias("n_late"))

@@ -91,6 +91,47 @@ def vector_topk(spark, folder):
     return rounded(top, "score").select("query_id", "rank", "chunk_id", "score")
 
 
+_DIRTY_TOP = """parts AS (SELECT label, unnest(embedding) AS value, generate_subscripts(embedding, 1) AS place FROM embeddings),
+means AS (SELECT label, place, avg(CAST(value AS DOUBLE)) AS value FROM parts GROUP BY 1, 2),
+centres AS (SELECT label, list(value ORDER BY place) AS centre FROM means GROUP BY 1),
+asked AS (
+    SELECT CAST(label AS VARCHAR) AS query_id, centre FROM centres
+    UNION ALL SELECT 'short ' || label, centre[1:8] FROM centres),
+good AS (
+    SELECT vec_id AS chunk_id, CAST(CASE WHEN vec_id % 11 = 0 THEN embedding[1:8] ELSE embedding END AS DOUBLE[]) AS vector
+    FROM embeddings WHERE vec_id % 7 <> 0),
+pairs AS (SELECT * FROM asked JOIN good ON len(centre) = len(vector)),
+scored AS (SELECT query_id, chunk_id, list_cosine_similarity(centre, vector) AS score FROM pairs),
+top AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) AS INTEGER) AS rank
+    FROM scored QUALIFY rank <= 5)"""
+
+
+def dirty_search(spark, folder, **options):
+    """Two lengths of queries against vectors, of which a seventh holds a NaN and an eleventh is short."""
+    nan = "CAST('NaN' AS FLOAT)"
+    spoilt = f"CASE WHEN vec_id % 7 = 0 THEN transform(embedding, (x, i) -> if(i = 3, {nan}, x)) WHEN vec_id % 11 = 0 THEN slice(embedding, 1, 8) ELSE embedding END"
+    vectors = views.table(spark, folder, "embeddings").selectExpr("vec_id AS chunk_id", f"{spoilt} AS embedding")
+    whole = centres(spark, folder).selectExpr("CAST(query_id AS string) AS query_id", "embedding")
+    short = whole.selectExpr("concat('short ', query_id) AS query_id", "slice(embedding, 1, 8) AS embedding")
+    top = R.vector_topk(whole.unionByName(short), vectors, **options)
+    return rounded(top, "score").select("query_id", "rank", "chunk_id", "score")
+
+
+_DIRTY_SQL = f"WITH {_DIRTY_TOP} SELECT query_id, rank, chunk_id, {near_sql('score')} AS score FROM top"
+
+
+@query("vector_topk_dirty", _DIRTY_SQL)
+def vector_topk_dirty(spark, folder):
+    return dirty_search(spark, folder)
+
+
+@query("vector_topk_dirty_blocks", _DIRTY_SQL)
+def vector_topk_dirty_blocks(spark, folder):
+    """The same with more queries than are sent to every task."""
+    return dirty_search(spark, folder, broadcast_queries=3)
+
+
 @query("retrieve", f"WITH {_TOP} SELECT query_id, rank, chunk_id, {near_sql('score')} AS score, text, source AS uri FROM found")
 def retrieve(spark, folder):
     results = R.retrieve(centres(spark, folder), knowledge(spark, folder))
@@ -127,7 +168,8 @@ def rag_prompts(spark, folder):
            arg_max(text, turn) FILTER (WHERE role = 'user') AS second
     FROM conversations GROUP BY 1)
 SELECT query_id, coalesce(first, second) AS response,
-       CASE WHEN first IS NOT NULL THEN 'primary' WHEN second IS NOT NULL THEN 'fallback' END AS source FROM answers""",
+       CASE WHEN first IS NOT NULL THEN 'primary' WHEN second IS NOT NULL THEN 'fallback' END AS source,
+       first IS NOT NULL AS has_context FROM answers""",
 )
 def answer_fallback(spark, folder):
     """Last assistant turn of each conversation, else the last user turn."""
@@ -140,29 +182,62 @@ def answer_fallback(spark, folder):
     return R.answers_with_fallback(turns.select("query_id").distinct(), last("assistant"), last("user"))
 
 
+@query(
+    "question_choice",
+    """SELECT conv_id, turn, CASE WHEN (conv_id + turn) % 4 < 2 THEN text WHEN (conv_id + turn) % 4 = 2 THEN role ELSE 'Hola' END AS question
+FROM conversations""",
+)
+def question_choice(spark, folder):
+    """The question of payloads with a prompt, a prompt and a message, a message only, or neither."""
+    kind = (F.col("conv_id") + F.col("turn")) % 4
+    payload = F.struct(
+        F.when(kind < 2, F.col("text")).alias("prompt"),
+        F.when((kind == 1) | (kind == 2), F.col("role")).alias("message"),
+        F.lit("s").alias("session"),
+    )
+    turns = views.table(spark, folder, "conversations")
+    return turns.select("conv_id", "turn", R.question_of(F.to_json(payload)).alias("question"))
+
+
+_BLANK_CHARS = " || ".join(f"chr({ord(c)})" for c in R.BLANKS)
+
+
 @query(
     "check_messages",
-    r"""WITH turns AS (
-    SELECT conv_id, turn, CASE WHEN turn % 5 = 3 THEN '' ELSE trim(text, chr(32) || chr(9) || chr(10) || chr(13) || chr(12) || chr(11)) END AS message
+    f"""WITH turns AS (
+    SELECT conv_id, turn, CASE WHEN turn % 5 = 3 THEN '' ELSE trim(text, {_BLANK_CHARS}) END AS message
     FROM conversations)
 SELECT *, CASE WHEN message = '' THEN 'empty message' END AS reason FROM turns""",
 )
 def check_messages(spark, folder):
-    text = F.when(F.col("turn") % 5 == 3, " \n\t ").otherwise(F.concat(F.lit("\n "), "text", F.lit("  ")))
+    """Messages between blanks of all kinds, every fifth of nothing else."""
+    blanks = " \n\u00a0\t\u3000\u2003\x1c"
+    text = F.when(F.col("turn") % 5 == 3, blanks).otherwise(F.concat(F.lit(blanks), "text", F.lit("\u2009\u00a0 ")))
     turns = views.table(spark, folder, "conversations").select("conv_id", "turn", text.alias("message"))
     return R.check_messages(turns)
 
 
 @query(
     "allowed_queries",
-    """SELECT event_id, user_id, event_type FROM events
-WHERE user_id IN (SELECT user_id FROM events WHERE event_type = 'purchase')""",
+    f"""SELECT event_id, user_id, event_type, b.user_id IS NOT NULL AS success,
+       CASE WHEN b.user_id IS NULL THEN '{R.NO_ACCESS}' END AS error
+FROM events LEFT JOIN (SELECT DISTINCT user_id FROM events WHERE event_type = 'purchase') b USING (user_id)""".replace("SELECT event_id, user_id,", "SELECT event_id, events.user_id AS user_id,"),
 )
 def allowed_queries(spark, folder):
-    """Events of users that have bought something."""
+    """Events of all users; only those that have bought something may ask, the others are told why not."""
     events = views.table(spark, folder, "events").select("event_id", "user_id", "event_type")
-    buyers = events.filter(F.col("event_type") == "purchase").select("user_id").distinct()
-    return R.allowed(events, buyers)
+    return R.access_check(events, events.filter(F.col("event_type") == "purchase").select("user_id"))
+
+
+@query(
+    "denied_queries",
+    f"""SELECT event_id, CASE WHEN user_id % 2 = 0 THEN '{R.NO_ACCESS}' ELSE '{R.NOT_CONFIGURED}' END AS error FROM events""",
+)
+def denied_queries(spark, folder):
+    """Without a knowledge base everybody is denied, for one reason or the other."""
+    events = views.table(spark, folder, "events").select("event_id", "user_id")
+    access = events.select("user_id").filter(F.col("user_id") % 2 != 0)
+    return R.access_check(events, access, configured=False).select("event_id", "error")
 
 
 @query(

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlewick import views
@@ -13,7 +10,7 @@ from candlewick.operators import measures as M
 from candlewick.session import work_folder
 from candlewick.sources.kafka import to_messages, topic_envelope
 from candlewick.streaming.candles import closed_candles, live_candles, parse_candles
-from candlewick.streaming.jobs import drain, late_rows, run_to_files, vwap_stream
+from candlewick.streaming.jobs import drain, late_counts, split_late
 from registry import TICKS_SQL, query
 
 ROUTES = [M.Route("quotes", "quotes_raw", "close"), M.Route("averages", "vwap_5m", "vwap")]
@@ -120,32 +117,31 @@ routed AS (
     SELECT *, CASE WHEN reason IS NOT NULL THEN 'rejects' WHEN topic = 'quotes' THEN 'quotes_raw' ELSE 'vwap_5m' END AS "table"
     FROM judged)"""
 
-_FLAT = ["Dimensions[0].Value AS symbol", "Dimensions[1].Value AS source_topic", "MeasureName AS measure"]
-
-
-@query(
-    "route_measures",
-    f"""{_ROUTED}
+_ROUTED_RECORDS = f"""{_ROUTED}
 SELECT "table", topic, reason, CASE WHEN reason IS NULL THEN named END AS symbol,
        CASE WHEN reason IS NULL THEN CASE topic WHEN 'quotes' THEN 'close' ELSE 'vwap' END END AS measure,
        CASE WHEN reason IS NULL THEN CAST("close" AS VARCHAR) END AS measure_value,
        CASE WHEN reason IS NULL THEN CAST(epoch_us(datetime) // 1000 AS VARCHAR) END AS time_ms
-FROM routed""",
-)
+FROM routed"""
+
+_FLAT_RECORD = [
+    "table",
+    "topic",
+    "reason",
+    "record.Dimensions[0].Value AS symbol",
+    "record.MeasureName AS measure",
+    "record.MeasureValue AS measure_value",
+    "record.Time AS time_ms",
+]
+
+
+@query("route_measures", _ROUTED_RECORDS)
 def route_measures(spark, folder):
     routed = M.route_measures(routed_messages(views.ticks(spark, folder)), ROUTES)
-    return routed.selectExpr(
-        "table",
-        "topic",
-        "reason",
-        "record.Dimensions[0].Value AS symbol",
-        "record.MeasureName AS measure",
-        "record.MeasureValue AS measure_value",
-        "record.Time AS time_ms",
-    )
+    return routed.selectExpr(*_FLAT_RECORD)
 
 
-@query("route_stream", f'{_ROUTED} SELECT "table", count(*) AS n FROM routed GROUP BY 1')
+@query("route_stream", _ROUTED_RECORDS)
 def route_stream(spark, folder):
     """The router on a stream, one folder per table."""
     schema = views.table(spark, folder, "events").schema
@@ -154,19 +150,21 @@ def route_stream(spark, folder):
         "event_id", "event_type AS symbol", "CAST(ts AS timestamp) AS datetime", "value AS close"
     )
     routed = M.route_measures(routed_messages(ticks), ROUTES)
-    return drain(routed, "routed", partition_by="table").groupBy("table").agg(F.count(F.lit(1)).alias("n"))
+    return drain(routed, "routed", partition_by="table").selectExpr(*_FLAT_RECORD)
 
 
 @query(
     "measure_records",
     f"""WITH {TICKS_SQL}
 SELECT symbol, strftime(datetime, '%Y-%m-%dT%H:%M:%S.%gZ') AS window_end, 'close' AS measure,
-       CAST("close" AS VARCHAR) AS measure_value, 'DOUBLE' AS value_type, CAST(epoch_us(datetime) // 1000 AS VARCHAR) AS time_ms,
-       'MILLISECONDS' AS unit, event_id AS version
+       CAST("close" * CASE event_id % 6 WHEN 0 THEN 1e-6 WHEN 1 THEN 1e6 WHEN 2 THEN -1e15 WHEN 3 THEN 1e-9 ELSE 1.0 END AS VARCHAR) AS measure_value,
+       'DOUBLE' AS value_type, CAST(epoch_us(datetime) // 1000 AS VARCHAR) AS time_ms, 'MILLISECONDS' AS unit, event_id AS version
 FROM ticks""",
 )
 def measure_records(spark, folder):
-    ticks = views.ticks(spark, folder).withColumn("window_end", time_to_iso("datetime"))
+    """Values from a billionth to a quadrillion times the price, which are written with and without an exponent."""
+    scale = "CASE event_id % 6 WHEN 0 THEN 1e-6D WHEN 1 THEN 1e6D WHEN 2 THEN -1e15D WHEN 3 THEN 1e-9D ELSE 1.0D END"
+    ticks = views.ticks(spark, folder).withColumn("window_end", time_to_iso("datetime")).withColumn("close", F.expr(f"close * {scale}"))
     records = M.to_measure_records(
         ticks, "close", ["symbol", "window_end"], iso_to_ms("window_end"), F.col("event_id")
     )
@@ -231,20 +229,41 @@ def time_scalars(spark, folder):
     )
 
 
-@query("late_audit")
-def late_audit(spark, folder):
-    """Late rows per micro-batch when the events arrive in three drops that each span the whole time."""
-    staged, inbox, out, checkpoint = (work_folder(spark, name) for name in ("staged", "inbox", "late", "late-checkpoint"))
+_DROPS = """arrivals AS (
+    SELECT event_id, event_type AS symbol, ts AS timestamp, CAST(event_id % 3 AS INTEGER) AS batch FROM events),
+ends AS (SELECT batch, epoch_ms(max(timestamp)) - 60000 AS watermark_ms FROM arrivals GROUP BY 1),
+marked AS (
+    SELECT a.*, (SELECT max(watermark_ms) FROM ends WHERE ends.batch < a.batch) AS watermark_ms FROM arrivals a)"""
+
+
+def arrivals(spark, folder, name):
+    """The events, arriving in three drops that each span the whole time; the stream is started anew for each."""
+    staged, inbox, out, checkpoint = (work_folder(spark, f"{name}-{part}") for part in ("staged", "inbox", "out", "checkpoint"))
     events = views.table(spark, folder, "events")
-    events.withColumn("drop", F.pmod(F.hash("event_id"), F.lit(3))).write.partitionBy("drop").parquet(staged)
-    audits = []
+    events.withColumn("drop", F.col("event_id") % 3).write.partitionBy("drop").parquet(staged)
     for drop in range(3):
-        arriving = spark.read.parquet(staged).filter(F.col("drop") == drop).drop("drop")
-        arriving.write.mode("append").parquet(inbox)
-        candles = spark.readStream.schema(events.schema).parquet(inbox).selectExpr(
-            "event_type AS symbol", "CAST(ts AS timestamp) AS timestamp", "value AS close", "1D AS volume"
-        )
-        query = run_to_files(vwap_stream(candles), out, checkpoint)
-        query.awaitTermination()
-        audits.append(late_rows(spark, query).withColumn("drop", F.lit(drop)))
-    return reduce(DataFrame.union, audits)
+        spark.read.parquet(staged).filter(F.col("drop") == drop).drop("drop").write.mode("append").parquet(inbox)
+        candles = spark.readStream.schema(events.schema).parquet(inbox)
+        candles = candles.selectExpr("event_id", "event_type AS symbol", "CAST(ts AS timestamp) AS timestamp")
+        split_late(candles, out, checkpoint).awaitTermination()
+    return out
+
+
+@query(
+    "late_rows",
+    f"""WITH {_DROPS} SELECT event_id, symbol, timestamp, batch, watermark_ms
+FROM marked WHERE epoch_ms(timestamp) < watermark_ms""",
+)
+def late(spark, folder):
+    """The rows that came behind the watermark."""
+    return spark.read.parquet(arrivals(spark, folder, "late-rows")).filter("late = 1").drop("late")
+
+
+@query(
+    "late_audit",
+    f"""WITH {_DROPS} SELECT batch, count(*) AS n_rows, count(*) FILTER (WHERE epoch_ms(timestamp) < watermark_ms) AS n_late
+FROM marked GROUP BY 1""",
+)
+def late_audit(spark, folder):
+    """Rows and late rows per batch, over three starts of one stream."""
+    return late_counts(spark, arrivals(spark, folder, "late-audit"))

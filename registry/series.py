@@ -130,6 +130,22 @@ def last_n_ticks(spark, folder):
     return B.last_n_bars(views.ticks(spark, folder), 1461)
 
 
+def _register_ties(n: int) -> None:
+    sql = f"""SELECT event_id, event_type AS symbol, date_trunc('hour', ts) AS datetime FROM events
+QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY datetime DESC, event_id DESC) <= {n}"""
+
+    def ties(spark, folder):
+        hours = views.ticks(spark, folder).select("event_id", "symbol", F.date_trunc("hour", "datetime").alias("datetime"))
+        return B.last_n_bars(hours, n)
+
+    query(f"last_n_ties_{n}", sql)(ties)
+
+
+# Many ticks have the same hour; both ways of cutting must agree on which come last.
+for _n in (50, 1461):
+    _register_ties(_n)
+
+
 @query(
     "history",
     f"""WITH {TICKS_SQL}, {bars_sql(_bucket_sql("1 hour"))}
@@ -217,24 +233,27 @@ def stream_vwap(spark, folder):
 
 @query(
     "parse_bar_payloads",
-    f"""WITH {TICKS_SQL}, {DAY_SQL}
-SELECT datetime, symbol, open, high, low, "close",
-       CASE WHEN bool_or(day(datetime) = 10) OVER (PARTITION BY symbol, date_trunc('month', datetime) ORDER BY datetime)
-            THEN 0.0 ELSE volume END AS volume
-FROM bars""",
+    f"""WITH {TICKS_SQL}, {DAY_SQL}, marked AS (
+    SELECT *, (day(datetime) + length(symbol)) % 9 AS kind FROM bars),
+broken AS (
+    SELECT *, bool_or(kind < 4) OVER (PARTITION BY symbol, date_trunc('month', datetime) ORDER BY datetime) AS failed FROM marked)
+SELECT datetime, symbol, CASE WHEN kind = 0 THEN 0.0 ELSE open END AS open, CASE WHEN kind = 1 THEN 0.0 ELSE high END AS high,
+       CASE WHEN kind = 2 THEN 0.0 ELSE low END AS low, CASE WHEN kind = 2 THEN 0.0 ELSE "close" END AS "close",
+       CASE WHEN failed THEN 0.0 ELSE volume END AS volume
+FROM broken""",
 )
 def payloads(spark, folder):
-    """Daily bars as one payload per symbol and month; the bar of the 10th comes without a volume."""
-    bar = F.concat_ws(
-        ",",
+    """Daily bars as one payload per symbol and month; of nine bars one has an empty open, one a junk high, one ends after the high, one has no volume."""
+    kind = (F.dayofmonth("datetime") + F.length("symbol")) % 9
+    fields = [
         F.format_string("%d.0", F.unix_seconds("datetime")),
-        "open",
-        "high",
-        "low",
-        "close",
-        F.when(F.dayofmonth("datetime") != 10, F.col("volume")),
-    )
-    bars = views.bars(spark, folder, "daily").withColumns({"month": F.date_trunc("month", "datetime"), "bar": bar})
+        F.when(kind == 0, F.lit("")).otherwise(F.col("open").cast("string")),
+        F.when(kind == 1, F.lit("abc")).otherwise(F.col("high").cast("string")),
+        F.when(kind != 2, F.col("low").cast("string")),
+        F.when(kind != 2, F.col("close").cast("string")),
+        F.when((kind != 2) & (kind != 3), F.col("volume").cast("string")),
+    ]
+    bars = views.bars(spark, folder, "daily").withColumns({"month": F.date_trunc("month", "datetime"), "bar": F.concat_ws(",", *fields)})
     texts = (
         bars.groupBy("symbol", "month")
         .agg(F.array_sort(F.collect_list(F.struct("datetime", "bar"))).alias("days"))

@@ -189,14 +189,18 @@ def coverage_4y(spark, folder):
 
 @query(
     "gap_check",
-    f"""WITH {_ORDERS}, spans AS (
-    SELECT symbol, count(*) AS n_rows, count(DISTINCT datetime) AS n_times,
-           date_diff('day', min(datetime), max(datetime)) + 1 AS expected
+    """WITH dates AS (
+    SELECT o_custkey AS symbol, CASE WHEN o_orderkey % 5 <> 0 AND o_custkey % 7 <> 0 THEN o_orderdate END AS datetime FROM orders),
+spans AS (
+    SELECT symbol, count(*) AS n_rows, count(DISTINCT datetime) AS n_times, count(*) FILTER (WHERE datetime IS NULL) AS n_null,
+           coalesce(date_diff('day', min(datetime), max(datetime)) + 1, 0) AS expected
     FROM dates GROUP BY symbol)
-SELECT symbol, n_rows, n_times, n_rows - n_times AS n_repeated, expected, expected - n_times AS missing FROM spans""",
+SELECT symbol, n_rows, n_times, n_rows - n_times - CAST(n_null > 0 AS BIGINT) AS n_repeated, expected, expected - n_times AS missing FROM spans""",
 )
 def gap_check(spark, folder):
-    return Q.gap_check(_dates(spark, folder))
+    """Order dates per customer; a fifth of the dates and all of some customers' are missing."""
+    known = (F.col("o_orderkey") % 5 != 0) & (F.col("symbol") % 7 != 0)
+    return Q.gap_check(_dates(spark, folder).withColumn("datetime", F.when(known, F.col("datetime"))))
 
 
 @query(
@@ -245,12 +249,35 @@ def bronze_silver_roundtrip(spark, folder):
     "csv_to_parquet",
     f"""WITH {TICKS_SQL}, {DAY_SQL}
 SELECT datetime, symbol, open, high, low, "close", volume,
-       strftime(datetime, 'crypto=avalanche/year=%Y/month=%m') AS rel_dir FROM bars""",
+       strftime(datetime, 'crypto=avalanche/year=%Y/month=%m') AS rel_dir,
+       strftime(datetime, '/source/crypto=avalanche/year=%Y/month=%m/') AS folder FROM bars""",
 )
 def csv_to_parquet(spark, folder):
     path = work_folder(spark, "converted")
     lake.csv_to_parquet(spark, _bronze(spark, folder, "source"), path)
-    return spark.read.parquet(path).drop("source_file")
+    # Work folders have names of their own, and so have files: compare what lies between.
+    between = F.regexp_replace("source_file", "^.*/source-[^/]*(/.*/)[^/]*$", "/source$1")
+    return spark.read.parquet(path).withColumn("folder", between).drop("source_file")
+
+
+@query(
+    "csv_mixed_headers",
+    f"""WITH {TICKS_SQL}
+SELECT event_id, symbol, datetime, "close", CASE WHEN event_id % 3 = 2 THEN volume END AS volume,
+       CAST(NULL AS VARCHAR) AS note, 'part=' || event_id % 3 AS rel_dir, '/part=' || event_id % 3 || '/' AS folder
+FROM ticks""",
+)
+def csv_mixed_headers(spark, folder):
+    """Files with two orders of columns, one with a column more, and one with nothing but a header."""
+    source, path = work_folder(spark, "mixed"), work_folder(spark, "mixed-converted")
+    ticks = views.ticks(spark, folder)
+    orders = [["event_id", "symbol", "datetime", "close"], ["close", "datetime", "event_id", "symbol"], ["symbol", "volume", "close", "event_id", "datetime"]]
+    for number, columns in enumerate(orders):
+        lake.export_csv(ticks.filter(F.col("event_id") % 3 == number).select(columns), f"{source}/part={number}")
+    lake.export_csv(ticks.limit(0).select("symbol", "event_id", F.lit("").alias("note")).coalesce(1), f"{source}/part=3")
+    lake.csv_to_parquet(spark, source, path)
+    between = F.regexp_extract("source_file", "(/part=[0-9]/)[^/]*$", 1)
+    return spark.read.parquet(path).withColumn("folder", between).drop("source_file")
 
 
 @query("register_layer", _LAYER)
@@ -272,7 +299,27 @@ def export_csv(spark, folder):
     return spark.read.schema(ticks.schema).option("header", True).csv(path)
 
 
-@query("schema_drift")
+def _found_type(column: str) -> str:
+    """SQL for the type that a scan of a text column finds."""
+    fits = lambda kind: f"count(*) FILTER (WHERE \"{column}\" IS NOT NULL AND TRY_CAST(\"{column}\" AS {kind}) IS NULL) = 0"
+    whole = f"bool_and(regexp_full_match(\"{column}\", '[+-]?[0-9]+'))"
+    return (
+        f"CASE WHEN {whole} AND {fits('INTEGER')} THEN 'int' WHEN {whole} AND {fits('BIGINT')} THEN 'bigint' "
+        f"WHEN {fits('DOUBLE')} THEN 'double' WHEN {fits('TIMESTAMP')} THEN 'timestamp' ELSE 'string' END"
+    )
+
+
+@query(
+    "schema_drift",
+    f"{_DIRTY}, found AS ("
+    + " UNION ALL ".join(
+        f"SELECT '{name}' AS \"column\", {kind} AS old_type, {_found_type(name)} AS new_type FROM dirty"
+        for name, kind in [("event_id", "CAST(NULL AS VARCHAR)"), *[(f.name, f"'{f.dataType.simpleString()}'") for f in BAR_SCHEMA.fields]]
+    ).replace('"event_id"', 'CAST(event_id AS VARCHAR)')
+    + """)
+SELECT "column", CASE WHEN old_type IS NULL THEN 'added' ELSE 'type' END AS change, old_type, new_type
+FROM found WHERE old_type IS DISTINCT FROM new_type""",
+)
 def schema_drift(spark, folder):
     """What a scan of the dirty ticks' CSV files finds, against the bar table."""
     path = work_folder(spark, "drift")

@@ -107,7 +107,7 @@ def test_access_and_fallback(spark):
     first = spark.createDataFrame([(1, "x"), (2, None)], "query_id int, response string")
     second = spark.createDataFrame([(1, "y"), (2, "z")], "query_id int, response string")
     rows = R.answers_with_fallback(queries, first, second).orderBy("query_id").collect()
-    assert [tuple(r) for r in rows] == [(1, "x", "primary"), (2, "z", "fallback"), (3, None, None)]
+    assert [tuple(r) for r in rows] == [(1, "x", "primary", True), (2, "z", "fallback", False), (3, None, None, False)]
 
 
 def test_short_hit_lists_are_broadcast(spark, tmp_path):
