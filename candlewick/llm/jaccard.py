@@ -369,7 +369,8 @@ def jaccard_join(
     documents = documents.select(F.col("d.ids").alias("id"), F.col("d.keys").alias("key"), F.col("d.sizes").alias("size"))
     classes = documents.filter("size > 0").groupBy("key").agg(F.min("id").alias("least"))
     classes = stored(classes.join(joined, "key", "left").join(links, "key", "left"), "join-classes")
-    least = classes.filter("component IS NOT NULL").groupBy("component").agg(F.min("least").alias("component_id"))
+    # Stored, so that this join too has plain tables on both sides and a large component can be split.
+    least = stored(classes.filter("component IS NOT NULL").groupBy("component").agg(F.min("least").alias("component_id")), "join-least")
     named = classes.join(least, "component", "left")
     named = stored(named.select("key", F.coalesce("component_id", "least").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")), "join-classes")
     full = documents.withColumn("key", F.when(F.col("size") > 0, F.col("key"))).join(named, "key", "left")
