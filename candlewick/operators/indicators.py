@@ -1,8 +1,8 @@
 """SMA, EMA, RSI and MACD of long series.
 
-All functions expect one row per key and time (``clean.dedup_bars``). They work
-on the narrow series (key, time, value) and join the result back, so other
-columns are shuffled once. The series is cut into blocks of equal row count:
+All functions give back the rows they are given, repeated times included: rows of
+one time follow in the order of their other columns. The columns travel with the
+series; nothing is joined back by time. The series is cut into blocks of equal row count:
 
 * trailing windows see copies of the rows just before their block;
 * an exponential mean is the block's own weighted sum plus the sums of the
@@ -20,6 +20,7 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from candlewick.functions.scalars import to_number
 from candlewick.operators.clean import drop_incomplete
@@ -190,20 +191,55 @@ def _with_move(rows: DataFrame, key: Sequence[str], order: str) -> DataFrame:
     )
 
 
-def _rsi_value(no_loss: float | None) -> str:
-    """RSI from the averages; null without loss, or when both are too small to be divided."""
-    value = "if(greatest(_avg_gain, _avg_loss) > 1e-290D, 100 - 100 / (1 + _avg_gain / nullif(_avg_loss, 0D)), NULL)"
-    return value if no_loss is None else f"coalesce({value}, {float(no_loss)!r}D)"
+def _rsi_value(gain: str, loss: str, lost: str) -> str:
+    """RSI from the averages; 100 if losses have faded beyond what a double holds, null if there were none."""
+    return f"if({loss} > 0 AND greatest({gain}, {loss}) > 1e-290D, 100 - 100 / (1 + {gain} / {loss}), if({lost}, 100D, NULL))"
+
+
+def _with_rsi(rows: DataFrame, key: Sequence[str], out: str, no_loss: float | None = None) -> DataFrame:
+    """Add the RSI to rows with ``_gain``, ``_loss`` and their averages.
+
+    A row without a move scales both averages alike and so has the last moving row's value. Averages
+    underflow in a long flat stretch, so the value is taken where there is a move and carried on: inside a block by
+    a window, across blocks by one small row for each block.
+    """
+    block = [*key, "_block"]
+    keys, blocks = (", ".join(f"`{name}`" for name in names) for names in (key, block))
+    moves = "_gain > 0 OR _loss > 0"
+    ends = rows.groupBy(*block).agg(
+        F.expr(f"max_by(_avg_gain, _pos) FILTER (WHERE {moves})").alias("_gain_end"),
+        F.expr(f"max_by(_avg_loss, _pos) FILTER (WHERE {moves})").alias("_loss_end"),
+        F.expr("bool_or(_loss > 0)").alias("_lost"),
+    )
+    earlier = f"OVER (PARTITION BY {keys} ORDER BY _block ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    ends = ends.selectExpr("*", f"coalesce(bool_or(_lost) {earlier}, false) AS _lost_before")
+    ends = ends.selectExpr("*", f"if(_gain_end IS NULL, NULL, {_rsi_value('_gain_end', '_loss_end', '_lost OR _lost_before')}) AS _rsi_end")
+    ends = ends.selectExpr(*block, "_lost_before", f"last(_rsi_end, true) {earlier} AS _rsi_before")
+    running = f"OVER (PARTITION BY {blocks} ORDER BY _pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    joined = rows.join(ends, block, "left").selectExpr("*", f"_lost_before OR bool_or(_loss > 0) {running} AS _lost")
+    valued = joined.selectExpr("*", f"if({moves}, {_rsi_value('_avg_gain', '_avg_loss', '_lost')}, NULL) AS _rsi_here")
+    value = f"coalesce(last(_rsi_here, true) {running}, _rsi_before)"
+    value = value if no_loss is None else f"coalesce({value}, {float(no_loss)!r}D)"
+    return valued.selectExpr(*rows.columns, f"{value} AS {out}")
 
 
 def _series(df: DataFrame, column: str, key: Sequence[str], order: str) -> DataFrame:
-    known = df.select(*key, order, to_number(column).alias("_x"))
-    return drop_incomplete(known, [*key, order])
+    return drop_incomplete(df.withColumn("_x", to_number(column)), [*key, order])
+
+
+def _ties(df: DataFrame, key: Sequence[str], order: str) -> list[str]:
+    """The columns that decide between rows of one time: all others that can be ordered."""
+    unordered = (T.MapType, T.VariantType)
+    return [f.name for f in df.schema.fields if f.name not in (*key, order) and not isinstance(f.dataType, unordered)]
 
 
-def _attach(df: DataFrame, result: DataFrame, key: Sequence[str], order: str, outputs: Sequence[str]) -> DataFrame:
-    """Join the results back; rows without key or time keep null results."""
-    return df.join(result.select(*key, order, *outputs), [*key, order], "left").select(*df.columns, *outputs)
+def _all_rows(df: DataFrame, result: DataFrame, key: Sequence[str], order: str, outputs: Sequence[str]) -> DataFrame:
+    """The result and, with null results, the rows that have no key or time."""
+    done = result.select(*df.columns, *outputs)
+    if not any(df.schema[name].nullable for name in (*key, order)):
+        return done
+    rest = df.filter(" OR ".join(f"`{name}` IS NULL" for name in (*key, order)))
+    return done.unionByName(rest.select(*df.columns, *[F.lit(None).cast("double").alias(name) for name in outputs]))
 
 
 def sma(
@@ -218,11 +254,12 @@ def sma(
     """Mean of the last up to ``n`` values; shorter at the start unless ``min_rows`` asks for more rows."""
     out = out or f"sma_{n}"
     size = block_rows([], n - 1)
-    rows = spread_to_blocks(with_position(_series(df, col, key, order), key, order), size, n - 1)
-    result = own_rows(_with_trailing_mean(rows, key, order, n, "_mean"), size).withColumn(
+    placed = with_position(_series(df, col, key, order), key, order, ties=_ties(df, key, order))
+    rows = spread_to_blocks(placed, size, n - 1)
+    result = own_rows(_with_trailing_mean(rows, key, "_pos", n, "_mean"), size).withColumn(
         out, F.when(F.col("_pos") + 1 >= min_rows, F.col("_mean"))
     )
-    return _attach(df, result, key, order, [out])
+    return _all_rows(df, result, key, order, [out])
 
 
 def ema(
@@ -248,11 +285,11 @@ def ema(
     if alpha == 1:  # all weight on the newest row
         return df.withColumn(out, to_number(col))
     size = block_rows([alpha])
-    placed = with_position(_series(df, col, key, order), key, order, count_values="_x")
+    placed = with_position(_series(df, col, key, order), key, order, count_values="_x", ties=_ties(df, key, order))
     rows = spread_to_blocks(placed, size)
-    result = _smooth(rows, key, order, size, [Smoothing("_x", alpha, "_mean")])
+    result = _smooth(rows, key, "_pos", size, [Smoothing("_x", alpha, "_mean")])
     result = result.withColumn(out, F.when(F.col("_seen") > 0, F.col("_mean")))
-    return _attach(df, result, key, order, [out])
+    return _all_rows(df, result, key, order, [out])
 
 
 def rsi(
@@ -264,17 +301,20 @@ def rsi(
     order: str = "datetime",
     no_loss: float | None = None,
 ) -> DataFrame:
-    """Relative strength with Wilder's smoothing; ``no_loss`` (default null) while there was no loss."""
+    """Relative strength with Wilder's smoothing; ``no_loss`` (default null) while there was no loss.
+
+    Through rows without a move, however many, the value stays what it was.
+    """
     out = out or f"rsi_{period}"
     if period < 2:
         raise ValueError("period must be at least 2")
     alpha = 1.0 / period
     size = block_rows([alpha])
-    rows = spread_to_blocks(with_position(_series(df, col, key, order), key, order), size, 1)
-    moved = _with_move(rows, key, order)
+    placed = with_position(_series(df, col, key, order), key, order, ties=_ties(df, key, order))
+    moved = _with_move(spread_to_blocks(placed, size, 1), key, "_pos")
     specs = [Smoothing("_gain", alpha, "_avg_gain"), Smoothing("_loss", alpha, "_avg_loss")]
-    result = _smooth(own_rows(moved, size), key, order, size, specs).withColumn(out, F.expr(_rsi_value(no_loss)))
-    return _attach(df, result, key, order, [out])
+    result = _with_rsi(_smooth(own_rows(moved, size), key, "_pos", size, specs), key, out, no_loss)
+    return _all_rows(df, result, key, order, [out])
 
 
 def macd(
@@ -289,18 +329,17 @@ def macd(
     """Fast minus slow exponential mean (``macd``), its mean (``macd_signal``) and their gap (``macd_hist``)."""
     alphas = [span_alpha(span) for span in (fast, slow, signal)]
     size = block_rows(alphas)
-    placed = with_position(_series(df, col, key, order), key, order, count_values="_x")
+    placed = with_position(_series(df, col, key, order), key, order, count_values="_x", ties=_ties(df, key, order))
     rows = spread_to_blocks(placed, size)
     lines = [Smoothing("_x", alphas[0], "_fast"), Smoothing("_x", alphas[1], "_slow")]
-    means = _smooth(rows, key, order, size, lines, alphas[2])
+    means = _smooth(rows, key, "_pos", size, lines, alphas[2])
     result = means.selectExpr(
-        *key,
-        order,
+        *[f"`{name}`" for name in df.columns],
         "if(_seen > 0, macd, NULL) AS macd",
         "if(_seen > 0, _signal, NULL) AS macd_signal",
         "if(_seen > 0, macd - _signal, NULL) AS macd_hist",
     )
-    return _attach(df, result, key, order, ["macd", "macd_signal", "macd_hist"])
+    return _all_rows(df, result, key, order, ["macd", "macd_signal", "macd_hist"])
 
 
 @dataclass(frozen=True)
@@ -324,18 +363,20 @@ def all_indicators(
     periods: GoldPeriods = GoldPeriods(),
     key: Sequence[str] = ("symbol",),
     order: str = "datetime",
+    complete: bool = False,
 ) -> DataFrame:
-    """All indicators of ``close`` in one pass over the blocks; rows need a close."""
+    """All indicators of ``close`` over one set of blocks; rows need a close. ``complete``: none lacks its key or time."""
     wilder = 1.0 / periods.rsi
     alphas = [span_alpha(span) for span in (periods.ema, periods.fast, periods.slow, periods.signal)]
     size = block_rows([*alphas, wilder])
     reach = max(periods.sma - 1, 1)
     if reach > size // 2 and periods.sma > 2:  # too many copies for these blocks: average in larger ones
-        others = all_indicators(df, replace(periods, sma=1), key, order)
+        others = all_indicators(df, replace(periods, sma=1), key, order, complete)
         return sma(others, "close", periods.sma, key=key, order=order).select(*df.columns, *periods.outputs)
     sma_out, ema_out, rsi_out = periods.outputs[:3]
-    rows = spread_to_blocks(with_position(_series(df, "close", key, order), key, order), size, reach)
-    moved = _with_move(_with_trailing_mean(rows, key, order, periods.sma, sma_out), key, order)
+    placed = with_position(_series(df, "close", key, order), key, order, ties=_ties(df, key, order))
+    rows = spread_to_blocks(placed, size, reach)
+    moved = _with_move(_with_trailing_mean(rows, key, "_pos", periods.sma, sma_out), key, "_pos")
     specs = [
         Smoothing("_x", alphas[1], "_fast"),
         Smoothing("_x", alphas[2], "_slow"),
@@ -343,15 +384,14 @@ def all_indicators(
         Smoothing("_gain", wilder, "_avg_gain"),
         Smoothing("_loss", wilder, "_avg_loss"),
     ]
-    means = _smooth(own_rows(moved, size), key, order, size, specs, alphas[3])
+    means = _with_rsi(_smooth(own_rows(moved, size), key, "_pos", size, specs, alphas[3]), key, rsi_out)
     result = means.selectExpr(
-        *key,
-        order,
+        *[f"`{name}`" for name in df.columns],
         sma_out,
         ema_out,
-        f"{_rsi_value(None)} AS {rsi_out}",
+        rsi_out,
         "macd",
         "_signal AS macd_signal",
         "macd - _signal AS macd_hist",
     )
-    return _attach(df, result, key, order, periods.outputs)
+    return result.select(*df.columns, *periods.outputs) if complete else _all_rows(df, result, key, order, periods.outputs)

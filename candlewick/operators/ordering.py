@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 GRAIN_MICROS = 60_000_000  # one minute
+DAY_MICROS = 86_400_000_000
 
 
 def with_position(
@@ -21,27 +22,32 @@ def with_position(
     order: str = "datetime",
     grain_micros: int = GRAIN_MICROS,
     count_values: str | None = None,
+    ties: Sequence[str] = (),
 ) -> DataFrame:
     """Add ``_pos``, the 0-based position by time within the key.
 
-    ``order`` must be a timestamp that is unique within the key, so a grain of
-    one minute holds at most one row per microsecond. The cumulative count runs
-    over one small row per key and grain. With ``count_values``, ``_seen`` is the
+    ``order`` is a timestamp; rows of one time follow in the order of the columns ``ties``. One key's rows of one
+    minute are ordered in one task. The cumulative counts run over one small row per key and minute, day
+    by day, and over one per key and day. With ``count_values``, ``_seen`` is the
     number of values of that column up to and including the row.
     """
     keyed = df.withColumn("_grain", F.floor(F.unix_micros(order) / F.lit(grain_micros)))
     totals = [F.count(F.lit(1)).alias("_rows")]
     if count_values:
         totals.append(F.count(count_values).alias("_values"))
-    before = Window.partitionBy(*key).orderBy("_grain").rowsBetween(Window.unboundedPreceding, -1)
+    names = {"_rows": "_start"} | ({"_values": "_seen_start"} if count_values else {})
     counts = keyed.groupBy(*key, "_grain").agg(*totals)
-    starts = counts.select(
+    counts = counts.withColumn("_day", F.floor(F.col("_grain") * F.lit(grain_micros) / F.lit(DAY_MICROS)))
+    earlier = Window.partitionBy(*key).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    in_day = Window.partitionBy(*key, "_day").orderBy("_grain").rowsBetween(Window.unboundedPreceding, -1)
+    days = counts.groupBy(*key, "_day").agg(*[F.sum(name).alias(f"_day{name}") for name in names])
+    days = days.select(*key, "_day", *[F.coalesce(F.sum(f"_day{name}").over(earlier), F.lit(0)).alias(f"_before{name}") for name in names])
+    starts = counts.join(days, [*key, "_day"], "left").select(
         *key,
         "_grain",
-        F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"),
-        *([F.coalesce(F.sum("_values").over(before), F.lit(0)).alias("_seen_start")] if count_values else []),
+        *[(F.col(f"_before{name}") + F.coalesce(F.sum(name).over(in_day), F.lit(0))).alias(start) for name, start in names.items()],
     )
-    local = Window.partitionBy(*key, "_grain").orderBy(order)
+    local = Window.partitionBy(*key, "_grain").orderBy(order, *ties)
     ranked = keyed.withColumn("_rank", F.row_number().over(local) - 1)
     drop = ["_grain", "_rank", "_start"]
     if count_values:

@@ -25,4 +25,4 @@ def gold(
     pass ``unique=True`` when there are none, to save that shuffle.
     """
     typed = drop_incomplete(normalize_bars(bars))
-    return add_layer_columns(all_indicators(typed if unique else dedup_bars(typed), periods), crypto)
+    return add_layer_columns(all_indicators(typed if unique else dedup_bars(typed), periods, complete=True), crypto)

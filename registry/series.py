@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from candlewick import views
@@ -97,6 +99,99 @@ def macd_full(spark, folder):
     return rounded(I.macd(bars), "macd", "macd_signal", "macd_hist").drop("close")
 
 
+# Long series: each mean is summed over the rows whose weight a double can tell from nothing, so no power overflows.
+_LINES_OF = """lines AS (
+    SELECT l_orderkey * 8 + l_linenumber AS line, l_returnflag AS symbol, CAST(l_shipdate AS TIMESTAMP) AS datetime,
+           l_extendedprice AS "close" FROM lineitem)"""
+
+
+def _long_sql(source: str, order: str) -> str:
+    return f"""placed AS (
+    SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY {order}) - 1 AS i,
+           "close" - lag("close") OVER (PARTITION BY symbol ORDER BY {order}) AS delta FROM {source}),
+moved AS (SELECT *, CASE WHEN delta > 0 THEN delta ELSE 0.0 END AS gain, CASE WHEN delta < 0 THEN -delta ELSE 0.0 END AS loss FROM placed)"""
+
+
+def _long_mean(name: str, source: str, value: str, base: float, out: str) -> str:
+    """Weighted mean of a numbered series over as many rows as weigh more than 1e-18 of the newest."""
+    reach = int(42 / -math.log(base)) + 2
+    return f"""{name} AS (
+    SELECT a.symbol, a.i, sum(b.{value} * pow({base!r}, a.i - b.i)) * {1 - base!r} / (1 - pow({base!r}, a.i + 1)) AS {out}
+    FROM {source} a JOIN {source} b ON a.symbol = b.symbol AND b.i BETWEEN a.i - {reach} AND a.i GROUP BY 1, 2)"""
+
+
+_LONG_MACD = [
+    _long_mean("fast", "moved", '"close"', 1 - 2 / 13, "fast"),
+    _long_mean("slow", "moved", '"close"', 1 - 2 / 27, "slow"),
+    "gap AS (SELECT symbol, i, fast - slow AS macd FROM fast JOIN slow USING (symbol, i))",
+    _long_mean("signal", "gap", "macd", 0.8, "macd_signal"),
+]
+_LONG_RSI = [_long_mean("gains", "moved", "gain", 13 / 14, "avg_gain"), _long_mean("losses", "moved", "loss", 13 / 14, "avg_loss")]
+_LONG_EMA = [_long_mean("ema", "moved", '"close"', 1 - 2 / 51, "ema_50")]
+_LONG_SMA = "avg(\"close\") OVER (PARTITION BY symbol ORDER BY i ROWS 199 PRECEDING)"
+
+
+def order_lines(spark, folder):
+    """Order lines as a series with many rows of one day; the line's number decides their order."""
+    return views.table(spark, folder, "lineitem").selectExpr(
+        "l_orderkey * 8 + l_linenumber AS line", "l_returnflag AS symbol", "CAST(l_shipdate AS timestamp) AS datetime", "l_extendedprice AS close"
+    )
+
+
+_LONG = f"WITH {_LINES_OF}, {_long_sql('lines', 'datetime, line, "close"')}"
+
+
+@query("sma_long", f"{_LONG} SELECT line, symbol, datetime, \"close\", {near_sql(_LONG_SMA)} AS sma_200 FROM moved")
+def sma_long(spark, folder):
+    return rounded(I.sma(order_lines(spark, folder), "close", 200), "sma_200")
+
+
+@query(
+    "rsi_long",
+    f"""{_LONG}, {", ".join(_LONG_RSI)}
+SELECT line, symbol, datetime, "close", {near_sql(_RSI)} AS rsi_14 FROM moved JOIN gains USING (symbol, i) JOIN losses USING (symbol, i)""",
+)
+def rsi_long(spark, folder):
+    return rounded(I.rsi(order_lines(spark, folder), "close", 14), "rsi_14")
+
+
+@query(
+    "macd_long",
+    f"""{_LONG}, {", ".join(_LONG_MACD)}
+SELECT line, symbol, datetime, "close", {near_sql('macd')} AS macd, {near_sql('macd_signal')} AS macd_signal, {near_sql('macd - macd_signal')} AS macd_hist
+FROM moved JOIN gap USING (symbol, i) JOIN signal USING (symbol, i)""",
+)
+def macd_long(spark, folder):
+    return rounded(I.macd(order_lines(spark, folder)), "macd", "macd_signal", "macd_hist")
+
+
+@query(
+    "ema_ties",
+    f"""WITH {TICKS_SQL}, hours AS (SELECT event_id, symbol, date_trunc('hour', datetime) AS datetime, "close" FROM ticks),
+{_long_sql('hours', 'datetime, event_id')}, {", ".join(_LONG_EMA)}
+SELECT event_id, symbol, datetime, "close", {near_sql('ema_50')} AS ema_50 FROM moved JOIN ema USING (symbol, i)""",
+)
+def ema_ties(spark, folder):
+    """Ticks cut to the hour: many rows of one time, each with a value of its own."""
+    ticks = views.ticks(spark, folder).select("event_id", "symbol", F.date_trunc("hour", "datetime").alias("datetime"), "close")
+    return rounded(I.ema(ticks, "close", span=50), "ema_50")
+
+
+@query(
+    "gold_long",
+    f"""WITH {TICKS_SQL}, {_long_sql('ticks', 'datetime, event_id')}, {", ".join([*_LONG_MACD, *_LONG_RSI, *_LONG_EMA])}
+SELECT event_id, datetime, symbol, "close", {near_sql(_LONG_SMA)} AS sma_200, {near_sql('ema_50')} AS ema_50,
+       {near_sql(_RSI)} AS rsi_14, {near_sql('macd')} AS macd, {near_sql('macd_signal')} AS macd_signal,
+       {near_sql('macd - macd_signal')} AS macd_hist
+FROM moved JOIN gap USING (symbol, i) JOIN signal USING (symbol, i) JOIN ema USING (symbol, i)
+     JOIN gains USING (symbol, i) JOIN losses USING (symbol, i)""",
+)
+def gold_long(spark, folder):
+    """All indicators of the raw ticks, which fill more than one block."""
+    ticks = views.ticks(spark, folder).select("event_id", "datetime", "symbol", "close")
+    return rounded(I.all_indicators(ticks), "sma_200", "ema_50", "rsi_14", "macd", "macd_signal", "macd_hist")
+
+
 def _bucket_sql(width: str) -> str:
     if width in ("week", "month"):
         return f"CAST(date_trunc('{width}', datetime) AS TIMESTAMP)"
