@@ -462,9 +462,12 @@ def extract_text(
     """
     settings = settings or Settings()
     markup = F.coalesce(F.col(html_column).cast("string"), F.lit(""))
-    picked = pages.select(markup.alias("html"), F.xxhash64(F.col(id_column).cast("string")).alias("h"), F.length(markup).alias("n"))
-    picked = picked.filter(F.col("n").between(1, settings.sample_chars)).orderBy("h", F.xxhash64("html")).limit(settings.sample_pages)
-    model = fit([row["html"] for row in picked.select("html").collect()], settings)
+    # The sample is drawn by hashes alone; only the pages drawn are then fetched, each once.
+    marked = pages.select(markup.alias("html"), F.xxhash64(F.col(id_column).cast("string"), markup).alias("h"))
+    marked = marked.filter(F.length("html").between(1, settings.sample_chars))
+    drawn = [row["h"] for row in marked.select("h").distinct().orderBy("h").limit(settings.sample_pages).collect()]
+    found = marked.filter(F.col("h").isin(drawn)).groupBy("h").agg(F.min("html").alias("html")).collect()
+    model = fit([row["html"] for row in sorted(found)], settings)
     shared = pages.sparkSession.sparkContext.broadcast(model.weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -161,6 +161,7 @@ def classify(
             yield pa.RecordBatch.from_arrays([batch.column("label"), listed], names=["label", "counts"])
 
     samples = docs.select(F.col(id_column).alias("_id"), F.col(text_column).cast("string").alias("text")).join(F.broadcast(picked), "_id")
+    samples = samples.groupBy("_id").agg(F.min("text").alias("text"), F.max("_label").alias("_label"))
     rows = samples.select(F.col("_label").alias("label"), "text").mapInArrow(count, "label int, counts array<double>").collect()
     table = np.array([row["counts"] for row in rows], dtype=np.float64).reshape(len(rows), len(NAMES))
     order = np.lexsort(table.T) if len(rows) else np.zeros(0, np.int64)
