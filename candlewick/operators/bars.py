@@ -123,15 +123,20 @@ def history(
     return last_n_bars(resample(bars.filter(F.col("symbol") == name), interval), n_bars).orderBy("datetime")
 
 
+def week_of(date: dt.date | str) -> tuple[dt.datetime, dt.datetime]:
+    """Monday 00:00 of the week of a date, and of the next week."""
+    day = dt.date.fromisoformat(date) if isinstance(date, str) else date
+    monday = dt.datetime.combine(day - dt.timedelta(days=day.weekday()), dt.time())
+    return monday, monday + dt.timedelta(days=7)
+
+
 def week_slice(df: DataFrame, symbol: str | None, date: dt.date | str, closed: str = "both") -> DataFrame:
     """Rows from Monday 00:00 of the week of ``date`` to the next Monday 00:00, with day name and date.
 
     Both ends belong to the slice; ``closed="left"`` leaves the next Monday out.
     ``symbol=None`` keeps all symbols.
     """
-    day = dt.date.fromisoformat(date) if isinstance(date, str) else date
-    monday = dt.datetime.combine(day - dt.timedelta(days=day.weekday()), dt.time())
-    following = monday + dt.timedelta(days=7)
+    monday, following = week_of(date)
     start, end = (F.to_timestamp(F.lit(at.isoformat(sep=" "))) for at in (monday, following))
     upper = F.col("datetime") <= end if closed == "both" else F.col("datetime") < end
     rows = df if symbol is None else df.filter(F.col("symbol") == symbol)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -21,6 +22,9 @@ SETTINGS = {
 }
 
 
+_MADE: list[str] = []  # work folders of this process, deleted when it ends
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Set what the operators rely on: UTC session time, adaptive execution, stream state on disk."""
     for name, value in SETTINGS.items():
@@ -29,7 +33,7 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def work_folder(spark: SparkSession, name: str) -> str:
-    """A new, not yet existing folder below the cluster's shared ``spark.checkpoint.dir``.
+    """A new, not yet existing folder below the cluster's shared ``spark.checkpoint.dir``, deleted when the process ends.
 
     Only a local session may leave the setting out; executors of a cluster
     could not read a folder of the driver's machine.
@@ -39,7 +43,19 @@ def work_folder(spark: SparkSession, name: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         root = os.path.join(tempfile.gettempdir(), "candlewick")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if not _MADE:
+        atexit.register(clear_work)
+    _MADE.append(path)
+    return path
+
+
+def clear_work(spark: SparkSession | None = None) -> None:
+    """Delete this process's work folders. Runs by itself at the end; call it earlier once all results are written."""
+    spark = spark or SparkSession.getActiveSession()
+    while spark is not None and _MADE:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,9 +15,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
-def ticks(spark: SparkSession, folder: str) -> DataFrame:
-    """Events as ticks: one symbol per event type, volume from the properties."""
-    return table(spark, folder, "events").select(
+def ticks(spark: SparkSession, folder: str, start: dt.datetime | None = None, end: dt.datetime | None = None) -> DataFrame:
+    """Events as ticks: one symbol per event type, volume from the properties.
+
+    ``start`` (included) and ``end`` (not) are compared with the stored time, so the scan skips other rows.
+    """
+    events = table(spark, folder, "events")
+    kind = events.schema["ts"].dataType
+    if start is not None:
+        events = events.filter(F.col("ts") >= F.lit(start).cast(kind))
+    if end is not None:
+        events = events.filter(F.col("ts") < F.lit(end).cast(kind))
+    return events.select(
         "event_id",
         F.col("event_type").alias("symbol"),
         F.col("ts").cast("timestamp").alias("datetime"),
@@ -24,8 +35,10 @@ def ticks(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def bars(spark: SparkSession, folder: str, interval: str) -> DataFrame:
-    return resample(ticks(spark, folder), interval)
+def bars(
+    spark: SparkSession, folder: str, interval: str, start: dt.datetime | None = None, end: dt.datetime | None = None
+) -> DataFrame:
+    return resample(ticks(spark, folder, start, end), interval)
 
 
 def trades(spark: SparkSession, folder: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import math
 
 from pyspark.sql import functions as F
@@ -257,7 +258,10 @@ SELECT *, dayname(datetime) AS dow, CAST(datetime AS DATE) AS date FROM bars
 WHERE datetime BETWEEN date_trunc('week', DATE '2024-01-10') AND date_trunc('week', DATE '2024-01-10') + INTERVAL 7 DAY""",
 )
 def week_slice(spark, folder):
-    return B.week_slice(views.bars(spark, folder, "daily"), None, "2024-01-10")
+    """Only the ticks of the week and of the Monday after it are read."""
+    monday, following = B.week_of("2024-01-10")
+    bars = views.bars(spark, folder, "daily", monday, following + dt.timedelta(days=1))
+    return B.week_slice(bars, None, "2024-01-10")
 
 
 @query(

@@ -165,3 +165,10 @@ def test_times(spark):
     assert row[1] == dt.datetime(2026, 3, 9, 11, 21, 59, 999000)
     assert row[2] == 1774451700000
     assert row[3] == "2026-03-09T11:21:59.999Z"
+
+
+def test_week_slice_reads_its_week_only(spark):
+    from __spark_entry__ import QUERIES
+
+    plan = QUERIES["week_slice"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(ts,2024-01-08" in plan and "LessThan(ts,2024-01-16" in plan
