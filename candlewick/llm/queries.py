@@ -93,16 +93,19 @@ v AS (SELECT u.*, n FROM u JOIN alive USING (doc_id)),
 pairs AS (
     SELECT a.doc_id AS x, b.doc_id AS y FROM v a JOIN v b ON a.token = b.token AND a.doc_id <> b.doc_id AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
     GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
-reach AS (SELECT x, y FROM pairs UNION SELECT r.x, p.y FROM reach r JOIN pairs p ON r.y = p.x)
-SELECT s.doc_id, CAST(len(set) AS BIGINT) AS n_shingles, least(s.doc_id, coalesce(min(y), s.doc_id)) AS component_id
-FROM s LEFT JOIN reach ON s.doc_id = reach.x GROUP BY s.doc_id, set"""
+reach AS (SELECT x, y FROM pairs UNION SELECT r.x, p.y FROM reach r JOIN pairs p ON r.y = p.x),
+class AS (SELECT doc_id, hash(list_sort(set)) AS c FROM s),
+linked AS (
+    SELECT x, count(DISTINCT b.c) AS n FROM pairs JOIN class a ON a.doc_id = x JOIN class b ON b.doc_id = y WHERE a.c <> b.c GROUP BY x)
+SELECT s.doc_id, CAST(len(set) AS BIGINT) AS n_shingles, least(s.doc_id, coalesce(min(y), s.doc_id)) AS component_id,
+       CAST(coalesce(max(n), 0) AS BIGINT) AS n_links
+FROM s LEFT JOIN reach ON s.doc_id = reach.x LEFT JOIN linked ON s.doc_id = linked.x GROUP BY s.doc_id, set"""
 
 
 @query("op4_ngram_jaccard_join", _OP4_SQL)
 def op4_ngram_jaccard_join(spark, folder):
     """Groups of documents whose four-word shingle sets have a similarity of 0.85 or more."""
-    joined = jaccard.jaccard_join(table(spark, folder, "documents"), k=4, num=85, den=100)
-    return joined.select("doc_id", "n_shingles", "component_id")
+    return jaccard.jaccard_join(table(spark, folder, "documents"), k=4, num=85, den=100)
 
 
 @query("op5_source_mixing")
