@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.operators.clean import KEY, value_columns
-from candlewick.operators.quantiles import exact_quantiles
+from candlewick.operators.quantiles import exact_quantiles, first_look
 from candlewick.session import stored
 
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
@@ -107,23 +107,24 @@ def describe_by(
 
     Quartiles are exact unless ``approximate`` asks for sketches.
     """
-    names = list(columns or value_columns(df))
-    entries = F.array(*[F.struct(F.lit(name).alias("column"), F.col(name).alias("value")) for name in names])
-    long = df.filter(F.col(key).isNotNull()).select(key, F.explode(entries).alias("_e")).select(key, "_e.*")
-    basic = [
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    ]
+    names, probs = list(columns or value_columns(df)), list(QUARTILES.values())
+    rows = df.filter(F.col(key).isNotNull()).select(key, *names)
+
+    def looked(name: str) -> Column:
+        basic = {"count": F.count(name), "mean": F.avg(name), "std": F.stddev_samp(name), "min": F.min(name), "max": F.max(name)}
+        more = [F.percentile_approx(name, probs).alias("_sketch")] if approximate else first_look(name, probs)
+        return F.struct(F.lit(name).alias("column"), *[value.alias(stat) for stat, value in basic.items()], *more)
+
+    # The first scan takes each column as it is; only the later ones, for the values' bins, put columns one below the other.
+    wide = rows.groupBy(key).agg(F.array(*[looked(name) for name in names]).alias("_all"))
+    summary = wide.select(key, F.explode("_all").alias("_one")).select(key, "_one.*")
     group = [key, "column"]
     if approximate:
-        sketch = F.percentile_approx("value", list(QUARTILES.values())).alias("_sketch")
-        stats = long.groupBy(*group).agg(*basic, sketch)
-        stats = stats.withColumns({name: F.col("_sketch")[i] for i, name in enumerate(QUARTILES)})
+        stats = summary.withColumns({name: F.col("_sketch")[i] for i, name in enumerate(QUARTILES)})
     else:
-        stats = exact_quantiles(long, group, "value", list(QUARTILES.values()), list(QUARTILES), also=basic)
+        entries = F.array(*[F.struct(F.lit(name).alias("column"), F.col(name).alias("value")) for name in names])
+        long = rows.select(key, F.explode(entries).alias("_e")).select(key, "_e.*")
+        stats = exact_quantiles(long, group, "value", probs, list(QUARTILES), summary=summary)
     floats = ["mean", "std", "min", *QUARTILES, "max"]
     return stats.select(*group, "count", *[F.bround(name, 6).alias(name) for name in floats])
 

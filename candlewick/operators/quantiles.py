@@ -20,6 +20,18 @@ from candlewick.session import stored
 BINS = 1024  # per segment in which a wanted rank is expected
 
 
+def near_probs(probs: Sequence[float], accuracy: int = 1000) -> list[float]:
+    """Places just below and above the wanted ones, between which a sketch surely has them."""
+    margin = 2.0 / accuracy
+    return sorted({min(max(p + side * margin, 0.0), 1.0) for p in probs for side in (-1, 1)})
+
+
+def first_look(column: str, probs: Sequence[float], accuracy: int = 1000) -> list[Column]:
+    """Least and greatest value and the sketch's cut points: what a first scan must find."""
+    sketch = F.percentile_approx(column, near_probs(probs, accuracy), accuracy)
+    return [F.min(column).alias("_min"), F.max(column).alias("_max"), sketch.alias("_near")]
+
+
 def exact_quantiles(
     df: DataFrame,
     keys: Sequence[str],
@@ -28,22 +40,18 @@ def exact_quantiles(
     names: Sequence[str],
     accuracy: int = 1000,
     also: Sequence[Column] = (),
+    summary: DataFrame | None = None,
 ) -> DataFrame:
     """One row per key with the given quantiles, linear between neighbouring ranks.
 
-    ``also`` are further aggregates of the same column, taken in the first scan.
-    Groups without values have null quantiles.
+    ``also`` are further aggregates of the same column, taken in the first scan; a ``summary`` that has the keys,
+    the columns of :func:`first_look` and any others replaces that scan. Groups without values have null quantiles.
     """
     keys = list(keys)
     rows = df.select(*keys, column).withColumn("_v", F.col(column))
-    margin = 2.0 / accuracy
-    near = sorted({min(max(p + side * margin, 0.0), 1.0) for p in probs for side in (-1, 1)})
-    summary = rows.groupBy(*keys).agg(
-        F.min("_v").alias("_min"),
-        F.max("_v").alias("_max"),
-        F.percentile_approx("_v", near, accuracy).alias("_near"),
-        *also,
-    )
+    near = near_probs(probs, accuracy)
+    if summary is None:
+        summary = rows.groupBy(*keys).agg(*first_look("_v", probs, accuracy), *also)
     extras = [name for name in summary.columns if name not in (*keys, "_min", "_max", "_near")]
     cut_points = F.expr("array_sort(concat(array(_min), _near, array(_max)))").alias("_cuts")
     summary = stored(summary.select(*keys, cut_points, *extras), "cuts")

@@ -73,7 +73,7 @@ def test_gaps_and_missing_days(spark):
     rows = [("a", noon, 1.0), ("a", noon, 2.0), ("a", noon + dt.timedelta(days=3), 1.0), ("a", None, 1.0)]
     df = frame(spark, rows)
     row = Q.gap_check(df).first()
-    assert (row["n_rows"], row["n_times"], row["n_repeated"], row["expected"], row["missing"]) == (3, 2, 1, 4, 2)
+    assert (row["n_rows"], row["n_times"], row["n_repeated"], row["expected"], row["missing"]) == (4, 2, 1, 4, 2)  # the row without a time is a row too
     missing = sorted(row["datetime"] for row in Q.missing_days(df).collect())
     assert missing == [noon + dt.timedelta(days=1), noon + dt.timedelta(days=2)]
 
