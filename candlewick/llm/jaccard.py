@@ -324,6 +324,7 @@ def block_links(sets: DataFrame, num: int, den: int, part: int = PART) -> DataFr
     """Search every block: ``key``, ``root`` (a class it is connected with there), ``links`` found there."""
     of_block = blocks(sets, num, den)
     counts = of_block.groupBy("block").agg(F.ceil(F.count("*") / part).cast("int").alias("cuts"))
+    counts = stored(counts, "block-sizes")  # a plain table, so that a large block's rows can be split in the join
     placed = of_block.join(counts, "block").join(sets, "key")
     own = F.pmod(F.xxhash64("key"), F.col("cuts")).cast("int")
     placed = placed.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
