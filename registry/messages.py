@@ -231,7 +231,7 @@ def time_scalars(spark, folder):
 
 _DROPS = """arrivals AS (
     SELECT event_id, event_type AS symbol, ts AS timestamp, CAST(event_id % 3 AS INTEGER) AS batch FROM events),
-ends AS (SELECT batch, epoch_ms(max(timestamp)) - 60000 AS watermark_ms FROM arrivals GROUP BY 1),
+ends AS (SELECT batch, epoch_us(max(timestamp)) // 1000 - 60000 AS watermark_ms FROM arrivals GROUP BY 1),
 marked AS (
     SELECT a.*, (SELECT max(watermark_ms) FROM ends WHERE ends.batch < a.batch) AS watermark_ms FROM arrivals a)"""
 
@@ -252,7 +252,7 @@ def arrivals(spark, folder, name):
 @query(
     "late_rows",
     f"""WITH {_DROPS} SELECT event_id, symbol, timestamp, batch, watermark_ms
-FROM marked WHERE epoch_ms(timestamp) < watermark_ms""",
+FROM marked WHERE epoch_us(timestamp) // 1000 < watermark_ms""",
 )
 def late(spark, folder):
     """The rows that came behind the watermark."""
@@ -261,7 +261,7 @@ def late(spark, folder):
 
 @query(
     "late_audit",
-    f"""WITH {_DROPS} SELECT batch, count(*) AS n_rows, count(*) FILTER (WHERE epoch_ms(timestamp) < watermark_ms) AS n_late
+    f"""WITH {_DROPS} SELECT batch, count(*) AS n_rows, count(*) FILTER (WHERE epoch_us(timestamp) // 1000 < watermark_ms) AS n_late
 FROM marked GROUP BY 1""",
 )
 def late_audit(spark, folder):
