@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import csv
 import logging
+import re
 from collections.abc import Iterator, Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +22,7 @@ from candlewick.schemas import LAYER_PARTITIONS
 log = logging.getLogger(__name__)
 
 CSV_FILES = "*.[cC][sS][vV]"
+GLOB = re.compile(r"([\\\[\]{}*?])")
 # Spark's own default keeps milliseconds only.
 CSV_WRITE = {"header": "true", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
@@ -47,7 +50,8 @@ def _headers(spark: SparkSession, path: str, any_folders: bool, options: dict) -
     found: dict[str, list[str]] = {}
     for row in lines.mapInArrow(first_lines, "line string, file string").distinct().collect():
         found.setdefault(row["line"].strip("\r\ufeff"), []).append(row["file"])
-    return [(line, sorted(files)) for line, files in sorted(found.items())]
+    # File paths come as URIs; a reader takes plain paths, in which some characters stand for many files.
+    return [(line, sorted(GLOB.sub(r"\\\1", unquote(file)) for file in files)) for line, files in sorted(found.items())]
 
 
 def _one_type(kinds: list[T.DataType]) -> T.DataType:
@@ -118,13 +122,15 @@ def csv_to_parquet(
             raise
         log.warning("no CSV files below %s: %s", source, error)
         return False
-    root = source.split("://", 1)[-1].removeprefix("file:").strip("/")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(source)
+    qualified = folder.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(folder)
+    root = qualified.toUri().getPath().strip("/")
     # File paths come as URIs: blanks are encoded, a plus sign is not.
     file = F.url_decode(F.replace("source_file", F.lit("+"), F.lit("%2B")))
-    start = F.instr(F.col("source_file"), f"/{root}/")
-    outside = F.raise_error(F.concat(F.lit("file outside the source folder: "), F.col("source_file"))).cast("string")
-    relative = F.when(start > 0, F.substr("source_file", start + len(root) + 2)).otherwise(outside)
-    placed = rows.withColumn("source_file", file).withColumn("rel_dir", F.regexp_replace(relative, "/?[^/]*$", ""))
+    start = F.instr(file, f"/{root}/")
+    outside = F.raise_error(F.concat(F.lit("file outside the source folder: "), file)).cast("string")
+    relative = F.when(start > 0, F.substr(file, start + len(root) + 2)).otherwise(outside)
+    placed = rows.withColumns({"source_file": file, "rel_dir": F.regexp_replace(relative, "/?[^/]*$", "")})
     (
         placed.hint("rebalance", F.col("rel_dir"))
         .write.mode("overwrite")
