@@ -18,8 +18,6 @@ from pyspark.sql import functions as F
 from candlewick.session import stored
 
 END = "</turn>\n"
-#: Doubling steps at most: paths up to 2 ** 40 messages. What has not met its root by then is in a cycle.
-STEPS = 40
 
 
 # What stands for each marked character; the backslash comes first when writing, last when reading.
@@ -49,7 +47,8 @@ def _climb(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
     )
     state = stored(state, "reply-trees")
     jumps = []
-    for _ in range(STEPS):
+    # No path is longer than the table: what has not met its root after so many doublings is in a cycle.
+    for _ in range(nodes.count().bit_length()):
         open_ends = state.filter("up IS NOT NULL")
         if open_ends.isEmpty():
             break

@@ -97,7 +97,7 @@ def test_divide_skip_finds_all_pairs():
 
 def test_components_of_chains_and_stars(spark):
     rng = random.Random(3)
-    links = [(i, i + 1) for i in range(300)] + [(1000, 1000 + i) for i in range(1, 200)] + [(5000, 5000), (6000, None)]
+    links = [(i, i + 1) for i in range(60)] + [(1000, 1000 + i) for i in range(1, 200)] + [(5000, 5000), (6000, None)]
     links += [(rng.randrange(2000, 2100), rng.randrange(2000, 2100)) for _ in range(60)]
     found = components.components(spark.createDataFrame(links, "a long, b long")).collect()
     group = {r["node"]: r["component"] for r in found}
