@@ -21,7 +21,7 @@ from candlewick.llm.words import SPACED, Hasher, text_chunks
 from candlewick.session import stored
 
 #: Labelled rows to learn from at most; a documented bound of the training sample only.
-SAMPLE_ROWS = 20_000
+SAMPLE_ROWS = 8_000
 #: Most and least weight of a prior, in texts.
 STRONGEST, WEAKEST = 10_000.0, 1.0
 #: Limit of evidence and prior log odds, so that neither is ever certain.
@@ -68,9 +68,9 @@ def text_counts(column: pa.Array, hasher: Hasher) -> np.ndarray:
 
 def features(counts: np.ndarray) -> np.ndarray:
     """Counts as steps over fixed cuts, so that the model can bend, and short texts apart from long ones."""
-    steps = (counts[:, :, None] > _CUTS).reshape(len(counts), len(NAMES) * len(_CUTS)).astype(np.float64)
-    short = (counts[:, -1:] < np.log1p(12) / 12.0).astype(np.float64)
-    return np.hstack([np.ones((len(counts), 1)), steps, steps * short])
+    steps = (counts[:, :, None] > _CUTS).reshape(len(counts), len(NAMES) * len(_CUTS))
+    short = counts[:, -1:] < np.log1p(12) / 12.0
+    return np.hstack([np.ones((len(counts), 1), dtype=bool), steps, steps & short]).astype(np.float32)
 
 
 @dataclass
@@ -162,10 +162,12 @@ def classify(
 
     samples = docs.select(F.col(id_column).alias("_id"), F.col(text_column).cast("string").alias("text")).join(F.broadcast(picked), "_id")
     samples = samples.groupBy("_id").agg(F.min("text").alias("text"), F.max("_label").alias("_label"))
-    rows = samples.select(F.col("_label").alias("label"), "text").mapInArrow(count, "label int, counts array<double>").collect()
-    table = np.array([row["counts"] for row in rows], dtype=np.float64).reshape(len(rows), len(NAMES))
-    order = np.lexsort(table.T) if len(rows) else np.zeros(0, np.int64)
-    model = train(table[order], np.array([row["label"] for row in rows], dtype=np.float64)[order])
+    rows = samples.select(F.col("_label").alias("label"), "text").mapInArrow(count, "label int, counts array<double>").toArrow()
+    rows = rows.combine_chunks()
+    found, marks = rows["counts"].combine_chunks(), rows["label"].to_numpy().astype(np.float64)
+    table = np.asarray(found.flatten(), dtype=np.float64).reshape(len(marks), len(NAMES))
+    order = np.lexsort((marks, *table.T))  # the sums of training come out alike however rows arrive
+    model = train(table[order], marks[order])
 
     plain = docs.select(
         F.col(text_column).cast("string").alias("text"), F.col(id_column).alias("id"), F.col(host_column).cast("string").alias("host"),
