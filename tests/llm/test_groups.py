@@ -109,6 +109,27 @@ def test_components_of_chains_and_stars(spark):
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+@pytest.mark.parametrize("place, part", [(1, 512), (150, 512), (299, 512), (150, 64)])
+def test_near_repeats_are_found_wherever_the_original_is(spark, monkeypatch, place, part):
+    monkeypatch.setattr(passages, "PART", part)
+    rng = random.Random(place)
+    word = lambda: f"v{rng.randrange(50_000)}"
+    original = [word() for _ in range(60)]
+    rows, changed = [], [*range(60)] * 5
+    rng.shuffle(changed)
+    for i in range(300):
+        passage = list(original)
+        if i != place:
+            passage[changed[i]] = f"changed{i}"
+        rows.append((i, " ".join([word() for _ in range(40)] + passage + [word() for _ in range(40)])))
+    found = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    sets = [{tuple(text.split()[p : p + 5]) for p in range(40, 96)} for _, text in rows]
+    near = {i for i in range(300) if any(len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) for j in range(i))}
+    assert len(near) >= 300 - place - 1
+    assert all(r["other_id"] < r["doc_id"] for r in found)
+    assert len(near - {r["doc_id"] for r in found}) <= 0.02 * len(near)
+
+
 def test_passages_of_fifty_words_are_found(spark):
     rng = random.Random(8)
     word = lambda: f"v{rng.randrange(5000)}"
