@@ -31,6 +31,10 @@ INLINE = frozenset(
 SILENT = frozenset("script style noscript template svg math iframe object canvas select option textarea audio video head title".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSED_BY_SAME = {"p": "p", "li": "li", "option": "option", "tr": "tr", "td": "td", "th": "td", "dd": "dd", "dt": "dd"}
+#: All that a head may hold; any other element ends an open one, and text does too.
+IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title head".split())
+#: Raw elements that a slash at the end of their tag closes.
+SELF_CLOSED = frozenset("svg iframe".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -63,8 +67,15 @@ def blocks_of(page: str) -> list[Block]:
         if text:
             found.append(Block(text, tuple(name for _, name in stack)))
 
+    def close_from(depth: int) -> None:
+        nonlocal silent
+        silent -= sum(name in SILENT for name, _ in stack[depth:])
+        del stack[depth:]
+
     at, silent = 0, 0
     for match in iter(lambda: _TOKEN.search(page, at), None):
+        if silent and stack[-1][0] == "head" and not page[at : match.start()].isspace() and match.start() > at:
+            close_from(len(stack) - 1)
         if not silent and match.start() > at:
             pieces.append(page[at : match.start()])
         at = match.end()
@@ -78,10 +89,11 @@ def blocks_of(page: str) -> list[Block]:
             end_block()
             for depth in range(len(stack) - 1, -1, -1):
                 if stack[depth][0] == tag:
-                    silent -= sum(name in SILENT for name, _ in stack[depth:])
-                    del stack[depth:]
+                    close_from(depth)
                     break
             continue
+        if stack and stack[-1][0] == "head" and tag not in IN_HEAD:
+            close_from(len(stack) - 1)
         if tag in INLINE:
             continue
         end_block()
@@ -89,9 +101,11 @@ def blocks_of(page: str) -> list[Block]:
             continue
         same = CLOSED_BY_SAME.get(tag)
         if same and stack and CLOSED_BY_SAME.get(stack[-1][0]) == same:
-            stack.pop()
+            close_from(len(stack) - 1)
         elif stack and stack[-1][0] == "p":  # a block-level element ends an open paragraph
-            stack.pop()
+            close_from(len(stack) - 1)
+        if tag in SELF_CLOSED and (match.group("attrs") or "").rstrip().endswith("/"):
+            continue
         if tag in _RAW_END:
             close = _RAW_END[tag].search(page, at)
             at = close.end() if close else len(page)
@@ -102,6 +116,8 @@ def blocks_of(page: str) -> list[Block]:
         labels = " ".join(a or b or c for a, b, c in _LABEL.findall(attrs))
         stack.append((tag, f"{tag} {labels.lower()}".strip()))
         silent += tag in SILENT
+    if silent and stack[-1][0] == "head" and page[at:].strip():
+        close_from(len(stack) - 1)
     if not silent and at < len(page):
         pieces.append(page[at:])
     end_block()

@@ -124,6 +124,24 @@ def test_blocks_of_broken_markup():
     assert extract.blocks_of("") == [] and extract.blocks_of("<style>x") == []
 
 
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ("<p>a<select><option>A<option>B</select><p>b", ["a", "b"]),
+        ("<p>a<select><optgroup><option>A<optgroup><option>B<option>C</select>b", ["a", "b"]),
+        ("<html><head><title>t</title><meta name=x><body><p>a<p>b", ["a", "b"]),
+        ("<html><head><title>t</title><link rel=x><p>a<div>b", ["a", "b"]),
+        ("<head><title>t</title>\n<b>a</b> b<p>c", ["a b", "c"]),
+        ("<head><style>x</style> a <p>b", ["a", "b"]),
+        ("<head><title>t</title>a", ["a"]),
+        ("<head><title>t</title></head><body>a", ["a"]),
+        ("<p>a<svg width=1 /><p>b<iframe src='x'/><p>c<svg><path/>no</svg>d", ["a", "b", "c", "d"]),
+    ],
+)
+def test_blocks_after_omitted_end_tags(page, want):
+    assert [b.text for b in extract.blocks_of(page)] == want
+
+
 def test_gradients_are_those_of_the_loss():
     settings = extract.Settings(path_dim=3, word_dim=2, hidden=2)
     model = extract.Labeller.new(settings)
