@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.llm.words import mix, shingles
+from candlewick.session import stored
 
 _WORD = re.compile(r"[^\W\d_]+")
 #: Words a task remembers; then it starts anew, so memory does not grow with the number of different words.
@@ -37,8 +38,10 @@ class Settings:
     #: Labelled rows to learn from at most, and characters of one of them at most; longer texts are not learnt from.
     sample_rows: int = 8_000
     sample_chars: int = 20_000
-    #: A bucket must occur in this many texts of the sample to be learnt.
+    #: A bucket in this many texts of the sample is learnt in any case, a rarer one only if the chance that so many
+    #: of its texts are of one class by accident is below ``accident``.
     least_texts: int = 12
+    accident: float = 1e-3
     #: How far the classes are made equal in weight: 0 not at all, 1 wholly.
     balance: float = 0.4
     #: Empty words averaged into every text, so that one word of a short text does not decide alone.
@@ -109,8 +112,25 @@ def _bag(text: str, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
     return at, (np.bincount(where, np.repeat(each, counts)) / (words.total() + settings.padding)).astype(np.float32)
 
 
-def train(texts: list[str], labels: list[int], settings: Settings | None = None) -> Model:
-    """Train embeddings and softmax together by Adagrad on the cross entropy, both classes weighted alike in sum (to a root)."""
+def telling(spread: np.ndarray, ones: np.ndarray, share: float, settings: Settings) -> np.ndarray:
+    """Buckets to learn, by the number of texts that have them and how many of those are of class 1 (of all texts: ``share``)."""
+    few = np.arange(settings.least_texts)
+    logs = np.r_[0.0, np.cumsum(np.log(np.maximum(few, 1)))]
+    ways = lambda n, t: logs[n + 1] - logs[t + 1] - logs[n - t + 1]
+    learnt = spread >= settings.least_texts
+    rare = np.flatnonzero((spread > 1) & ~learnt)
+    n, t = spread[rare], ones[rare]
+    for of_class, rate in ((t, share), (n - t, 1 - share)):
+        # The chance of so many or more is at most that of some choice of so many texts all being of the class.
+        learnt[rare[(of_class > 1) & (ways(n, of_class) + of_class * np.log(rate) < np.log(settings.accident))]] = True
+    return learnt
+
+
+def train(texts: list[str], labels: list[int], settings: Settings | None = None, ones_share: float | None = None) -> Model:
+    """Train embeddings and softmax together by Adagrad on the cross entropy, both classes weighted alike in sum (to a root).
+
+    ``ones_share``: share of class 1 among all labelled rows, if the sample's is another one.
+    """
     settings = settings or Settings()
     rng = np.random.default_rng(settings.seed)
     table = rng.uniform(-1, 1, (settings.buckets, settings.dim)).astype(np.float32) / settings.dim
@@ -123,13 +143,16 @@ def train(texts: list[str], labels: list[int], settings: Settings | None = None)
         rate = (y.sum() + 0.5) / (len(y) + 1.0)
         return Model(settings, np.zeros(settings.buckets, np.float32), float(np.log(rate / (1 - rate))))
     share = np.bincount(y, minlength=2) / len(y)
-    importance = (0.5 / share) ** settings.balance
-    # A bucket that only a few texts have says nothing of others; without it the table learns what texts share.
+    whole = share if ones_share is None else np.array([1 - ones_share, ones_share])
+    importance = (0.5 / whole) ** settings.balance * whole / share
+    # A bucket that only a few texts of either class have says nothing of others; without it the table learns what texts share.
     # Bags are made twice, so that those rare buckets are never all held at once.
-    spread = np.zeros(settings.buckets, dtype=np.int32)
-    for text in texts:
-        spread[_bag(text, settings)[0]] += 1
-    common = spread >= settings.least_texts
+    spread, ones = np.zeros(settings.buckets, dtype=np.int32), np.zeros(settings.buckets, dtype=np.int32)
+    for text, one in zip(texts, y, strict=True):
+        at = _bag(text, settings)[0]
+        spread[at] += 1
+        ones[at] += one
+    common = telling(spread, ones, share[1], settings)
     bags = []
     for text in texts:
         at, weight = _bag(text, settings)
@@ -181,18 +204,25 @@ def held_out(id_column: Column, folds: int = 5) -> Column:
 
 def training_rows(
     docs: DataFrame, labels: DataFrame, label_column: str, id_column: str, text_column: str, rows: int, chars: int
-) -> list[tuple[str, int]]:
-    """A bounded sample of labelled texts outside the held-out fold, the same on every run.
+) -> tuple[list[tuple[str, int]], float | None]:
+    """A bounded sample of labelled texts outside the held-out fold, the same on every run; a rare class is in it up to half the rows.
+
+    With it comes the share of class 1 among all of them.
 
     Rows without id, label or text are not used; of repeated labels the highest counts, of repeated documents the least text.
     """
     marked = labels.filter(F.col(id_column).isNotNull() & F.col(label_column).isNotNull() & ~held_out(F.col(id_column)))
     marked = marked.groupBy(F.col(id_column).alias("id")).agg(F.max(label_column).cast("int").alias("label"))
-    picked = marked.orderBy(F.xxhash64("id"), "id").limit(rows)
+    # Half the sample for either class; what one does not fill is the other's.
+    marked = stored(marked, "toxicity-labels")
+    n_ones, n_zeros = (marked.filter(F.col("label") == x).count() for x in (1, 0))
+    one, zero = (marked.filter(F.col("label") == x).orderBy(F.xxhash64("id"), "id") for x in (1, 0))
+    ones = min(n_ones, max(rows // 2, rows - n_zeros))
+    picked = one.limit(ones).union(zero.limit(rows - ones))
     texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
     texts = texts.filter(F.length("text") <= chars).join(F.broadcast(picked), "id")
     found = texts.groupBy("id").agg(F.min("text").alias("text"), F.max("label").alias("label")).orderBy("id").collect()
-    return [(row["text"], row["label"]) for row in found]
+    return [(row["text"], row["label"]) for row in found], n_ones / (n_ones + n_zeros) if n_ones and n_zeros else None
 
 
 def score_toxicity(
@@ -211,8 +241,8 @@ def score_toxicity(
     columns are read, and a score depends on the text alone.
     """
     settings = settings or Settings()
-    pairs = training_rows(docs, labels, label_column, id_column, text_column, settings.sample_rows, settings.sample_chars)
-    model = train([text for text, _ in pairs], [label for _, label in pairs], settings)
+    pairs, ones_share = training_rows(docs, labels, label_column, id_column, text_column, settings.sample_rows, settings.sample_chars)
+    model = train([text for text, _ in pairs], [label for _, label in pairs], settings, ones_share)
     shared = docs.sparkSession.sparkContext.broadcast(model.weights)
     bias = model.bias
 

@@ -44,6 +44,20 @@ def test_unseen_misspellings_score_like_their_words():
     assert odd > 0.5 > clean and odd > other
 
 
+def test_rare_toxic_rows_are_all_learnt_from(spark):
+    rng = random.Random(1)
+    plain = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(200)]
+    rows = [(i, " ".join(rng.choices(plain, k=30)), 0) for i in range(3000)]
+    rows = [(i, text + " disgusting" if i % 100 == 0 else text, int(i % 100 == 0)) for i, text, _ in rows]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    pairs, share = toxicity.training_rows(docs, docs, "toxic", "doc_id", "text", 200, 10_000)
+    toxic = docs.filter(~toxicity.held_out(F.col("doc_id")) & (F.col("toxic") == 1)).count()
+    assert len(pairs) == 200 and sum(label for _, label in pairs) == toxic and 0.005 < share < 0.015
+    # Eight texts of one class are evidence, one of eight is not.
+    spread, ones = np.array([8, 12, 2, 8]), np.array([8, 6, 1, 1])
+    assert toxicity.telling(spread, ones, 0.02, toxicity.Settings()).tolist() == [True, True, False, False]
+
+
 def test_toxicity_of_odd_input(spark):
     rows = [(1, None), (2, ""), (3, "123 !!"), (None, "some words"), (5, "some words"), (5, "some words"), (6, "long " * 100_000)]
     docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, score int")
