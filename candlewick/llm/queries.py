@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import chat, decontaminate, extract, fingerprints, jaccard, mixing, passages, quality, tokens, toxicity
+from candlewick.llm import chat, decontaminate, extract, fingerprints, jaccard, manifest, mixing, passages, quality, tokens, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -171,3 +171,72 @@ def op9_substring_dedup(spark, folder):
 def op10_merkle_fingerprints(spark, folder):
     """Merkle fingerprints of every document and of its edited text."""
     return fingerprints.compare_with_next(table(spark, folder, "documents"))
+
+
+_FRAME = "coalesce(CAST(strlen(CAST({0} AS VARCHAR)) AS VARCHAR) || ':' || CAST({0} AS VARCHAR), '-')"
+_LEAF = " || ".join(_FRAME.format(name) for name in ("doc_id", "source", "lang", "{n_chars}", "text"))
+
+
+def _nodes_sql(name: str, lowest: str) -> str:
+    """All nodes of trees: ``tree``, ``lev``, ``place``, ``node`` and the number ``n`` of nodes of the level."""
+    return f"""{name} AS (
+    {lowest}
+    UNION ALL
+    SELECT tree, lev + 1, place // 2, sha256(string_agg(node, '' ORDER BY place)), max((n + 1) // 2)
+    FROM {name} WHERE n > 1 GROUP BY tree, lev, place // 2)"""
+
+
+def _climb_sql(name: str, start: str, nodes: str) -> str:
+    """Every row's way up: the digest so far and the siblings met."""
+    return f"""{name} AS (
+    {start}
+    UNION ALL
+    SELECT c.r, c.tree, c.lev + 1, c.place // 2,
+           sha256(CASE WHEN s.node IS NULL THEN c.folded WHEN c.place % 2 = 1 THEN s.node || c.folded ELSE c.folded || s.node END),
+           c.siblings || coalesce(s.node, '')
+    FROM {name} c JOIN {nodes} o ON o.tree = c.tree AND o.lev = c.lev AND o.place = c.place AND o.n > 1
+    LEFT JOIN {nodes} s ON s.tree = c.tree AND s.lev = c.lev AND s.place = xor(c.place, 1))"""
+
+
+# The checksum's table has 256 entries, made from its polynomial (a fixed value).
+_OP12_SQL = f"""
+WITH RECURSIVE crc AS (
+    SELECT i, CAST(i AS BIGINT) AS c, 0 AS s FROM range(256) t(i)
+    UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, s + 1 FROM crc WHERE s < 8),
+tab AS (SELECT i, c FROM crc WHERE s = 8),
+numbered AS (SELECT row_number() OVER () AS r, *, CAST(doc_id AS VARCHAR) AS digits FROM documents),
+sums AS (
+    SELECT r, digits, 0 AS k, CAST(4294967295 AS BIGINT) AS c FROM numbered WHERE digits IS NOT NULL
+    UNION ALL
+    SELECT r, digits, k + 1, xor(tab.c, sums.c >> 8)
+    FROM sums JOIN tab ON tab.i = xor(sums.c, CAST(ascii(substr(digits, k + 1, 1)) AS BIGINT)) & 255 WHERE k < length(digits)),
+hits AS (SELECT r FROM sums WHERE k = length(digits) AND xor(c, 4294967295) % 7 = 0),
+d AS (SELECT *, r IN (SELECT r FROM hits) AS hit FROM numbered),
+leaf AS (
+    SELECT r, doc_id, lang, sha256({_LEAF.format(n_chars="n_chars")}) AS leaf,
+           sha256({_LEAF.format(n_chars="(n_chars + CASE WHEN hit THEN 1 ELSE 0 END)")}) AS altered FROM d),
+langs AS (SELECT lang, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS tree FROM (SELECT DISTINCT lang FROM leaf)),
+placed AS (
+    SELECT r, doc_id, leaf, altered, tree, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+           count(*) OVER (PARTITION BY tree) AS n
+    FROM leaf JOIN langs ON leaf.lang IS NOT DISTINCT FROM langs.lang),
+{_nodes_sql("nodes", "SELECT tree, 0 AS lev, place, leaf AS node, n FROM placed")},
+subroots AS (SELECT tree, node FROM nodes WHERE n = 1),
+{_nodes_sql("tops", "SELECT 0 AS tree, 0 AS lev, tree AS place, node, (SELECT count(*) FROM subroots) AS n FROM subroots")},
+{_climb_sql("climb", "SELECT r, tree, 0 AS lev, place, altered AS folded, '' AS siblings FROM placed", "nodes")},
+arrived AS (SELECT c.* FROM climb c JOIN nodes o ON o.tree = c.tree AND o.lev = c.lev AND o.place = c.place AND o.n = 1),
+{_climb_sql("rise", "SELECT r, 0 AS tree, 0 AS lev, tree AS place, folded, siblings FROM arrived", "tops")},
+done AS (SELECT c.r, folded, siblings, o.node AS root FROM rise c JOIN tops o ON o.lev = c.lev AND o.place = c.place AND o.n = 1)
+SELECT doc_id, leaf, s.node AS subroot, root, sha256(siblings) AS proof_sha256, folded AS folded_root, folded = root AS verified
+FROM placed JOIN done USING (r) JOIN subroots s ON s.tree = placed.tree"""
+
+
+@query("op12_merkle_manifest", _OP12_SQL)
+def op12_merkle_manifest(spark, folder):
+    """Leaf, roots and proof of every document, and the root that the document leads to once some counts are raised by one."""
+    documents = table(spark, folder, "documents")
+    hit = F.crc32(F.col("doc_id").cast("string")) % manifest.TAMPER == 0
+    found = manifest.manifest(documents, altered={"n_chars": F.when(hit, F.try_add("n_chars", F.lit(1))).otherwise(F.col("n_chars"))})
+    others = F.filter("siblings", lambda s: s.isNotNull())
+    proof = F.sha2(F.array_join(F.transform(others, lambda s: s["node"]), ""), 256)
+    return found.select("doc_id", "leaf", "subroot", "root", proof.alias("proof_sha256"), "folded_root", "verified")
