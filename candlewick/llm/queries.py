@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import chat, decontaminate, extract, fingerprints, jaccard, manifest, mixing, passages, quality, tokens, toxicity
+from candlewick.llm import chat, decontaminate, extract, fingerprints, jaccard, manifest, mixing, passages, quality, tokens, toxicity, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -173,6 +173,12 @@ def op10_merkle_fingerprints(spark, folder):
     return fingerprints.compare_with_next(table(spark, folder, "documents"))
 
 
+@query("op11_embedding_whitening")
+def op11_embedding_whitening(spark, folder):
+    """Whitened coordinates of every vector along the four leading components of the distinct vectors."""
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
 _FRAME = "coalesce(CAST(strlen(CAST({0} AS VARCHAR)) AS VARCHAR) || ':' || CAST({0} AS VARCHAR), '-')"
 _LEAF = " || ".join(_FRAME.format(name) for name in ("doc_id", "source", "lang", "{n_chars}", "text"))
 
