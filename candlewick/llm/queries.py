@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import chat, decontaminate, extract, fingerprints, jaccard, manifest, mixing, passages, quality, tokens, toxicity, whitening
+from candlewick.llm import chat, decontaminate, extract, fingerprints, jaccard, lm, manifest, mixing, passages, quality, tokens, toxicity, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -246,3 +246,10 @@ def op12_merkle_manifest(spark, folder):
     others = F.filter("siblings", lambda s: s.isNotNull())
     proof = F.sha2(F.array_join(F.transform(others, lambda s: s["node"]), ""), 256)
     return found.select("doc_id", "leaf", "subroot", "root", proof.alias("proof_sha256"), "folded_root", "verified")
+
+
+@query("op13_lm_scores")
+def op13_lm_scores(spark, folder):
+    """Log probability of every document by bigrams of the documents outside the held-out tenth."""
+    training = F.crc32(F.col("doc_id").cast("string")) % 10 != 0
+    return lm.score_texts(table(spark, folder, "documents"), training)
