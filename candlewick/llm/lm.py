@@ -32,7 +32,7 @@ from candlewick.session import stored
 #: Added to every word's count in the base model.
 ADDED = 0.1
 #: Weight of the base model, in words, and the factor from one step of the count scale to the next.
-PRIOR, RATIO = 30.0, 1.25
+PRIOR, RATIO = 1000.0, 1.25
 #: Bits of the filter for each entry, and probes for one.
 BITS, PROBES = 12, 6
 #: Training words for one segment, words whose counts go with every round, bytes broadcast at once.
