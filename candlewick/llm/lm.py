@@ -23,6 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,11 +35,11 @@ ADDED = 0.1
 #: Weight of the base model, in words, and the factor from one step of the count scale to the next.
 PRIOR, RATIO = 1000.0, 1.25
 #: Bits of the filter for each entry, and probes for one.
-BITS, PROBES = 12, 6
+BITS, PROBES = 10, 6
 #: Training words for one segment, words whose counts go with every round, bytes broadcast at once.
-SEGMENT_WORDS, FREQUENT, BROADCAST_BYTES = 1 << 21, 1 << 16, 64 << 20
+SEGMENT_WORDS, FREQUENT, BROADCAST_BYTES = 1 << 21, 1 << 16, 40 << 20
 #: Distinct words or bigrams that a task holds before it passes them on.
-HELD = 1 << 21
+HELD = 1 << 20
 #: A text of more bytes is hashed in parts that end at a separator.
 PART_BYTES = 4 << 20
 
@@ -90,6 +91,11 @@ def make_filter(keys: np.ndarray, counts: np.ndarray, steps: np.ndarray) -> np.n
     return np.packbits(held, bitorder="little")
 
 
+def _width(most: int) -> np.dtype:
+    """The smallest whole-number type for counts up to ``most``."""
+    return np.min_scalar_type(most)
+
+
 class Segments:
     """Filters of several segments, one after another, and exact word counts."""
 
@@ -99,14 +105,14 @@ class Segments:
         self.start = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64) * 8
         self.data = np.frombuffer(b"".join(bits.get(s, b"") for s in range(low, high)), np.uint8)
         order = np.argsort(words, kind="stable")
-        self.words, self.counts = words[order], counts[order]
+        self.words, self.counts = words[order], counts[order].astype(_width(int(counts.max(initial=0))))
 
     def count(self, words: np.ndarray) -> np.ndarray:
         """Exact counts of words; 0 for those not held. Fast for sorted words."""
         if len(self.words) == 0:
             return np.zeros(len(words), np.int64)
         at = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
-        return np.where(self.words[at] == words, self.counts[at], 0)
+        return np.where(self.words[at] == words, self.counts[at].astype(np.int64), 0)
 
     def steps(self, keys: np.ndarray, segment: np.ndarray) -> np.ndarray:
         """The step of every key's quantised count: probes step after step until one is missing."""
@@ -305,13 +311,12 @@ def _row_sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def score_round(
-    texts: DataFrame, layout: Layout, held: Segments, total: int, distinct: int, steps: np.ndarray, first_round: bool, prior: float
+    texts: DataFrame, sent: Broadcast, total: int, distinct: int, steps: np.ndarray, first_round: bool, prior: float
 ) -> DataFrame:
-    """The parts of every text's scores that lie in the segments ``held``: the key columns, ``n_tokens``, ``n_known``, ``base``, ``score``.
+    """The parts of every text's scores that lie in the segments sent: the key columns, ``n_tokens``, ``n_known``, ``base``, ``score``.
 
-    The first round also has the parts of the frequent words and the number of words.
+    ``sent``: the broadcast layout and ``Segments``. The first round also has the parts of the frequent words and the number of words.
     """
-    sent = texts.sparkSession.sparkContext.broadcast((layout, held))
     names = [c for c in texts.columns if c != "text"]
     values = np.concatenate([[0], steps])
 
@@ -406,7 +411,8 @@ def score_texts(
     filters = stored(build_filters(deal_bigrams(learnt, layout), steps), "lm-filters")
     place = F.pmod(F.shiftrightunsigned("word", 20), F.lit(layout.segments).cast("long"))
     rare_from = words if len(layout.counts) == 0 else words.filter(F.col("count") < int(layout.counts.min()))
-    sizes = rare_from.groupBy(place.alias("segment")).agg((F.count(F.lit(1)) * 16).alias("size"))
+    width = 8 + _width(int(layout.counts.min()) if len(layout.counts) else most).itemsize
+    sizes = rare_from.groupBy(place.alias("segment")).agg((F.count(F.lit(1)) * width).alias("size"))
     largest = filters.select("segment", "size").unionByName(sizes).groupBy("segment").agg(F.sum("size").alias("size")).agg(F.max("size")).first()[0] or 1
     at_once = max(1, broadcast_bytes // int(largest))
     keyed = rows.withColumns({"_a": F.xxhash64("text"), "_b": F.xxhash64(F.lit(1), "text")})
@@ -418,12 +424,14 @@ def score_texts(
         bits = dict(zip(own.column("segment").to_pylist(), own.column("bits").to_pylist(), strict=True))
         hashes = np.asarray(near.column("word").combine_chunks()).view(np.uint64) if near.num_rows else np.zeros(0, np.uint64)
         counts = np.asarray(near.column("count").combine_chunks()) if near.num_rows else np.zeros(0, np.int64)
-        held = Segments(bits, hashes, counts, low, high)
-        found = score_round(keyed, layout, held, total, distinct, steps, low == 0, prior)
+        sent = docs.sparkSession.sparkContext.broadcast((layout, Segments(bits, hashes, counts, low, high)))
+        del own, near, bits, hashes, counts
+        found = score_round(keyed, sent, total, distinct, steps, low == 0, prior)
         if high == layout.segments and low == 0:
             parts = found
         else:
             found = stored(found, "lm-round")
+            sent.unpersist()
             parts = found if parts is None else parts.unionByName(found)
     if layout.segments > at_once:
         # Equal rows have equal parts in every round: the sum over rounds and rows, divided by the rows.
