@@ -52,21 +52,35 @@ def time_of_seconds(value: Column | str) -> Column:
 
 
 def number_text(value: Column | str) -> Column:
-    """A double as the shortest text that reads back as it: ``12345678.9``, ``0.0001``, ``2.0``; from 1e16 and below 1e-4 ``1e+16``, ``1.5e-05``."""
+    """A double as the shortest text that reads back as it: ``12345678.9``, ``0.0001``, ``2.0``; from 1e16 and below 1e-4 ``1e+16``, ``1.5e-05``.
+
+    A plain cast without exponent and of at most 15 digits is that text already; only other numbers are written anew, once each.
+    """
     value = _col(value).cast("double")
-    written = [F.format_string(f"%.{digits}e", F.abs(value)) for digits in (14, 15, 16)]
-    exact = F.coalesce(*[F.when(text.cast("double") == F.abs(value), text) for text in written[:2]], written[2])
-    digits = F.regexp_replace(F.replace(F.split_part(exact, F.lit("e"), F.lit(1)), F.lit("."), F.lit("")), "(?<=.)0+$", "")
-    exponent = F.split_part(exact, F.lit("e"), F.lit(2)).cast("int")
-    padded = F.rpad(digits, F.greatest(F.length(digits), exponent + 2), F.lit("0"))
-    large = F.concat(F.substr(padded, F.lit(1), exponent + 1), F.lit("."), F.substr(padded, exponent + 2))
-    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exponent - 1), digits)
-    point = F.when(F.length(digits) > 1, F.concat(F.substr(digits, F.lit(1), F.lit(1)), F.lit("."), F.substr(digits, F.lit(2)))).otherwise(digits)
-    far = F.concat(point, F.lit("e"), F.split_part(exact, F.lit("e"), F.lit(2)))
-    text = F.when(exponent.between(0, 15), large).when(exponent.between(-4, -1), small).otherwise(far)
-    text = F.when(F.isnan(value), "nan").when(F.abs(value) == float("inf"), "inf").when(value == 0, "0.0").otherwise(text)
-    negative = ~F.isnan(value) & F.startswith(value.cast("string"), F.lit("-"))
-    return F.when(value.isNotNull(), F.concat(F.when(negative, "-").otherwise(""), text))
+    plain, size = value.cast("string"), F.abs(value)
+    finite = ~F.isnan(value) & (size < float("inf"))
+    short = finite & ~F.contains(plain, F.lit("E")) & (F.length(plain) <= 16)
+    written = [F.format_string(f"%.{digits}e", size) for digits in (14, 15, 16)]
+    exact = F.coalesce(*[F.when(text.cast("double") == size, text) for text in written[:2]], written[2])
+
+    def layout(parts: Column) -> Column:
+        digits, exponent = parts["digits"], parts["exponent"].cast("int")
+        padded = F.rpad(digits, F.greatest(F.length(digits), exponent + 2), F.lit("0"))
+        large = F.concat(F.substr(padded, F.lit(1), exponent + 1), F.lit("."), F.substr(padded, exponent + 2))
+        small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exponent - 1), digits)
+        point = F.when(F.length(digits) > 1, F.concat(F.substr(digits, F.lit(1), F.lit(1)), F.lit("."), F.substr(digits, F.lit(2)))).otherwise(digits)
+        far = F.concat(point, F.lit("e"), parts["exponent"])
+        return F.when(exponent.between(0, 15), large).when(exponent.between(-4, -1), small).otherwise(far)
+
+    def split(text: Column) -> Column:
+        digits = F.regexp_replace(F.replace(F.split_part(text, F.lit("e"), F.lit(1)), F.lit("."), F.lit("")), "(?<=.)0+$", "")
+        return F.struct(digits.alias("digits"), F.split_part(text, F.lit("e"), F.lit(2)).alias("exponent"))
+
+    # A step over a list of one value is worked out once, however often it is used.
+    anew = F.get(F.transform(F.transform(F.array(exact), split), layout), F.lit(0))
+    text = F.when(F.isnan(value), "nan").when(size == float("inf"), "inf").otherwise(anew)
+    negative = ~F.isnan(value) & (value < 0)
+    return F.when(short, plain).when(value.isNotNull(), F.concat(F.when(negative, "-").otherwise(""), text))
 
 
 def format_symbol(symbol: Column | str, exchange: Column | str, contract: Column | str | None = None) -> Column:

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from candlewick.functions.scalars import format_symbol
+from candlewick.operators.adjust import adjust_for_splits
 from candlewick.operators.ordering import GRAIN_MICROS
+from candlewick.operators.sessions import in_sessions
 from candlewick.schemas import VALUE_COLUMNS
 from candlewick.session import stored
 
@@ -31,6 +33,9 @@ INTERVALS = {
     "monthly": "month",
 }
 
+# Bar sizes of whole trading days.
+DAYS = ("daily", "weekly", "monthly")
+
 # Up to this many rows per key Spark cuts each task's rows before the shuffle.
 GROUP_LIMIT_ROWS = 1000
 
@@ -111,16 +116,46 @@ def history(
     n_bars: int = 10,
     exchange: str | None = None,
     contract: int | None = None,
+    splits: DataFrame | None = None,
+    calendar: DataFrame | None = None,
+    session: str = "regular",
 ) -> DataFrame:
     """The last ``n_bars`` bars of one symbol at the given bar size, oldest first.
 
     With ``exchange`` (and ``contract`` for futures) the symbol is looked up
-    under its full name, ``EXCHANGE:TICKER`` or ``EXCHANGE:TICKER<n>!``.
+    under its full name, ``EXCHANGE:TICKER`` or ``EXCHANGE:TICKER<n>!``. ``splits`` (symbol, effective, factor)
+    adjusts prices and volumes before bars are made. With a ``calendar`` only rows in the exchange's sessions of the kind ``session`` count,
+    and bars start by the exchange's clock: ``datetime`` is its wall time, and daily bars are trading days.
     """
     name = F.lit(symbol)
     if exchange is not None:
         name = format_symbol(name, F.lit(exchange), None if contract is None else F.lit(contract))
-    return last_n_bars(resample(bars.filter(F.col("symbol") == name), interval), n_bars).orderBy("datetime")
+    rows = bars.filter(F.col("symbol") == name)
+    if splits is not None:
+        rows = adjust_for_splits(rows, splits.filter(F.col("symbol") == name))
+    if calendar is not None:
+        if exchange is None:
+            raise ValueError("a session calendar needs the exchange")
+        rows = in_sessions(rows.withColumn("_at", F.lit(exchange)), calendar, session, "_at")
+        clock = F.col("trading_day").cast("timestamp") if interval in DAYS else F.col("exchange_time").cast("timestamp")
+        rows = rows.withColumn("_clock", F.col("exchange_time")).withColumn("datetime", clock)
+        if interval in DAYS:  # first and last by the clock within the trading day
+            return last_n_bars(session_bars(rows, interval), n_bars).orderBy("datetime")
+    return last_n_bars(resample(rows, interval), n_bars).orderBy("datetime")
+
+
+def session_bars(rows: DataFrame, interval: str) -> DataFrame:
+    """Bars of whole trading days: ``datetime`` is the row's trading day, ``_clock`` its time, which orders rows within a bar."""
+    full = all(name in rows.columns for name in ("open", "high", "low"))
+    opened, high, low = ("open", "high", "low") if full else ("close", "close", "close")
+    grouped = rows.filter(F.col("datetime").isNotNull()).withColumn("_bar", bar_start("datetime", interval)).groupBy("symbol", "_bar")
+    return grouped.agg(
+        F.min(F.struct("_clock", opened)).getField(opened).alias("open"),
+        F.max(high).alias("high"),
+        F.min(low).alias("low"),
+        F.max(F.struct("_clock", "close")).getField("close").alias("close"),
+        F.sum("volume").alias("volume"),
+    ).select(F.col("_bar").alias("datetime"), "symbol", *VALUE_COLUMNS)
 
 
 def week_of(date: dt.date | str) -> tuple[dt.datetime, dt.datetime]:

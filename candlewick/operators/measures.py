@@ -116,8 +116,8 @@ def rejects_of(routed: DataFrame) -> DataFrame:
     return routed.filter(F.col("reason").isNotNull()).select("topic", "value", "reason")
 
 
-def latest_version(records: DataFrame, key: Sequence[str] = ("Dimensions", "MeasureName", "Time")) -> DataFrame:
+def latest_version(records: DataFrame, key: Sequence[str] = ("Dimensions", "MeasureName", "Time"), version: str = "Version") -> DataFrame:
     """The record with the highest version per key; of equal versions the greatest record."""
-    rest = [name for name in records.columns if name not in key and name != "Version"]
-    best = records.groupBy(*key).agg(F.max(F.struct("Version", *rest)).alias("_best"))
+    rest = [name for name in records.columns if name not in key and name != version]
+    best = records.groupBy(*key).agg(F.max(F.struct(version, *rest)).alias("_best"))
     return best.select(*[F.col(name) if name in key else F.col(f"_best.`{name}`") for name in records.columns])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlewick.operators.clean import KEY, value_columns
@@ -180,16 +180,45 @@ def gap_check(df: DataFrame, key: str = "symbol", step_days: int = 1) -> DataFra
     )
 
 
-def missing_days(df: DataFrame, key: str = "symbol", step_days: int = 1) -> DataFrame:
-    """The expected times, from first to last in whole steps, that no row has."""
-    found = df.filter(F.col("datetime").isNotNull()).groupBy(key, "datetime").agg(F.lit(1).alias("_one")).drop("_one")
-    spine = (
-        df.groupBy(key)
-        .agg(F.min("datetime").alias("_first"), F.max("datetime").alias("_last"))
-        .filter(F.col("_first").isNotNull())
-        .select(key, F.explode(F.expr(f"sequence(_first, _last, interval {step_days} day)")).alias("datetime"))
+def gap_intervals(df: DataFrame, key: str = "symbol", step_days: int = 1, block: int = 4096) -> DataFrame:
+    """Runs of expected times, from first to last in whole steps, that no row has: ``first_missing``, ``last_missing``, ``n_missing``.
+
+    Gaps and islands: a gap follows a time whose next one is more than a step away. Next times are found within blocks of
+    ``block`` steps, and across them over one row per key and block, so one key's times spread over many tasks, and
+    a far-off time is one row. Times that are no whole steps from the first one fill no gap. Null keys are a key.
+    """
+    step = step_days * 86_400_000_000
+    known = df.filter(F.col("datetime").isNotNull())
+    span = known.groupBy(key).agg(F.min(F.unix_micros("datetime")).alias("_from"), F.max(F.unix_micros("datetime")).alias("_to"))
+    span = stored(span.select(F.col(key).alias("_key"), "_from", F.floor((F.col("_to") - F.col("_from")) / F.lit(step)).alias("_end")), "gap-spans")
+    placed = known.select(key, F.unix_micros("datetime").alias("_at")).distinct()
+    placed = placed.join(span, placed[key].eqNullSafe(span["_key"])).withColumn("_off", F.col("_at") - F.col("_from"))
+    placed = placed.filter(F.col("_off") % step == 0).withColumn("_i", (F.col("_off") / F.lit(step)).cast("long"))
+    placed = placed.withColumn("_block", F.floor(F.col("_i") / F.lit(block)))
+    heads = placed.groupBy(F.col(key).alias("_of"), F.col("_block").alias("_in")).agg(F.min("_i").alias("_head"))
+    after = F.lead("_head").over(Window.partitionBy("_of").orderBy("_in"))
+    heads = stored(heads.select("_of", "_in", after.alias("_after")), "gap-blocks")
+    following = F.lead("_i").over(Window.partitionBy(key, "_block").orderBy("_i"))
+    ends = placed.withColumn("_next", following).join(heads, placed[key].eqNullSafe(heads["_of"]) & (F.col("_block") == F.col("_in")))
+    until = F.coalesce("_next", "_after", F.col("_end") + 1)
+    gaps = ends.withColumn("_until", until).filter(F.col("_until") > F.col("_i") + 1)
+    at = lambda index: F.timestamp_micros(F.col("_from") + index * step)
+    return gaps.select(
+        key, at(F.col("_i") + 1).alias("first_missing"), at(F.col("_until") - 1).alias("last_missing"), (F.col("_until") - F.col("_i") - 1).alias("n_missing")
     )
-    return spine.alias("spine").join(found.alias("found"), _on_key("spine", "found", [key, "datetime"]), "left_anti")
+
+
+def missing_days(df: DataFrame, key: str = "symbol", step_days: int = 1) -> DataFrame:
+    """The expected times, from first to last in whole steps, that no row has.
+
+    Gaps become times in two steps, so no list is longer than 4,096 entries, however far apart two times lie.
+    """
+    step, most = step_days * 86_400_000_000, 4096
+    gaps = gap_intervals(df, key, step_days).withColumn("_from", F.unix_micros("first_missing"))
+    pieces = gaps.select(key, "_from", "n_missing", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_missing") - 1, F.lit(most).cast("long"))).alias("_piece"))
+    last = F.least(F.col("_piece") + (most - 1), F.col("n_missing") - 1)
+    steps = pieces.select(key, "_from", F.explode(F.sequence("_piece", last)).alias("_i"))
+    return steps.select(key, F.timestamp_micros(F.col("_from") + F.col("_i") * step).alias("datetime"))
 
 
 def value_range(df: DataFrame, column: str = "close") -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -11,6 +10,7 @@ from candlewick.functions.scalars import time_to_iso
 from candlewick.operators.vwap import priced, vwap_value
 from candlewick.session import work_folder
 from candlewick.sources.kafka import to_messages
+from candlewick.streaming.corrections import greatest_time, log_time
 
 
 def vwap_stream(
@@ -70,16 +70,12 @@ def split_late(
     A batch's watermark is the greatest event time of all earlier batches less the delay, as for a
     windowed query; a row is late if its time lies before it. ``watermark_ms`` says which it was; in the
     first batch it is null and nothing is late. Rows without a time are never late. Each batch replaces its own folders,
-    so a batch that is run again after a failure leaves every row once, and its watermark is read from the batches before it.
+    so a batch that is run again after a failure leaves every row once. The greatest time comes from a ledger
+    below ``path`` with one row per batch; earlier rows are not read again.
     """
     def write(rows: DataFrame, batch: int) -> None:
-        own = rows.sparkSession
-        try:
-            seen = own.read.parquet(path).filter(F.col("batch") < batch).agg(F.max(F.unix_millis(time)).alias("last")).first()["last"]
-        except AnalysisException as error:
-            if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                raise
-            seen = None
+        seen = greatest_time(rows.sparkSession, f"{path}/_times", batch)
+        log_time(rows, time, f"{path}/_times", batch, seen)
         limit = F.lit(seen).cast("long") - F.unix_millis(F.timestamp_seconds(F.lit(0)) + F.expr(f"INTERVAL {watermark}"))
         marked = rows.withColumn("watermark_ms", limit).withColumn("batch", F.lit(batch))
         marked = marked.withColumn("late", F.coalesce((F.unix_millis(time) < F.col("watermark_ms")).cast("int"), F.lit(0)))

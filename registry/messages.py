@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 from candlewick import views
 from candlewick.functions.scalars import format_symbol, iso_to_ms, ms_to_iso, ms_to_time, time_of_seconds, time_to_iso
 from candlewick.operators import measures as M
+from candlewick.schemas import MEASURE_SCHEMA
 from candlewick.session import work_folder
 from candlewick.sources.kafka import to_messages, topic_envelope
+from candlewick.sources.versioned import VersionedTable
 from candlewick.streaming.candles import closed_candles, live_candles, parse_candles
+from candlewick.streaming.delivery import Delivery, folder_writer
 from candlewick.streaming.jobs import drain, late_counts, split_late
 from registry import TICKS_SQL, query
 
@@ -267,3 +270,79 @@ FROM marked GROUP BY 1""",
 def late_audit(spark, folder):
     """Rows and late rows per batch, over three starts of one stream."""
     return late_counts(spark, arrivals(spark, folder, "late-audit"))
+
+
+def deliveries(spark, folder, name):
+    """The routed events, delivered in three drops; the writer of one table fails in the first, that of another in the second."""
+    staged, inbox, out, checkpoint, tables = (work_folder(spark, f"{name}-{part}") for part in ("staged", "inbox", "out", "checkpoint", "tables"))
+    events = views.table(spark, folder, "events")
+    events.withColumn("drop", F.col("event_id") % 3).write.partitionBy("drop").parquet(staged)
+    broken, to_folder = {("vwap_5m", 0), ("quotes_raw", 1)}, folder_writer(tables)
+
+    def write(rows, table, batch):
+        to_folder(rows, table, batch)
+        if (table, batch) in broken:
+            broken.discard((table, batch))
+            raise OSError(f"{table} did not answer")
+
+    delivery = Delivery(spark, out, write)
+    for drop in range(3):
+        spark.read.parquet(staged).filter(F.col("drop") == drop).drop("drop").write.mode("append").parquet(inbox)
+        rows = spark.readStream.schema(events.schema).parquet(inbox)
+        ticks = rows.selectExpr("event_id", "event_type AS symbol", "CAST(ts AS timestamp) AS datetime", "value AS close")
+        delivery.run(M.route_measures(routed_messages(ticks), ROUTES), checkpoint).awaitTermination()
+    delivery.deliver()
+    return delivery, tables
+
+
+@query("route_tables", _ROUTED_RECORDS)
+def route_tables(spark, folder):
+    """Every table's records, once each, though two writes failed after they had written."""
+    _, tables = deliveries(spark, folder, "route-tables")
+    done = None
+    for name in [*dict.fromkeys(route.table for route in ROUTES), M.REJECTS]:
+        rows = spark.read.parquet(f"{tables}/{name}").drop("batch").withColumn("table", F.lit(name))
+        done = rows if done is None else done.unionByName(rows)
+    return done.selectExpr(*_FLAT_RECORD)
+
+
+@query(
+    "route_ledger",
+    f"""{_ROUTED}
+SELECT event_id % 3 AS batch, "table", count(*) AS n_rows, 1 AS n_written,
+       CASE WHEN "table" = 'vwap_5m' AND event_id % 3 = 0 OR "table" = 'quotes_raw' AND event_id % 3 = 1 THEN 1 ELSE 0 END AS n_failed
+FROM routed GROUP BY ALL""",
+)
+def route_ledger(spark, folder):
+    """What the ledger says of every batch and table: one write, and a failure before it where there was one."""
+    events = deliveries(spark, folder, "route-ledger")[0].ledger()
+    return events.groupBy("batch", "table").agg(
+        F.max("n_rows").alias("n_rows"),
+        F.count_if(F.col("event") == "written").cast("int").alias("n_written"),
+        F.count_if(F.col("event") == "failed").cast("int").alias("n_failed"),
+    )
+
+
+def merged_table(spark, folder, name):
+    """Hourly records in a kept table: three deltas, the third repeated."""
+    hour = F.unix_millis(F.date_trunc("hour", "datetime"))
+    records = M.to_measure_records(views.ticks(spark, folder), "close", ["symbol"], hour, F.col("event_id"))
+    kept = VersionedTable(spark, work_folder(spark, name), MEASURE_SCHEMA, ["Dimensions", "MeasureName", "Time"], buckets=16)
+    for drop in (2, 0, 1, 1):
+        kept.merge(records.filter(F.col("Version") % 3 == drop))
+    kept.compact()
+    return kept
+
+
+@query(
+    "latest_table",
+    f"""WITH {TICKS_SQL}
+SELECT symbol, CAST(epoch_us(date_trunc('hour', datetime)) // 1000 AS VARCHAR) AS time_ms,
+       CAST(arg_max("close", event_id) AS VARCHAR) AS measure_value, max(event_id) AS version
+FROM ticks GROUP BY 1, 2""",
+)
+def latest_table(spark, folder):
+    """Per symbol and hour the record written last, from a table that three deltas were merged into."""
+    return merged_table(spark, folder, "latest-table").read().selectExpr(
+        "Dimensions[0].Value AS symbol", "Time AS time_ms", "MeasureValue AS measure_value", "Version AS version"
+    )

@@ -12,10 +12,13 @@ from candlewick.operators import bars as B
 from candlewick.operators import indicators as I
 from candlewick.operators import vwap as V
 from candlewick.operators.clean import dedup_bars
+from candlewick.operators.sessions import Session, in_sessions, session_calendar
 from candlewick.plans.gold import gold
 from candlewick.schemas import VWAP_SCHEMA
 from candlewick.sources.payloads import parse_bar_payloads
+from candlewick.session import work_folder
 from candlewick.streaming.candles import parse_candles
+from candlewick.streaming.corrections import correct_vwap, corrected, versions
 from candlewick.streaming.jobs import drain, vwap_messages, vwap_stream
 from registry import DAY_SQL, HOUR_SQL, TICKS_SQL, bars_sql, near_sql, query, rounded
 
@@ -251,6 +254,91 @@ def history(spark, folder):
     return B.history(views.ticks(spark, folder), "click", "hour_1", 500)
 
 
+_SPLITS = """splits AS (
+    SELECT event_type AS symbol, ts AS effective, CASE (event_id // 400) % 3 WHEN 0 THEN 2.0 WHEN 1 THEN 0.5 ELSE 4.0 END AS factor
+    FROM events WHERE event_id % 400 = 0),
+later AS (
+    SELECT event_id, product(factor) AS factor FROM raw JOIN splits ON raw.symbol = splits.symbol AND effective > datetime GROUP BY 1),
+ticks AS (
+    SELECT raw.* REPLACE ("close" / coalesce(factor, 1.0) AS "close", volume * coalesce(factor, 1.0) AS volume)
+    FROM raw LEFT JOIN later USING (event_id))"""
+
+
+@query(
+    "history_adjusted",
+    f"""WITH {TICKS_SQL.replace("ticks AS", "raw AS")}, {_SPLITS}, {bars_sql(_bucket_sql("1 hour"))}
+SELECT * FROM bars WHERE symbol = 'click' ORDER BY datetime DESC LIMIT 500""",
+)
+def history_adjusted(spark, folder):
+    """Hours of one symbol whose splits are every 400th event: two for one, one for two, four for one, in turn."""
+    ticks = views.ticks(spark, folder)
+    factor = F.element_at(F.array(F.lit(2.0), F.lit(0.5), F.lit(4.0)), (F.floor(F.col("event_id") / 400) % 3 + 1).cast("int"))
+    splits = ticks.filter("event_id % 400 = 0").select("symbol", F.col("datetime").alias("effective"), factor.alias("factor"))
+    return B.history(ticks, "click", "hour_1", 500, splits=splits)
+
+
+WEEK = range(1, 6)
+SESSIONS = [
+    Session("XNYS", "regular", "America/New_York", WEEK, "09:30", "16:00"),
+    Session("XNYS", "extended", "America/New_York", WEEK, "04:00", "20:00"),
+    Session("XMAD", "regular", "Europe/Madrid", WEEK, "09:00", "17:35"),
+    Session("XCME", "regular", "America/Chicago", [7, 1, 2, 3, 4], "17:00", "16:00"),
+    Session("XNSE", "extended", "Asia/Kolkata", WEEK, "09:00", "16:00"),
+]
+EXCHANGES = {"view": "XNYS", "signup": "XMAD", "click": "XCME", "error": "XNSE"}
+SHIFT_DAYS = 65  # moves the events over the clock changes of spring
+
+_SESSION_SQL = f"""WITH {TICKS_SQL}, hours AS (
+    SELECT exchange, kind, zone, unnest(weekdays) AS weekday, opens, closes, day_shift FROM (VALUES
+        ('XNYS', 'regular', 'America/New_York', [1, 2, 3, 4, 5], 570, 960, 0), ('XNYS', 'extended', 'America/New_York', [1, 2, 3, 4, 5], 240, 1200, 0),
+        ('XMAD', 'regular', 'Europe/Madrid', [1, 2, 3, 4, 5], 540, 1055, 0), ('XCME', 'regular', 'America/Chicago', [7, 1, 2, 3, 4], 1020, 1440, 0),
+        ('XCME', 'regular', 'America/Chicago', [1, 2, 3, 4, 5], 0, 960, 1), ('XNSE', 'extended', 'Asia/Kolkata', [1, 2, 3, 4, 5], 540, 960, 0)
+    ) t(exchange, kind, zone, weekdays, opens, closes, day_shift)),
+zones AS (SELECT DISTINCT exchange, zone FROM hours),
+placed AS (
+    SELECT symbol, "close", volume, exchange, timezone(zone, timezone('UTC', datetime + INTERVAL {SHIFT_DAYS} DAY)) AS clock
+    FROM ticks JOIN zones ON exchange = CASE symbol {" ".join(f"WHEN '{k}' THEN '{v}'" for k, v in EXCHANGES.items())} END),
+open AS (
+    SELECT symbol, "close", volume, clock, kind AS session, CAST(clock AS DATE) - day_shift AS trading_day
+    FROM placed JOIN hours USING (exchange)
+    WHERE isodow(clock) = weekday AND hour(clock) * 60 + minute(clock) >= opens AND hour(clock) * 60 + minute(clock) < closes)"""
+
+
+@query(
+    "history_sessions",
+    f"""{_SESSION_SQL}
+SELECT CAST(trading_day AS TIMESTAMP) AS datetime, symbol, session, arg_min("close", clock) AS open, max("close") AS high, min("close") AS low,
+       arg_max("close", clock) AS "close", sum(volume) AS volume FROM open GROUP BY ALL""",
+)
+def history_sessions(spark, folder):
+    """Daily bars of trading days on four exchanges, in regular and extended sessions, one of them overnight, across clock changes."""
+    ticks = views.ticks(spark, folder).withColumn("datetime", F.col("datetime") + F.expr(f"INTERVAL {SHIFT_DAYS} DAYS"))
+    names = F.create_map(*[F.lit(x) for pair in EXCHANGES.items() for x in pair])
+    ticks = ticks.withColumn("exchange", F.try_element_at(names, F.col("symbol")))
+    calendar = session_calendar(spark, SESSIONS)
+    done = None
+    for kind in ("regular", "extended"):
+        rows = in_sessions(ticks, calendar, kind).withColumn("_clock", F.col("exchange_time"))
+        bars = B.session_bars(rows.withColumn("datetime", F.col("trading_day").cast("timestamp")), "daily").withColumn("session", F.lit(kind))
+        done = bars if done is None else done.unionByName(bars)
+    return done
+
+
+@query(
+    "history_extended",
+    f"""{_SESSION_SQL}
+SELECT date_trunc('hour', clock) AS datetime, symbol, arg_min("close", clock) AS open, max("close") AS high, min("close") AS low,
+       arg_max("close", clock) AS "close", sum(volume) AS volume
+FROM open WHERE symbol = 'view' AND session = 'extended' GROUP BY ALL ORDER BY datetime DESC LIMIT 100""",
+)
+def history_extended(spark, folder):
+    """The last hours of one symbol in its exchange's extended session, by the exchange's clock."""
+    ticks = views.ticks(spark, folder).withColumn("datetime", F.col("datetime") + F.expr(f"INTERVAL {SHIFT_DAYS} DAYS"))
+    named = ticks.withColumn("symbol", F.when(F.col("symbol") == "view", "XNYS:view").otherwise(F.col("symbol")))
+    found = B.history(named, "view", "hour_1", 100, exchange="XNYS", calendar=session_calendar(spark, SESSIONS), session="extended")
+    return found.withColumn("symbol", F.lit("view"))
+
+
 @query(
     "week_slice",
     f"""WITH {TICKS_SQL}, {DAY_SQL}
@@ -330,6 +418,46 @@ def stream_vwap(spark, folder):
     return rounded(sent.select(F.from_json("value", VWAP_SCHEMA).alias("m")).select("m.*"), "vwap")
 
 
+def _corrected(spark, folder, name):
+    """The events as candles in three drops that each span the whole time, so most of the later two are late."""
+    staged, inbox, out, checkpoint = (work_folder(spark, f"{name}-{part}") for part in ("staged", "inbox", "out", "checkpoint"))
+    events = views.table(spark, folder, "events")
+    events.withColumn("drop", F.col("event_id") % 3).write.partitionBy("drop").parquet(staged)
+    for drop in range(3):
+        spark.read.parquet(staged).filter(F.col("drop") == drop).drop("drop").write.mode("append").parquet(inbox)
+        candles = spark.readStream.schema(events.schema).parquet(inbox).select(
+            F.col("event_type").alias("symbol"),
+            F.col("ts").cast("timestamp").alias("timestamp"),
+            F.col("value").alias("close"),
+            F.get_json_object("props", "$.k").cast("double").alias("volume"),
+        )
+        correct_vwap(candles, out, checkpoint).awaitTermination()
+    return out
+
+
+@query("vwap_corrected", f"{_WINDOWS} SELECT window_start, window_end, symbol, vwap FROM vwaps")
+def vwap_corrected(spark, folder):
+    """The last version of every window of a stream whose rows mostly come late: the VWAP over all rows."""
+    return rounded(corrected(spark, _corrected(spark, folder, "vwap-corrected")), "vwap")
+
+
+@query(
+    "vwap_versions",
+    f"""WITH {TICKS_SQL}, windows AS (
+    SELECT event_id % 3 AS version, symbol, time_bucket(INTERVAL 1 MINUTE, datetime) - to_minutes(k) AS window_start FROM ticks, range(5) t(k)
+    WHERE "close" IS NOT NULL AND volume IS NOT NULL),
+ends AS (SELECT event_id % 3 AS batch, max(datetime) AS last FROM ticks GROUP BY 1)
+SELECT version, count(DISTINCT (symbol, window_start)) AS n_windows,
+       count(DISTINCT (symbol, window_start)) FILTER (window_start + INTERVAL 6 MINUTE
+           <= (SELECT date_trunc('millisecond', max(last)) FROM ends WHERE batch < version)) AS n_corrections
+FROM windows GROUP BY 1""",
+)
+def vwap_versions(spark, folder):
+    """How many windows each batch wrote, and how many of them the watermark had passed before."""
+    written = versions(spark, _corrected(spark, folder, "vwap-versions"))
+    return written.groupBy("version").agg(F.count(F.lit(1)).alias("n_windows"), F.count_if("correction").alias("n_corrections"))
+
+
 @query(
     "parse_bar_payloads",
     f"""WITH {TICKS_SQL}, {DAY_SQL}, marked AS (

@@ -218,6 +218,25 @@ def missing_days(spark, folder):
     return Q.missing_days(dates)
 
 
+@query(
+    "missing_runs",
+    """WITH dates AS (
+    SELECT DISTINCT c_nationkey AS symbol, CASE WHEN o_orderkey = (SELECT min(o_orderkey) FROM orders) THEN TIMESTAMP '2199-12-31' ELSE o_orderdate END AS datetime
+    FROM orders JOIN customer ON o_custkey = c_custkey),
+following AS (SELECT *, lead(datetime) OVER (PARTITION BY symbol ORDER BY datetime) AS later FROM dates)
+SELECT symbol, datetime + INTERVAL 1 DAY AS first_missing, later - INTERVAL 1 DAY AS last_missing, date_diff('day', datetime, later) - 1 AS n_missing
+FROM following WHERE date_diff('day', datetime, later) > 1""",
+)
+def missing_runs(spark, folder):
+    """Runs of days without an order per nation; one order is dated long ahead."""
+    customers = views.table(spark, folder, "customer").selectExpr("c_custkey AS symbol", "c_nationkey")
+    orders = views.table(spark, folder, "orders")
+    first = orders.agg(F.min("o_orderkey")).first()[0]
+    far = F.when(F.col("o_orderkey") == first, F.lit("2199-12-31").cast("timestamp")).otherwise(F.col("datetime"))
+    dates = _dates(spark, folder).withColumn("datetime", far)
+    return Q.gap_intervals(dates.join(customers, "symbol").selectExpr("c_nationkey AS symbol", "datetime"), block=64)
+
+
 @query(
     "close_range",
     f"""{_DIRTY} SELECT min("close") AS min_close, max("close") AS max_close,
