@@ -68,4 +68,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     folder = work_folder(spark, name)
     df.write.parquet(folder)
-    return spark.read.schema(df.schema).parquet(folder)
+    out = spark.read.schema(df.schema).parquet(folder)
+    out._work_folder = folder
+    return out
+
+
+def release(*frames: DataFrame) -> None:
+    """Delete the work folders of frames that ``stored`` returned, once nothing reads them any more."""
+    for frame in frames:
+        path = getattr(frame, "_work_folder", None)
+        if path in _MADE:
+            _MADE.remove(path)
+            spark = frame.sparkSession
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
