@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from candlewick import views
 from candlewick.operators import retrieval as R
-from candlewick.session import work_folder
+from candlewick.operators.vector_index import VectorIndex
+from candlewick.session import stored, work_folder
 from registry import near, near_sql, query, rounded
 
 _STEP = R.CHUNK_CHARS - R.CHUNK_OVERLAP
@@ -91,6 +92,38 @@ def vector_topk(spark, folder):
     return rounded(top, "score").select("query_id", "rank", "chunk_id", "score")
 
 
+_NEAREST = """asked AS (SELECT vec_id AS query_id, CAST(embedding AS DOUBLE[]) AS vector FROM embeddings WHERE vec_id % 100 = 0),
+scored AS (SELECT query_id, vec_id AS id, list_cosine_similarity(vector, CAST(embedding AS DOUBLE[])) AS score FROM asked, embeddings),
+top AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS INTEGER) AS rank FROM scored QUALIFY rank <= 5)"""
+
+
+def indexed(spark, folder, name, lists):
+    vectors = views.table(spark, folder, "embeddings").select("vec_id", "embedding")
+    index = VectorIndex(spark, work_folder(spark, name))
+    index.build(vectors.filter("vec_id % 2 = 0"), lists, "vec_id")
+    index.add(vectors.filter("vec_id % 2 <> 0"), "vec_id")
+    return index, vectors.filter("vec_id % 100 = 0").withColumnRenamed("vec_id", "query_id")
+
+
+@query("vector_index_whole", f"WITH {_NEAREST} SELECT query_id, rank, id, {near_sql('score')} AS score FROM top")
+def vector_index_whole(spark, folder):
+    """Every 100th vector against an index of all, half of it added later; all lists are probed, so the search is exact."""
+    index, asked = indexed(spark, folder, "index-whole", 8)
+    return rounded(index.search(asked, 5, probes=8), "score").select("query_id", "rank", "id", "score")
+
+
+@query("vector_index_recall", "SELECT CAST(count(*) AS BIGINT) AS n_queries, TRUE AS enough FROM embeddings WHERE vec_id % 100 = 0")
+def vector_index_recall(spark, folder):
+    """Whether three quarters of the lists hold nine tenths of the five nearest vectors of every 100th one."""
+    index, asked = indexed(spark, folder, "index-recall", 16)
+    near = stored(index.search(asked, 5, probes=12).select("query_id", "id"), "index-found")
+    exact = R.vector_topk(asked, views.table(spark, folder, "embeddings").selectExpr("vec_id AS id", "embedding"), 5, vector_id="id")
+    hit = near.withColumn("hit", F.lit(True))
+    both = exact.select("query_id", "id").join(hit, ["query_id", "id"], "left")
+    return both.agg(F.count_distinct("query_id").alias("n_queries"), (F.avg(F.coalesce("hit", F.lit(False)).cast("int")) >= 0.9).alias("enough"))
+
+
 _DIRTY_TOP = """parts AS (SELECT label, unnest(embedding) AS value, generate_subscripts(embedding, 1) AS place FROM embeddings),
 means AS (SELECT label, place, avg(CAST(value AS DOUBLE)) AS value FROM parts GROUP BY 1, 2),
 centres AS (SELECT label, list(value ORDER BY place) AS centre FROM means GROUP BY 1),

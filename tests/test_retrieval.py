@@ -116,3 +116,27 @@ def test_short_hit_lists_are_broadcast(spark, tmp_path):
     kb = spark.read.parquet(str(tmp_path / "kb"))
     plan = R.retrieve(vectors(spark, np.eye(4), "query_id"), kb)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
+
+
+def test_vector_index(spark, tmp_path):
+    """Unusable vectors lie in no list, copies and ties in theirs; probing all lists is exact, few lists find most."""
+    from candlewick.operators.vector_index import VectorIndex
+
+    rng = np.random.default_rng(2)
+    centres = rng.standard_normal((6, 16))
+    rows = [(i, (centres[i % 6] + 0.1 * rng.standard_normal(16)).tolist()) for i in range(300)]
+    rows += [(1000 + i, rows[0][1]) for i in range(100)] + [(2000, None), (2001, [1.0]), (2002, [float("nan")] * 16), (2003, [None] * 16), (2004, [])]
+    vectors = spark.createDataFrame(rows, "id long, embedding array<double>")
+    index = VectorIndex(spark, str(tmp_path / "index"))
+    index.build(vectors, 6, "id")
+    asked = vectors.filter("id < 30 OR id >= 2000").withColumnRenamed("id", "query_id")
+    exact = {(r["query_id"], r["id"], r["rank"]) for r in retrieval_topk(asked, vectors).select("query_id", "id", "rank").collect()}
+    assert {(r["query_id"], r["id"], r["rank"]) for r in index.search(asked.filter("query_id < 30"), 5, 6, block=7).collect()} == exact
+    some = {(r["query_id"], r["id"]) for r in index.search(asked, 5, 2).collect()}
+    assert len(some & {x[:2] for x in exact}) >= 0.9 * len(exact)
+
+
+def retrieval_topk(asked, vectors):
+    from candlewick.operators.retrieval import vector_topk
+
+    return vector_topk(asked.filter("query_id < 30"), vectors, 5, vector_id="id")
