@@ -254,10 +254,11 @@ def count_words(texts: DataFrame) -> DataFrame:
 
 def deal_bigrams(texts: DataFrame, layout: Layout) -> DataFrame:
     """``segment``, ``keys`` and ``counts``: a task's distinct bigrams of each segment, packed (8 bytes, and a number of 1 to 8)."""
-    sent = texts.sparkSession.sparkContext.broadcast(layout)  # FREQUENT words at most
+    # Plain values, as workers need not have this package on their path. FREQUENT words at most.
+    sent = texts.sparkSession.sparkContext.broadcast((layout.segments, layout.frequent, layout.counts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, hasher, tally = sent.value, Hasher(SPACED), _Tally()
+        own, hasher, tally = Layout(*sent.value), Hasher(SPACED), _Tally()
 
         def rows() -> Iterator[pa.RecordBatch]:
             found = tally.take()
@@ -315,13 +316,14 @@ def score_round(
 ) -> DataFrame:
     """The parts of every text's scores that lie in the segments sent: the key columns, ``n_tokens``, ``n_known``, ``base``, ``score``.
 
-    ``sent``: the broadcast layout and ``Segments``. The first round also has the parts of the frequent words and the number of words.
+    ``sent``: the fields of the layout and of the ``Segments``, broadcast. The first round also has the parts of the frequent words and the number of words.
     """
     names = [c for c in texts.columns if c != "text"]
     values = np.concatenate([[0], steps])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        layout, held = sent.value
+        layout, held = Layout(*sent.value[0]), Segments.__new__(Segments)
+        held.__dict__.update(sent.value[1])
         hasher = Hasher(SPACED)
         common = Segments({}, layout.frequent, layout.counts, 0, 0)
         for batch in batches:
@@ -424,7 +426,9 @@ def score_texts(
         bits = dict(zip(own.column("segment").to_pylist(), own.column("bits").to_pylist(), strict=True))
         hashes = np.asarray(near.column("word").combine_chunks()).view(np.uint64) if near.num_rows else np.zeros(0, np.uint64)
         counts = np.asarray(near.column("count").combine_chunks()) if near.num_rows else np.zeros(0, np.int64)
-        sent = docs.sparkSession.sparkContext.broadcast((layout, Segments(bits, hashes, counts, low, high)))
+        sent = docs.sparkSession.sparkContext.broadcast(
+            ((layout.segments, layout.frequent, layout.counts), vars(Segments(bits, hashes, counts, low, high)))
+        )
         del own, near, bits, hashes, counts
         found = score_round(keyed, sent, total, distinct, steps, low == 0, prior)
         if high == layout.segments and low == 0:

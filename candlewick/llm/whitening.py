@@ -249,10 +249,10 @@ def _whitened(x: np.ndarray, model: Model) -> np.ndarray:
 
 def project(rows: DataFrame, models: dict[int, Model], keep: str | None) -> DataFrame:
     """Every row's list of ``whitened`` values; with the column ``keep`` also that, ``deviation``, ``n`` and the list ``explained``."""
-    sent = rows.sparkSession.sparkContext.broadcast(models)  # a few vectors for each length
+    sent = rows.sparkSession.sparkContext.broadcast({size: tuple(vars(model).values()) for size, model in models.items()})  # a few vectors for each length
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = sent.value
+        known = {size: Model(*fields) for size, fields in sent.value.items()}
         for batch in batches:
             column = batch.column(batch.num_columns - 1)
             for size, at in _by_size(column):
