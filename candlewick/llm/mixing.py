@@ -3,7 +3,7 @@
 Among all document rates that meet the token targets, entropy balancing takes those nearest to one
 copy each (least relative entropy, weighted by size). The optimum is an exponential tilt,
 ``rate = exp(sum of the multipliers of the document's groups)``, and its convex dual is solved by
-Newton steps on the multipliers. Rates become whole copies by a hash of the row, and a few exchanges
+Newton steps on the multipliers. Rates become whole copies by a hash of the row and its number among equal rows, and a few exchanges
 bring each group's tokens onto its target. Everything is grouped aggregation and joins with the small
 table of groups; no group is ever gathered or sorted.
 """
@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from candlewick.session import stored
+from candlewick.session import release, stored
 
 #: Newton steps at most; a step that leaves every target within TOLERANCE of its size ends them.
 STEPS, TOLERANCE = 60, 1e-9
@@ -108,16 +108,32 @@ def _chance(*columns) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*columns), 64 - BITS) / float(1 << BITS)
 
 
+def numbered(rows: DataFrame) -> DataFrame:
+    """Add ``number``, which counts the rows of one ``mark`` from 0. ``row`` is a stored ``monotonically_increasing_id``.
+
+    A mark may be on a third of all rows: they are counted within the task that wrote them (the upper bits of
+    ``row``), and one small row per mark and task says where its count begins.
+    """
+    rows = rows.withColumn("_task", F.shiftrightunsigned("row", 33))
+    inside = Window.partitionBy("mark", "_task").orderBy("row")
+    earlier = Window.partitionBy("mark").orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    starts = rows.groupBy("mark", "_task").agg(F.count(F.lit(1)).alias("_rows"))
+    starts = starts.select("mark", "_task", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
+    placed = rows.withColumn("_rank", F.row_number().over(inside) - 1).join(starts, ["mark", "_task"])
+    return placed.withColumn("number", F.col("_start") + F.col("_rank")).drop("_task", "_rank", "_start")
+
+
 def to_copies(rows: DataFrame, targets: DataFrame, group: str, most: int) -> DataFrame:
-    """Whole copies for rows with ``id``, ``row``, ``size``, ``rate`` and the group's column.
+    """Whole copies for rows with ``row``, ``mark``, ``number``, ``size``, ``rate`` and the group's column.
 
-    First the rate is rounded up or down by chance of the row's hash. Then rows are moved by one copy:
+    First the rate is rounded up or down by chance of the row's mark and number. Then rows are moved by one copy:
     of those no larger than the group's error, just so many by chance as make it up, a few times; at
     last, one row per group at a time, whose size is nearest to what is still missing.
     """
+    kept = [name for name in rows.columns if name != "copies"]
     whole = F.floor(F.round("rate", 9))
-    copies = whole + (_chance("id", F.lit("first")) < F.round("rate", 9) - whole).cast("int")
-    now = stored(rows.select("row", "id", "size", "rate", group, F.least(copies, F.lit(most)).cast("int").alias("copies")), "copies")
+    copies = whole + (_chance("mark", "number", F.lit("first")) < F.round("rate", 9) - whole).cast("int")
+    now = stored(rows.select(*kept, F.least(copies, F.lit(most)).cast("int").alias("copies")), "copies")
     for turn in range(SPREAD + SINGLE):
         sums = now.groupBy(F.col(group).alias("_key")).agg(F.sum(F.col("copies") * F.col("size")).alias("taken"))
         error = sums.join(targets, sums["_key"].eqNullSafe(targets[group]))
@@ -130,17 +146,17 @@ def to_copies(rows: DataFrame, targets: DataFrame, group: str, most: int) -> Dat
             total = near.filter("may").groupBy(F.col("_key").alias("_group")).agg(F.sum("size").alias("all"))
             total = stored(total, "mix-errors")
             near = near.join(total, near["_key"].eqNullSafe(total["_group"]), "left")
-            move = F.col("may") & (_chance("id", F.lit(turn)) < missing / F.col("all"))
+            move = F.col("may") & (_chance("mark", "number", F.lit(turn)) < missing / F.col("all"))
         else:
             near = near.withColumn("may", movable & (size < 2 * missing))
             best = near.filter("may").groupBy(F.col("_key").alias("_group")).agg(
-                F.min(F.struct(F.abs(size - missing).alias("left"), F.col("id"), F.col("row"))).alias("best")
+                F.min(F.struct(F.abs(size - missing).alias("left"), F.col("mark"), F.col("number"), F.col("row"))).alias("best")
             )
             best = stored(best.select("_group", F.col("best.row").alias("chosen")), "mix-errors")
             near = near.join(best, near["_key"].eqNullSafe(best["_group"]), "left")
             move = F.col("may") & (F.col("row") == F.col("chosen"))
         moved = F.col("copies") + F.when(F.coalesce(move, F.lit(False)), F.signum("missing")).otherwise(0)
-        now = stored(near.select("row", "id", "size", "rate", group, moved.cast("int").alias("copies")), "copies")
+        now = stored(near.select(*kept, moved.cast("int").alias("copies")), "copies")
     return now
 
 
@@ -153,22 +169,27 @@ def mix(
     text_column: str = "text",
     group_column: str = "source",
     margins: dict[str, DataFrame] | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Copies of every row so that the sources' words come near their targets.
 
     One row per row of ``docs``: the id, ``size`` (words), ``source_size``, ``target`` (its source's), ``rate``
     (exponentially tilted), ``copies`` (0 to ``most``), ``taken`` (``copies * size``). ``margins``: further
     columns of ``docs`` with tables of (that column, ``target``), which tilt the rates as well. Null and empty
-    texts have size 0 and count for nothing; null sources are one group, after all others; repeated rows are
-    chosen by the same hash and moved one by one; an empty table gives no rows. Reruns give the same copies:
-    they depend on ids and sizes, not on how rows are dealt, but for repeated rows of one id.
+    texts have size 0 and count for nothing; null sources are one group, after all others; an empty table gives no rows.
+    A row's chance comes from its id, text and source, and from a number among the rows that are equal in all three: rows
+    without an id and rows of one id are drawn each for itself. Reruns give the same copies, however rows are dealt: which of
+    several equal rows has which number makes no difference. ``keep``: further columns of ``docs`` that are returned too.
     """
     extra = list(margins or {})
     rows = docs.select(
         F.col(id_column).alias("id"), F.col(group_column).alias("_source"), *[F.col(c).alias(f"_m_{c}") for c in extra],
-        word_count(F.col(text_column)).alias("size"),
+        *[F.col(c).alias(f"_k_{c}") for c in keep], word_count(F.col(text_column)).alias("size"),
+        F.xxhash64(F.col(id_column), F.lit(0), F.col(text_column), F.lit(0), F.col(group_column)).alias("mark"),
     ).withColumn("row", F.monotonically_increasing_id())
-    rows = stored(rows, "mix-rows")
+    first = stored(rows, "mix-rows")
+    rows = stored(numbered(first), "mix-rows")
+    release(first)
     keys = ["_source", *[f"_m_{c}" for c in extra]]
     cells = stored(rows.groupBy(*keys).agg(F.sum("size").cast("double").alias("size")), "mix-cells")
     sizes = cells.groupBy("_source").agg(F.sum("size").alias("size"))
@@ -176,7 +197,8 @@ def mix(
     tables = {"_source": targets, **{f"_m_{c}": t.select(F.col(c).alias(f"_m_{c}"), F.col("target").cast("double")) for c, t in (margins or {}).items()}}
     rates = stored(balance(cells, tables, "size", float(most)).select(*[F.col(k).alias(f"{k}_key") for k in keys], "rate"), "mix-rates")
     same = reduce(lambda a, b: a & b, [rows[k].eqNullSafe(rates[f"{k}_key"]) for k in keys])
-    rated = rows.join(rates, same, "left").select("row", "id", "size", "_source", "rate")
+    kept = [f"_k_{c}" for c in keep]
+    rated = rows.join(rates, same, "left").select("row", "mark", "number", "id", *kept, "size", "_source", "rate")
     copies = to_copies(rated, targets.select("_source", "target"), "_source", most)
     about = targets.select(F.col("_source").alias("_key"), F.col("size").alias("source_size"), "target")
     out = copies.join(about, copies["_source"].eqNullSafe(about["_key"]), "left")
@@ -188,4 +210,5 @@ def mix(
         "rate",
         "copies",
         (F.col("copies") * F.col("size")).cast("long").alias("taken"),
+        *[F.col(f"_k_{c}").alias(c) for c in keep],
     )

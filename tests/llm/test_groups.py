@@ -295,3 +295,23 @@ def test_rates_meet_two_margins(spark):
     rate = {(r["s"], r["l"]): r["rate"] for r in rates}
     # Exponential tilt: the rates of two sources have one ratio in every language.
     assert abs(rate["a", "x"] / rate["b", "x"] - rate["a", "y"] / rate["b", "y"]) < 1e-6
+
+
+@pytest.mark.parametrize("ids", [lambda i: None, lambda i: i % 3, lambda i: 7 if i % 3 else i])
+def test_mix_draws_rows_of_one_id_each_for_itself(spark, ids):
+    rng = random.Random(11)
+    texts = ["w " * rng.randrange(1, 80) for _ in range(40)]
+    rows = [(ids(i), rng.choice(texts), "abc"[i % 3], i) for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, place int").repartition(5)
+    found = mixing.mix(docs, keep=("place",)).collect()
+    assert sorted(r["place"] for r in found) == list(range(3000))
+    source = {place: s for _, _, s, place in rows}
+    taken, target = defaultdict(int), {}
+    for r in found:
+        assert 0 <= r["taken"] <= 2 * r["size"]
+        taken[source[r["place"]]] += r["taken"]
+        target[source[r["place"]]] = r["target"]
+    assert all(abs(taken[s] - target[s]) <= 0.01 * target[s] for s in "abc"), (taken, target)
+    again = mixing.mix(docs.repartition(3, "text")).collect()
+    seen = lambda rows: sorted((str(r["doc_id"]), r["size"], r["target"], r["copies"]) for r in rows)
+    assert seen(again) == seen(found)
