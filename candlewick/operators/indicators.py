@@ -64,10 +64,14 @@ def _weight(spec: Smoothing, distance: str) -> str:
     return f"pow({spec.base!r}D, {distance})"
 
 
-def _mean(spec: Smoothing, numerator: str) -> str:
-    """Weighted mean from the weighted sum: the weights of rows 0 to ``_pos`` have a closed form."""
-    weights = f"(1 - {_weight(spec, '_pos + 1')}) / {1 - spec.base!r}D"
-    return f"({numerator}) / ({weights})"
+def _weights(spec: Smoothing, rows: str) -> str:
+    """The weights of so many rows have a closed form."""
+    return f"((1 - {_weight(spec, rows)}) / {1 - spec.base!r}D)"
+
+
+def _mean(spec: Smoothing, numerator: str, rows: str = "_pos + 1") -> str:
+    """Weighted mean from the weighted sum of so many rows."""
+    return f"({numerator}) / {_weights(spec, rows)}"
 
 
 def _steps(specs: Sequence[Smoothing], size: int) -> int:
@@ -98,9 +102,13 @@ def _smooth(
     size: int,
     specs: Sequence[Smoothing],
     signal_alpha: float | None = None,
+    before: DataFrame | None = None,
 ) -> DataFrame:
     """Add the exponential means to rows that carry ``_pos`` and ``_block``.
 
+    ``before`` (with the signal only): what earlier rows of each key have left, as the sums of a block -1; rows then
+    carry ``_before``, their number.
+
     With ``signal_alpha``, the first two means are the fast and the slow line:
     adds ``macd`` (fast minus slow) and ``_signal``, its exponential mean. A
     block's share of the signal is linear in the sums brought into the block, so
@@ -127,15 +135,18 @@ def _smooth(
         joined = sums.join(carry, block, "left")
         return joined.selectExpr(*rows.columns, *[f"{_mean(s, numerator(s))} AS {s.out}" for s in specs])
 
+    count = "_pos + 1" if before is None else "_pos + 1 + _before"
     signal = Smoothing("macd", signal_alpha, "_signal")
     lines = specs[:2]
     fast, slow = lines
     share = _weight(signal, to_end)
-    gap = f"({_mean(fast, f'_own_{fast.out}')} - {_mean(slow, f'_own_{slow.out}')})"
+    gap = f"({_mean(fast, f'_own_{fast.out}', count)} - {_mean(slow, f'_own_{slow.out}', count)})"
     block_sums.append(f"sum({gap} * {share}) AS _own_end")
     for s in lines:
-        block_sums.append(f"sum({_mean(s, _weight(s, f'{local} + 1'))} * {share}) AS _factor_{s.out}")
+        block_sums.append(f"sum({_mean(s, _weight(s, f'{local} + 1'), count)} * {share}) AS _factor_{s.out}")
     ends = sums.groupBy(*block).agg(*map(F.expr, block_sums))
+    if before is not None:
+        ends = ends.unionByName(before)
     carried = [f"_carry_{s.out}" for s in specs]
     kept = ["_own_end", *[f"_factor_{s.out}" for s in lines]]
     first = _fan_out(ends, _steps(specs, size)).groupBy(*block)
@@ -147,11 +158,11 @@ def _smooth(
     carry = carry.agg(_arriving(signal, size), *map(_staying, carried))
 
     means = sums.join(carry, block, "left").selectExpr(
-        *rows.columns, *[f"{_mean(s, numerator(s))} AS {s.out}" for s in specs], "_carry__signal"
+        *rows.columns, *[f"{_mean(s, numerator(s), count)} AS {s.out}" for s in specs], "_carry__signal"
     )
     with_line = means.selectExpr("*", f"{fast.out} - {slow.out} AS macd")
     own = with_line.selectExpr("*", f"{running_sum('macd', signal)} AS _own__signal")
-    return own.selectExpr("*", f"{_mean(signal, numerator(signal))} AS _signal")
+    return own.selectExpr("*", f"{_mean(signal, numerator(signal), count)} AS _signal")
 
 
 def _with_trailing_mean(rows: DataFrame, key: Sequence[str], order: str, n: int, out: str) -> DataFrame:
@@ -196,12 +207,12 @@ def _rsi_value(gain: str, loss: str, lost: str) -> str:
     return f"if({loss} > 0 AND greatest({gain}, {loss}) > 1e-290D, 100 - 100 / (1 + {gain} / {loss}), if({lost}, 100D, NULL))"
 
 
-def _with_rsi(rows: DataFrame, key: Sequence[str], out: str, no_loss: float | None = None) -> DataFrame:
+def _with_rsi(rows: DataFrame, key: Sequence[str], out: str, no_loss: float | None = None, before: DataFrame | None = None) -> DataFrame:
     """Add the RSI to rows with ``_gain``, ``_loss`` and their averages.
 
     A row without a move scales both averages alike and so has the last moving row's value. Averages
     underflow in a long flat stretch, so the value is taken where there is a move and carried on: inside a block by
-    a window, across blocks by one small row for each block.
+    a window, across blocks by one small row for each block. ``before``: ``_rsi_end`` and ``_lost`` of earlier rows, as of a block -1.
     """
     block = [*key, "_block"]
     keys, blocks = (", ".join(f"`{name}`" for name in names) for names in (key, block))
@@ -211,10 +222,13 @@ def _with_rsi(rows: DataFrame, key: Sequence[str], out: str, no_loss: float | No
         F.expr(f"max_by(_avg_loss, _pos) FILTER (WHERE {moves})").alias("_loss_end"),
         F.expr("bool_or(_loss > 0)").alias("_lost"),
     )
+    if before is not None:
+        ends = ends.withColumn("_rsi_end", F.lit(None).cast("double")).unionByName(before, allowMissingColumns=True)
     earlier = f"OVER (PARTITION BY {keys} ORDER BY _block ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     ends = ends.selectExpr("*", f"coalesce(bool_or(_lost) {earlier}, false) AS _lost_before")
-    ends = ends.selectExpr("*", f"if(_gain_end IS NULL, NULL, {_rsi_value('_gain_end', '_loss_end', '_lost OR _lost_before')}) AS _rsi_end")
-    ends = ends.selectExpr(*block, "_lost_before", f"last(_rsi_end, true) {earlier} AS _rsi_before")
+    known = "NULL" if before is None else "_rsi_end"
+    ends = ends.selectExpr("*", f"if(_gain_end IS NULL, {known}, {_rsi_value('_gain_end', '_loss_end', '_lost OR _lost_before')}) AS _rsi_last")
+    ends = ends.selectExpr(*block, "_lost_before", f"last(_rsi_last, true) {earlier} AS _rsi_before")
     running = f"OVER (PARTITION BY {blocks} ORDER BY _pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     joined = rows.join(ends, block, "left").selectExpr("*", f"_lost_before OR bool_or(_loss > 0) {running} AS _lost")
     valued = joined.selectExpr("*", f"if({moves}, {_rsi_value('_avg_gain', '_avg_loss', '_lost')}, NULL) AS _rsi_here")

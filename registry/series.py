@@ -12,6 +12,7 @@ from candlewick.operators import bars as B
 from candlewick.operators import indicators as I
 from candlewick.operators import vwap as V
 from candlewick.operators.clean import dedup_bars
+from candlewick.operators.continued import IndicatorStore
 from candlewick.operators.sessions import Session, in_sessions, session_calendar
 from candlewick.plans.gold import gold
 from candlewick.schemas import VWAP_SCHEMA
@@ -20,7 +21,7 @@ from candlewick.session import work_folder
 from candlewick.streaming.candles import parse_candles
 from candlewick.streaming.corrections import correct_vwap, corrected, versions
 from candlewick.streaming.jobs import drain, vwap_messages, vwap_stream
-from registry import DAY_SQL, HOUR_SQL, TICKS_SQL, bars_sql, near_sql, query, rounded
+from registry import DAY_SQL, HOUR_SQL, SQL, TICKS_SQL, bars_sql, near_sql, query, rounded
 
 
 def _ema_sql(value: str, base: str, order: str = "i") -> str:
@@ -196,6 +197,19 @@ def gold_long(spark, folder):
     return rounded(I.all_indicators(ticks), "sma_200", "ema_50", "rsi_14", "macd", "macd_signal", "macd_hist")
 
 
+@query("gold_append", SQL["gold_long"])
+def gold_append(spark, folder):
+    """The indicators of ``gold_long``, appended in three parts by time; no part reads the rows of an earlier one."""
+    ticks = views.ticks(spark, folder).select("event_id", "datetime", "symbol", "close")
+    first, last = ticks.agg(F.min("datetime"), F.max("datetime")).first()
+    store = IndicatorStore(spark, work_folder(spark, "gold-append"))
+    edges = [first, first + (last - first) * 0.5, first + (last - first) * 0.8, None]
+    for low, high in zip(edges, edges[1:], strict=False):
+        part = ticks.filter(F.col("datetime") >= F.lit(low))
+        store.append(part if high is None else part.filter(F.col("datetime") < F.lit(high)))
+    return rounded(store.rows(), "sma_200", "ema_50", "rsi_14", "macd", "macd_signal", "macd_hist")
+
+
 def _bucket_sql(width: str) -> str:
     if width in ("week", "month"):
         return f"CAST(date_trunc('{width}', datetime) AS TIMESTAMP)"

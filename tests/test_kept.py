@@ -2,6 +2,7 @@
 
 import datetime as dt
 import math
+import random
 
 import pytest
 from conftest import values
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 from candlewick.functions.scalars import number_text
 from candlewick.operators.adjust import adjust_for_splits
 from candlewick.operators.bars import history
+from candlewick.operators.continued import IndicatorStore
+from candlewick.operators.indicators import GoldPeriods, all_indicators
 from candlewick.operators.quality import gap_intervals, missing_days
 from candlewick.operators.sessions import Session, in_sessions, session_calendar
 from candlewick.sources.versioned import VersionedTable
@@ -153,3 +156,36 @@ def test_number_texts(spark):
     numbers = [0.0, -0.0, 1.5, -2.0, 1e7, 123456789.25, 1e16, 1.5e-5, 0.0001, 1e22, 1e23, 2.0**-44, 0.1 + 0.2, -1e-9, 2.2250738585072014e-308, 1.7976931348623157e308, 100.0, 9007199254740993.0, 0.001234567890123456]
     df = spark.createDataFrame([(x,) for x in [*numbers, None, math.nan, math.inf, -math.inf]], "x double")
     assert [r[0] for r in df.select(number_text("x")).collect()] == [*map(repr, numbers), None, "nan", "inf", "-inf"]
+
+
+def test_appended_rows_continue_the_indicators(spark, tmp_path):
+    rng = random.Random(3)
+    start = dt.datetime(2024, 1, 1)
+    rows, price = [], {"a": 50.0, "b": 20.0}
+    for i in range(1500):
+        for symbol in ("a", "b"):
+            if symbol == "b" and 700 <= i < 1100:
+                continue  # no rows in one append
+            flat = symbol == "a" and 600 < i < 900
+            price[symbol] += 0.0 if flat else rng.choice([-1.0, 0.0, 0.5, 1.0])
+            rows.append((symbol, start + dt.timedelta(minutes=i), price[symbol]))
+    rows.append(("c", start + dt.timedelta(minutes=1200), 5.0))  # a key that starts late
+    schema = "symbol string, datetime timestamp, close double"
+    store = IndicatorStore(spark, str(tmp_path / "kept"))
+    cuts = [0, 3, 150, 700, 1100, 1100, 1500]
+    for low, high in zip(cuts, cuts[1:], strict=False):
+        of = [r for r in rows if low <= (r[1] - start).total_seconds() / 60 < high]
+        store.append(spark.createDataFrame(of, schema))
+    assert store.appends() == 6
+    names = GoldPeriods().outputs
+    want = {(r["symbol"], r["datetime"]): r for r in all_indicators(spark.createDataFrame(rows, schema)).collect()}
+    got = store.rows().collect()
+    assert len(got) == len(want) == len(rows)
+    for r in got:
+        other = want[(r["symbol"], r["datetime"])]
+        for name in names:
+            a, b = r[name], other[name]
+            assert (a is None) == (b is None) and (a is None or abs(a - b) <= 1e-9 * max(1.0, abs(b))), (r, other)
+    with pytest.raises(Exception, match="not after the last one"):
+        store.append(spark.createDataFrame([("a", start + dt.timedelta(minutes=1499), 1.0)], schema))
+    assert store.appends() == 6
