@@ -121,3 +121,24 @@ def test_pipeline_of_an_empty_table(spark, corpus, tmp_path):
     for name in ("benchmark", "labels"):
         spark.read.parquet(f"{folder}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_stages_judge_rows_not_ids(spark, tmp_path):
+    rng = random.Random(8)
+    sentence = lambda n: " ".join(f"{rng.choice('bcdfg')}{rng.choice('aeiou')}{rng.randrange(4000)}" for _ in range(n))
+    item, copied = sentence(20), sentence(60)
+    rows = [(None, sentence(50)) for _ in range(30)] + [(4, sentence(50)) for _ in range(30)]
+    rows += [(9, copied), (None, copied), (4, copied + " more"), (None, sentence(30) + " " + item), (4, item + " " + sentence(30))]
+    docs = spark.createDataFrame([(i, t, "en", f"s{n % 2}", len(t), n) for n, (i, t) in enumerate(rows)], "doc_id long, text string, lang string, source string, n_chars long, row_name int")
+    folder = str(tmp_path)
+    docs.repartition(3).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(0, item)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    read = spark.read.parquet(f"{folder}/documents.parquet")
+    places = lambda df: sorted(r["row_name"] for r in df.select("row_name").collect())
+    # Of the three copies that with the least id stays.
+    assert places(corpus_pipeline.one_of_each(spark, read, folder)) == [n for n in range(65) if n not in (60, 61)]
+    # Rows that do not come straight from files too.
+    clean = corpus_pipeline.without_benchmark(spark, read.union(read.limit(0)), folder)
+    assert places(clean) == list(range(63)) and clean.columns == read.columns
+    drawn = Counter(places(corpus_pipeline.mixed(spark, read, folder)))
+    assert max(drawn.values()) <= 2 and 0 < sum(drawn[n] == 2 for n in range(30)) < 30
