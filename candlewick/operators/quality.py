@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from candlewick.operators.clean import KEY, value_columns
 from candlewick.operators.quantiles import exact_quantiles, first_look
@@ -16,18 +17,22 @@ QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 
 def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Per column: null count, null percentage and type; most nulls first. One scan for all columns."""
-    types = {field.name: field.dataType.simpleString() for field in df.schema.fields}
-    names = list(columns or df.columns)
+    chosen = T.StructType([df.schema[name] for name in columns or df.columns])
     counts = df.agg(
         F.count(F.lit(1)).alias("_rows"),
-        *[F.count_if(F.col(f"`{name}`").isNull()).alias(f"_null_{i}") for i, name in enumerate(names)],
+        *[F.count_if(F.col(f"`{name}`").isNull()).alias(f"_null_{i}") for i, name in enumerate(chosen.names)],
     )
+    return null_table(counts, chosen)
+
+
+def null_table(counts: DataFrame, schema: T.StructType) -> DataFrame:
+    """The null profile of ``schema``'s columns from one row with ``_rows`` and, by place, ``_null_0``, ``_null_1`` and so on."""
     entries = F.array(
         *[
             F.struct(
-                F.lit(name).alias("column"), F.col(f"_null_{i}").alias("null_count"), F.lit(types[name]).alias("dtype")
+                F.lit(field.name).alias("column"), F.col(f"_null_{i}").alias("null_count"), F.lit(field.dataType.simpleString()).alias("dtype")
             )
-            for i, name in enumerate(names)
+            for i, field in enumerate(schema.fields)
         ]
     )
     return (

@@ -8,10 +8,11 @@ from candlewick import views
 from candlewick.operators import bars as B
 from candlewick.operators import clean as C
 from candlewick.operators import quality as Q
+from candlewick.operators.kept_stats import DescribeStore, year_folder
 from candlewick.plans.gold import silver
-from candlewick.schemas import BAR_SCHEMA
+from candlewick.schemas import BAR_SCHEMA, LAYER_PARTITIONS
 from candlewick.session import work_folder
-from candlewick.sources import lake
+from candlewick.sources import footers, lake
 from registry import DAY_SQL, HOUR_SQL, TICKS_SQL, near_sql, query, rounded
 
 _BAD = [  # which rows of the dirty view get which fault
@@ -167,10 +168,24 @@ def _describe_sql(name: str, column: str) -> str:
     return f"SELECT l_returnflag AS symbol, '{name}' AS \"column\", count({column}) AS count, {parts} FROM lineitem GROUP BY 1"
 
 
-@query("describe_by_symbol", f"{_describe_sql('close', 'l_extendedprice')} UNION ALL {_describe_sql('volume', 'l_quantity')}")
+_DESCRIBE = f"{_describe_sql('close', 'l_extendedprice')} UNION ALL {_describe_sql('volume', 'l_quantity')}"
+_STATS = ["mean", "std", "min", "q25", "q50", "q75", "max"]
+
+
+@query("describe_by_symbol", _DESCRIBE)
 def describe_by_symbol(spark, folder):
     stats = Q.describe_by(views.trades(spark, folder))
-    return rounded(stats, "mean", "std", "min", "q25", "q50", "q75", "max")
+    return rounded(stats, *_STATS)
+
+
+@query("describe_kept", _DESCRIBE)
+def describe_kept(spark, folder):
+    """The same, from what was kept of each year's trades; the years from 1997 come as an addition."""
+    trades = views.trades(spark, folder).withColumn("folder", year_folder())
+    store = DescribeStore(spark, work_folder(spark, "kept-describe"), chunk=256)
+    store.add(trades.filter("year(datetime) < 1997"), ["close", "volume"])
+    store.add(trades.filter("coalesce(year(datetime), 9999) >= 1997"), ["close", "volume"])
+    return rounded(store.read().withColumnRenamed("key", "symbol"), *_STATS)
 
 
 @query(
@@ -246,6 +261,39 @@ def close_range(spark, folder):
     return Q.value_range(C.normalize_bars(_dirty(spark, folder)))
 
 
+def _typed_layer(spark, folder):
+    """The dirty ticks, typed, as a layer in folders; rows without a time share one."""
+    path = work_folder(spark, "typed-layer")
+    lake.write_layer(C.add_layer_columns(C.normalize_bars(_dirty(spark, folder)), "avalanche"), path)
+    return path
+
+
+@query(
+    "null_profile_files",
+    f"{_DIRTY}, counts AS ("
+    + " UNION ALL ".join(
+        f"SELECT '{name}' AS \"column\", count(*) FILTER (WHERE {value} IS NULL) AS null_count, count(*) AS n, '{kind}' AS dtype FROM typed"
+        for name, value, kind in [
+            ("event_id", "event_id", "bigint"),
+            *[(f.name, f'"{f.name}"', f.dataType.simpleString()) for f in BAR_SCHEMA.fields],
+            *[("crypto", "'avalanche'", "string"), ("year", "datetime", "int"), ("month", "datetime", "int")],
+        ]
+    )
+    + ') SELECT "column", null_count, round_even(100.0 * null_count / n, 3) AS null_pct, dtype FROM counts',
+)
+def null_profile_files(spark, folder):
+    return footers.null_profile_files(spark, _typed_layer(spark, folder), LAYER_PARTITIONS)
+
+
+@query(
+    "close_range_files",
+    f"""{_DIRTY} SELECT min("close") AS min_close, max("close") AS max_close,
+       count(*) FILTER (WHERE "close" IS NULL) AS null_close FROM typed""",
+)
+def close_range_files(spark, folder):
+    return footers.value_range_files(spark, _typed_layer(spark, folder), "close")
+
+
 _LAYER = f"""WITH {TICKS_SQL}, {DAY_SQL}
 SELECT datetime, symbol, open, high, low, "close", volume, 'avalanche' AS crypto,
        CAST(year(datetime) AS INTEGER) AS year, CAST(month(datetime) AS INTEGER) AS month FROM bars"""

@@ -13,7 +13,8 @@ from candlewick.operators.adjust import adjust_for_splits
 from candlewick.operators.bars import history
 from candlewick.operators.continued import IndicatorStore
 from candlewick.operators.indicators import GoldPeriods, all_indicators
-from candlewick.operators.quality import gap_intervals, missing_days
+from candlewick.operators.kept_stats import DescribeStore
+from candlewick.operators.quality import describe_by, gap_intervals, missing_days
 from candlewick.operators.sessions import Session, in_sessions, session_calendar
 from candlewick.sources.versioned import VersionedTable
 from candlewick.streaming.corrections import correct_vwap, corrected, versions
@@ -189,3 +190,28 @@ def test_appended_rows_continue_the_indicators(spark, tmp_path):
     with pytest.raises(Exception, match="not after the last one"):
         store.append(spark.createDataFrame([("a", start + dt.timedelta(minutes=1499), 1.0)], schema))
     assert store.appends() == 6
+
+
+@pytest.mark.parametrize("most_ranges", [512, 0])
+def test_kept_describe_is_exact_and_reads_new_folders_only(spark, tmp_path, most_ranges):
+    rng = random.Random(4)
+    rows = []
+    for day in ("d1", "d2", "d3"):
+        rows += [("hot", day, rng.choice([rng.gauss(100, 1), 100.0, -1e6])) for _ in range(3000)]
+        rows += [("ties", day, float(rng.randint(0, 2))) for _ in range(50)]
+    rows += [("one", "d2", 5.0), ("none", "d1", None), ("none", "d3", math.nan), (None, "d1", 9.0), ("zero", "d3", 0.0), ("zero", "d1", -0.0)]
+    table = spark.createDataFrame(rows, "symbol string, folder string, close double")
+    store = DescribeStore(spark, str(tmp_path / "kept"), chunk=16, most_ranges=most_ranges)
+    assert store.read().count() == 0
+    store.add(table.filter("folder IN ('d1', 'd2')"), ["close"])
+    before = {file: file.stat().st_mtime_ns for file in (tmp_path / "kept").rglob("folder=d[12]/*.parquet")}
+    store.add(table.filter("folder = 'd3'"), ["close"])
+    store.add(table.filter("folder = 'd3'"), ["close"])  # done again: nothing doubles
+    assert before and before == {file: file.stat().st_mtime_ns for file in (tmp_path / "kept").rglob("folder=d[12]/*.parquet")}
+    clean = table.withColumn("close", F.expr("if(isnan(close), NULL, close)"))
+    expected = {row["symbol"]: row for row in describe_by(clean, columns=["close"]).collect()}
+    found = {row["key"]: row for row in store.read().collect()}
+    assert set(found) == set(expected) == {"hot", "ties", "one", "none", "zero"}
+    for symbol, row in expected.items():
+        for name in ("count", "mean", "std", "min", "q25", "q50", "q75", "max"):
+            assert found[symbol][name] == pytest.approx(row[name], abs=2e-6), (symbol, name)

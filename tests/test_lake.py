@@ -1,4 +1,5 @@
 import datetime as dt
+import math
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,7 @@ from candlewick.operators.clean import add_layer_columns
 from candlewick.plans.gold import gold, silver
 from candlewick.schemas import BAR_SCHEMA
 from candlewick.session import work_folder
-from candlewick.sources import kafka, lake
+from candlewick.sources import footers, kafka, lake
 
 
 @pytest.fixture
@@ -128,3 +129,28 @@ def test_kafka_options():
 def test_messages_leave_null_fields_out(spark):
     df = spark.createDataFrame([("k", 1, None)], "key1 string, field1 int, field2 int")
     assert tuple(kafka.to_messages(df, "key1", "t").first()) == ("t", "k", '{"key1":"k","field1":1}')
+
+
+def test_footers_answer_counts_and_ranges(spark, tmp_path):
+    path = str(tmp_path / "layer")
+    rows = spark.range(1000).selectExpr("id", "if(id % 3 = 0, NULL, id * 0.5D) AS close", "string(id) AS text", "if(id % 4 = 0, NULL, int(id % 2)) AS part")
+    rows.write.partitionBy("part").parquet(path)
+    counted = footers.from_footers(spark, path, lambda df: df.groupBy("part").agg(F.count(F.lit(1)).alias("n")))
+    assert {row["part"]: row["n"] for row in counted.collect()} == {None: 250, 0: 250, 1: 500}
+    profile = {row["column"]: (row["null_count"], row["null_pct"], row["dtype"]) for row in footers.null_profile_files(spark, path, ["part"]).collect()}
+    assert profile == {"id": (0, 0.0, "bigint"), "close": (334, 33.4, "double"), "text": (0, 0.0, "string"), "part": (250, 25.0, "int")}
+    assert tuple(footers.value_range_files(spark, path, "close").first()) == (0.5, 499.0, 334)
+    assert tuple(footers.value_range_files(spark, path, "text").first()) == ("0", "999", 0)
+    plan = footers._footer_session(spark).read.parquet(path).agg(F.min("close"), F.count("text"))
+    assert footers.reads_footers_only(plan)
+    assert not footers.reads_footers_only(plan.sparkSession.read.parquet(path).agg(F.min("text")))
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"  # the caller's session stays as it is
+
+
+@pytest.mark.parametrize("values, expected", [([1.0, math.nan, None], (1.0, 1.0, 1)), ([None, None], (None, None, 2)), ([], (None, None, 0)), ([0.0, 2.0], (0.0, 2.0, 0))])
+def test_ranges_where_footers_lack_them(spark, tmp_path, values, expected):
+    path = str(tmp_path / "odd")
+    spark.createDataFrame([(v,) for v in values], "close double").coalesce(1).write.parquet(path)
+    assert footers.folder_counts(spark, path).first()["n_rows"] == len(values)
+    row = footers.value_range_files(spark, path).first()
+    assert tuple(row) == expected and not str(row[0]).startswith("-")
