@@ -8,6 +8,7 @@ over rows. A long text is cut only where no token can span the cut.
 from __future__ import annotations
 
 import base64
+import os
 import re
 from collections.abc import Iterator
 
@@ -15,8 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Bytes of text given to the tokenizer in one call.
-BATCH_BYTES = 1 << 20
+#: Bytes of text given to the tokenizer in one call: small enough that its results stay in the processor's cache.
+BATCH_BYTES = 1 << 17
 #: Characters of a piece of a long text; a stretch without a safe boundary stays whole.
 PIECE_CHARS = 1 << 16
 #: Texts with any other character are left to the tokenizer of the JSON file: for ASCII and Latin letters
@@ -78,6 +79,8 @@ def count_tokens(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # A task has one core; threads of the library's own would only compete with the other tasks.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         path = tokenizer_path
