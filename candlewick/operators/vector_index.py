@@ -8,12 +8,14 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Rows the centroids are fitted on at most, and rounds of fitting.
 SAMPLE_ROWS, ROUNDS = 20_000, 12
+#: Queries, and vectors, that meet in one task, and scores held at a time.
+BLOCK, SCORES = 16_384, 1 << 22
 
 
 def _matrix(column: pa.Array, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -54,6 +56,16 @@ def fit_centroids(vectors: DataFrame, lists: int, embedding: str = "embedding",
     return centroids
 
 
+def _best(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row and place of the ``k`` highest scores of every row; of equal scores the first places."""
+    edge = np.partition(scores, scores.shape[1] - k, axis=1)[:, -k] if scores.shape[1] > k else scores.min(axis=1)
+    row, place = np.nonzero(scores >= edge[:, None])
+    order = np.lexsort((place, -scores[row, place], row))
+    row, place = row[order], place[order]
+    keep = np.arange(len(row)) - np.searchsorted(row, row) < k
+    return row[keep], place[keep]
+
+
 class VectorIndex:
     """A folder with the centroids and every usable vector in the list of its nearest centroid (``list=<n>``).
 
@@ -102,11 +114,12 @@ class VectorIndex:
         schema = T.StructType([rows.schema["id"], rows.schema["embedding"], T.StructField("list", T.IntegerType())])
         return rows.mapInArrow(run, schema)
 
-    def search(self, queries: DataFrame, k: int = 5, probes: int = 8, query_id: str = "query_id", embedding: str = "embedding", block: int = 4096) -> DataFrame:
+    def search(self, queries: DataFrame, k: int = 5, probes: int = 8, query_id: str = "query_id", embedding: str = "embedding", block: int = BLOCK) -> DataFrame:
         """``query_id``, ``id``, ``score`` (cosine) and ``rank`` of the ``k`` best vectors found in each query's lists.
 
-        Queries and vectors of a list meet in blocks of ``block`` vectors, so a list with a third of all vectors spreads
-        over many tasks; of a block only ``k`` candidates a query leave it.
+        Queries and vectors of a list meet in blocks of about ``block`` queries and as many vectors, so a list with a third of
+        all vectors spreads over many tasks, and what a task holds does not grow with the number of either; of a block only ``k``
+        candidates a query leave it. Ids are of a plain type; of equal scores the least ids come first.
         """
         asked = self._nearest(queries.select(F.col(query_id).alias("id"), F.col(embedding).alias("embedding")), self.centroids(), probes)
         try:
@@ -116,33 +129,43 @@ class VectorIndex:
                 raise
             kinds = [T.StructField(query_id, queries.schema[query_id].dataType), T.StructField("id", T.LongType())]
             return self.spark.createDataFrame([], T.StructType([*kinds, T.StructField("score", T.DoubleType()), T.StructField("rank", T.IntegerType())]))
-        sizes = stored.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("_blocks"))
-        sizes = {row["list"]: row["_blocks"] for row in sizes.collect()}  # one number a list
-        blocks = F.create_map(*[F.lit(x) for pair in sizes.items() for x in pair])
-        number = F.coalesce(F.try_element_at(blocks, F.col("list")), F.lit(0))
-        theirs = stored.withColumn("_block", F.pmod(F.xxhash64("id", "embedding"), number).cast("int"))
-        mine = asked.filter(number > 0).withColumn("_block", F.explode(F.sequence(F.lit(0), number - 1)))
+
+        def numbers(rows: DataFrame) -> Column:
+            """How many blocks the rows of a list are dealt to; 0 for a list without rows."""
+            sizes = rows.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("blocks")).collect()  # one number a list
+            known = F.create_map(*[F.lit(x) for row in sizes for x in (row["list"], row["blocks"])]) if sizes else F.lit(None).cast("map<int,int>")
+            return F.coalesce(F.try_element_at(known, F.col("list")), F.lit(0))
+
+        def dealt(rows: DataFrame, own: str, mine: Column, other: str, theirs: Column) -> DataFrame:
+            """Every row in its block of its own side, once for each block of the other side."""
+            placed = rows.filter((mine > 0) & (theirs > 0)).withColumn(own, F.pmod(F.xxhash64("id", "embedding"), mine).cast("int"))
+            return placed.withColumn(other, F.explode(F.sequence(F.lit(0), theirs - 1)))
+
+        queries_of, vectors_of = numbers(asked), numbers(stored)
+        mine = dealt(asked, "_query", queries_of, "_vector", vectors_of)
+        theirs = dealt(stored, "_vector", vectors_of, "_query", queries_of)
         id_kind = stored.schema["id"].dataType
 
         def meet(left: pa.Table, right: pa.Table) -> pa.Table:
-            out = {"query": [], "id": [], "score": []}
+            kinds = {"query": left.schema.field("id").type, "id": right.schema.field("id").type, "score": pa.float64()}
+            found = [pa.table({name: pa.array([], kind) for name, kind in kinds.items()})]
             if left.num_rows and right.num_rows:
                 length = len(left.column("embedding")[0])
                 asked, a = _matrix(left.column("embedding").combine_chunks(), length)
                 known, b = _matrix(right.column("embedding").combine_chunks(), length)
-                scores = asked @ known.T
-                top = np.argsort(-scores, axis=1, kind="stable")[:, :k] if scores.shape[1] > k else np.argsort(-scores, axis=1, kind="stable")
-                # Ties at the cut are kept, so that which of them stays is decided once, by id.
-                for row in range(len(asked)):
-                    edge = scores[row, top[row, -1]]
-                    hits = np.flatnonzero(scores[row] >= edge)
-                    out["query"] += [left.column("id")[int(a[row])].as_py()] * len(hits)
-                    out["id"] += right.column("id").take(pa.array(b[hits])).to_pylist()
-                    out["score"] += scores[row, hits].tolist()
-            return pa.table({name: pa.array(values, kind) for (name, values), kind in zip(out.items(), [left.schema.field("id").type, right.schema.field("id").type, pa.float64()], strict=True)})
+                names, ids = left.column("id").combine_chunks().take(pa.array(a)), right.column("id").combine_chunks().take(pa.array(b))
+                order = pc.array_sort_indices(ids, null_placement="at_start")
+                known, ids = known[np.asarray(order)], ids.take(order)
+                step = max(1, SCORES // max(len(known), 1))
+                for low in range(0, len(asked) if len(known) else 0, step):
+                    scores = asked[low : low + step] @ known.T
+                    row, place = _best(scores, k)
+                    found.append(pa.table({"query": names.take(pa.array(low + row)), "id": ids.take(pa.array(place)), "score": pa.array(scores[row, place])}))
+            return pa.concat_tables(found)
 
         schema = T.StructType([T.StructField("query", asked.schema["id"].dataType), T.StructField("id", id_kind), T.StructField("score", T.DoubleType())])
-        found = mine.groupBy("list", "_block").cogroup(theirs.groupBy("list", "_block")).applyInArrow(meet, schema)
+        keys = ["list", "_query", "_vector"]
+        found = mine.groupBy(keys).cogroup(theirs.groupBy(keys)).applyInArrow(meet, schema)
         ranked = Window.partitionBy("query").orderBy(F.desc("score"), "id")
         best = found.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k)
         return best.select(F.col("query").alias(query_id), "id", "score", "rank")

@@ -136,6 +136,43 @@ def test_vector_index(spark, tmp_path):
     assert len(some & {x[:2] for x in exact}) >= 0.9 * len(exact)
 
 
+def test_vector_index_meets_blocks_of_queries_and_vectors(spark, tmp_path, monkeypatch):
+    """No task meets all queries of a list, few scores are held at a time, and of many copies only k a query are passed on."""
+    from candlewick.operators import vector_index as V
+
+    matrix = V._matrix
+
+    def small(column, length):
+        assert len(column) <= 60, f"{len(column)} vectors at once"
+        return matrix(column, length)
+
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.standard_normal(8).tolist()) for i in range(200)] + [(500 + i, [1.0] + [0.0] * 7) for i in range(200)]
+    vectors = spark.createDataFrame(rows, "id long, embedding array<double>")
+    index = V.VectorIndex(spark, str(tmp_path / "index"))
+    index.build(vectors, 2, "id")
+    asked = vectors.filter("id < 150 OR id = 500").withColumnRenamed("id", "query_id")
+    batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    try:
+        monkeypatch.setattr(V, "_matrix", small)
+        monkeypatch.setattr(V, "SCORES", 100, raising=False)
+        found = index.search(asked, 3, 2, block=20).orderBy("query_id", "rank").collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    exact = {}
+    values = np.array([r[1] for r in rows])
+    values /= np.linalg.norm(values, axis=1, keepdims=True)
+    for place in [*range(150), 200]:
+        scores = values @ values[place]
+        order = np.lexsort(([r[0] for r in rows], -np.round(scores, 12)))[:3]
+        exact[rows[place][0]] = [rows[x][0] for x in order]
+    got = {}
+    for r in found:
+        got.setdefault(r["query_id"], []).append(r["id"])
+    assert got == exact and got[500] == [500, 501, 502]
+
+
 def retrieval_topk(asked, vectors):
     from candlewick.operators.retrieval import vector_topk
 
