@@ -2,13 +2,14 @@
 
 Words are counted exactly; bigram counts are quantised by a geometric scale and kept in a Bloom filter that holds a
 bigram once for every step up to its own. A count is read by probing step after step until one is missing. The filter
-comes in segments, made where their bigrams meet in the shuffle, and is broadcast to the workers a bounded number of segments at a
-time (``broadcast_bytes``): one round over the texts for each, whatever the size of the corpus.
+comes in segments, made where their bigrams meet in the shuffle. Filters and counts that fit ``broadcast_bytes`` together
+are broadcast and the texts scored in one pass. Larger ones stay where they were made: texts are stored in chunks, every chunk's distinct
+words and bigrams go to their segments, which make their filters and answer each chunk, and each chunk is scored from
+its answers. So no text is read more often, and nothing larger is sent to the driver, as the corpus grows.
 
-Every part of a score belongs to one segment. A bigram lies in the segment of its second word, unless
+A bigram lies in the segment of its second word, unless
 that is a frequent word; then its own hash decides, so no word fills a segment. The counts of the frequent words, a bounded
-table, go with every round, those of other words with their segment. So a round has all it needs for its parts, and a
-document's score is the sum over rounds.
+table, go to every task, those of other words lie with their segment.
 
 With the word's base probability p(w) and the counts c, the bigram ``v w`` has the probability
 ``(q(v w) + prior * p(w)) / (c(v) + prior)``, where q is the quantised count, at most c(w). Quantised counts are rounded
@@ -18,17 +19,17 @@ a text is a word, and also what comes before its first one.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.llm.words import SPACED, Hasher, mix, text_chunks
-from candlewick.session import stored
+from candlewick.session import release, stored
 
 #: Added to every word's count in the base model.
 ADDED = 0.1
@@ -36,12 +37,14 @@ ADDED = 0.1
 PRIOR, RATIO = 1000.0, 1.25
 #: Bits of the filter for each entry, and probes for one.
 BITS, PROBES = 10, 6
-#: Training words for one segment, words whose counts go with every round, bytes broadcast at once.
+#: Training words for one segment, words whose counts go to every task, bytes of filters and counts broadcast at most.
 SEGMENT_WORDS, FREQUENT, BROADCAST_BYTES = 1 << 21, 1 << 16, 40 << 20
 #: Distinct words or bigrams that a task holds before it passes them on.
 HELD = 1 << 20
 #: A text of more bytes is hashed in parts that end at a separator.
 PART_BYTES = 4 << 20
+#: Bytes of text in a chunk that is dealt to the segments and scored from their answers; a longer text is a chunk alone.
+CHUNK_BYTES = 4 << 20
 
 #: The hash of the end of a text, which no word has to equal: words are hashed from their bytes.
 END = np.uint64(0x5851F42D4C957F2D)
@@ -96,6 +99,15 @@ def _width(most: int) -> np.dtype:
     return np.min_scalar_type(most)
 
 
+def _packed(counts: np.ndarray) -> bytes:
+    """Counts in the fewest bytes each that hold all of them."""
+    return counts.astype(_width(int(counts.max(initial=0))).newbyteorder("<")).tobytes()
+
+
+def _unpacked(counts: bytes, many: int) -> np.ndarray:
+    return np.frombuffer(counts, f"<u{len(counts) // many}").astype(np.int64) if many else np.zeros(0, np.int64)
+
+
 class Segments:
     """Filters of several segments, one after another, and exact word counts."""
 
@@ -269,10 +281,8 @@ def deal_bigrams(texts: DataFrame, layout: Layout) -> DataFrame:
             keys, counts, segment = keys[at], counts[at], segment[at]
             begin = np.flatnonzero(np.concatenate([[True], segment[1:] != segment[:-1]]))
             for low, high in zip(begin, [*begin[1:], len(keys)], strict=True):
-                size = 1 if counts[low:high].max() < 256 else 8
-                packed = counts[low:high].astype(f"<u{size}").tobytes()
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([int(segment[low])], pa.int64()), pa.array([keys[low:high].astype("<u8").tobytes()], pa.binary()), pa.array([packed], pa.binary())],
+                    [pa.array([int(segment[low])], pa.int64()), pa.array([keys[low:high].astype("<u8").tobytes()], pa.binary()), pa.array([_packed(counts[low:high])], pa.binary())],
                     names=["segment", "keys", "counts"],
                 )
 
@@ -295,7 +305,7 @@ def build_filters(dealt: DataFrame, steps: np.ndarray) -> DataFrame:
         tally = _Tally()
         for keys, counts in zip(table.column("keys").to_pylist(), table.column("counts").to_pylist(), strict=True):
             keys = np.frombuffer(keys, "<u8")
-            tally.parts.append((keys, np.frombuffer(counts, f"<u{len(counts) // len(keys)}").astype(np.int64)))
+            tally.parts.append((keys, _unpacked(counts, len(keys))))
         keys, counts = tally.take()
         bits = make_filter(keys, counts, steps).tobytes()
         return pa.table({"segment": pa.array([table.column("segment")[0].as_py()], pa.int64()), "bits": pa.array([bits], pa.binary()), "size": pa.array([len(bits)], pa.int64())})
@@ -311,61 +321,248 @@ def _row_sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.add.reduceat(values, first[:-1]) if len(first) > 1 else np.zeros(0)
 
 
-def score_round(
-    texts: DataFrame, sent: Broadcast, total: int, distinct: int, steps: np.ndarray, first_round: bool, prior: float
-) -> DataFrame:
-    """The parts of every text's scores that lie in the segments sent: the key columns, ``n_tokens``, ``n_known``, ``base``, ``score``.
+def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct values, sorted, where one of each is, and for every value its place among them."""
+    order = np.argsort(values)
+    ordered = values[order]
+    new = np.concatenate([[True], ordered[1:] != ordered[:-1]]) if len(values) else np.zeros(0, bool)
+    place = np.empty(len(values), np.int64)
+    place[order] = np.cumsum(new) - 1
+    return ordered[new], order[new], place
 
-    ``sent``: the fields of the layout and of the ``Segments``, broadcast. The first round also has the parts of the frequent words and the number of words.
-    """
+
+@dataclass
+class Model:
+    """The numbers that every score needs: training words in all and distinct, the scale's values from 0 on, the weight of the base model."""
+
+    total: int
+    distinct: int
+    values: np.ndarray
+    prior: float
+
+    def scores(
+        self, words: np.ndarray, first: np.ndarray, counts_of: Callable[[np.ndarray], np.ndarray], steps_of: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray]
+    ) -> np.ndarray:
+        """``n_tokens``, ``n_known``, base and score of texts (words with ends, number of each text's first one).
+
+        ``counts_of`` gives the counts of distinct words, ``steps_of`` the filter's steps of distinct bigrams, from their keys, second words and the counts of these.
+        """
+        unique, _, place = _distinct(words)
+        count = counts_of(unique)
+        base = np.log10((count + ADDED) / (self.total + ADDED * (self.distinct + 1)))
+        below = np.log10(count + self.prior)
+        before = np.concatenate([[np.searchsorted(unique, END)], place[:-1]])
+        keys, at, back = _distinct(_bigrams(unique[before], words))
+        second = place[at]
+        step = steps_of(keys, unique[second], count[second])
+        quantised = np.minimum(self.values[np.minimum(step, len(self.values) - 1)], count[second])
+        score = np.log10(quantised + self.prior * 10.0 ** base[second])[back] - below[before]
+        return np.stack([np.diff(first).astype(float), _row_sums((count > 0)[place].astype(float), first), _row_sums(base[place], first), _row_sums(score, first)])
+
+
+def _scored(columns: list[pa.Array], names: list[str], out: np.ndarray) -> pa.RecordBatch:
+    found = [pa.array(out[0].astype(np.int64)), pa.array(out[1].astype(np.int64)), pa.array(out[2]), pa.array(out[3])]
+    return pa.RecordBatch.from_arrays([*columns, *found], names=[*names, "n_tokens", "n_known", "base", "score"])
+
+
+def _kinds(texts: DataFrame) -> tuple[list[str], str]:
+    """The columns that go with a text, and the schema of its scores."""
     names = [c for c in texts.columns if c != "text"]
-    values = np.concatenate([[0], steps])
+    kinds = ", ".join(f"`{c}` {texts.schema[c].dataType.simpleString()}" for c in names)
+    return names, f"{kinds}, n_tokens long, n_known long, base double, score double"
+
+
+def score_broadcast(texts: DataFrame, sent: Broadcast) -> DataFrame:
+    """Every text's other columns, ``n_tokens``, ``n_known``, ``base`` and ``score``.
+
+    ``sent``: the fields of the layout, of the ``Segments`` with all filters and counts, and of the model.
+    """
+    names, schema = _kinds(texts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        layout, held = Layout(*sent.value[0]), Segments.__new__(Segments)
+        layout, held, model = Layout(*sent.value[0]), Segments.__new__(Segments), Model(*sent.value[2])
         held.__dict__.update(sent.value[1])
         hasher = Hasher(SPACED)
         common = Segments({}, layout.frequent, layout.counts, 0, 0)
+
+        def counts_of(unique: np.ndarray) -> np.ndarray:
+            return np.where(layout.is_frequent(unique), common.count(unique), held.count(unique))
+
+        def steps_of(keys: np.ndarray, second: np.ndarray, count: np.ndarray) -> np.ndarray:
+            out, seen = np.zeros(len(keys), np.int64), np.flatnonzero(count > 0)
+            out[seen] = held.steps(keys[seen], layout.of_bigrams(keys[seen], second[seen]))
+            return out
+
         for batch in batches:
             column = batch.column(batch.schema.get_field_index("text"))
             out = np.zeros((4, len(column)))
             for low, high, hashes, first in _word_runs(column, hasher):
-                words, first = _with_ends(hashes, first)
-                unique, place = np.unique(words, return_inverse=True)
-                frequent = layout.is_frequent(unique)
-                segment = layout.of(unique)
-                here = (segment >= held.low) & (segment < held.high) & ~frequent
-                count = np.where(frequent, common.count(unique), np.where(here, held.count(unique), 0))
-                mine = here | frequent if first_round else here
-                base = np.log10((count + ADDED) / (total + ADDED * (distinct + 1)))
-                # Parts of single words: their base, whether they are known, and the count they divide by as a first word.
-                out[0, low:high] = np.diff(first) if first_round else 0
-                out[1, low:high] = _row_sums((mine & (count > 0))[place].astype(float), first)
-                out[2, low:high] = _row_sums(np.where(mine, base, 0.0)[place], first)
-                below = np.where(mine, np.log10(count + prior), 0.0)
-                before = np.searchsorted(unique, _before(words))
-                score = -below[before]
-                # Parts of bigrams: those whose second word, or, if that is frequent, whose own hash lies in these segments.
-                keys = _bigrams(unique[before], words)
-                own = np.where(frequent[place], layout.of(keys), segment[place])
-                at = np.flatnonzero((own >= held.low) & (own < held.high))
-                keys, back = np.unique(keys[at], return_inverse=True)
-                second = np.zeros(len(keys), np.int64)
-                second[back] = place[at]
-                where = np.zeros(len(keys), np.int64)
-                where[back] = own[at]
-                seen = np.flatnonzero(count[second] > 0)
-                quantised = np.zeros(len(keys))
-                quantised[seen] = np.minimum(values[np.minimum(held.steps(keys[seen], where[seen]), len(steps))], count[second[seen]])
-                score[at] += np.log10(quantised + prior * 10.0 ** base[second])[back]
-                out[3, low:high] = _row_sums(score, first)
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in names], pa.array(out[0].astype(np.int64)), pa.array(out[1].astype(np.int64)), pa.array(out[2]), pa.array(out[3])],
-                names=[*names, "n_tokens", "n_known", "base", "score"],
-            )
+                out[:, low:high] = model.scores(*_with_ends(hashes, first), counts_of, steps_of)
+            yield _scored([batch.column(c) for c in names], names, out)
 
-    kinds = ", ".join(f"`{c}` {texts.schema[c].dataType.simpleString()}" for c in names)
-    return texts.mapInArrow(run, f"{kinds}, n_tokens long, n_known long, base double, score double")
+    return texts.mapInArrow(run, schema)
+
+
+# --- scoring where the segments are -----------------------------------------------------------------------------
+
+
+def pack_texts(texts: DataFrame) -> DataFrame:
+    """``chunk`` (its number) and ``body``: the rows of about ``CHUNK_BYTES`` of text, packed."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, held, number = [], 0, TaskContext.get().partitionId() << 32
+
+        def chunk() -> pa.RecordBatch:
+            nonlocal held, number
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, waiting[0].schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=3))) as writer:
+                for part in waiting:
+                    writer.write_batch(part)
+            waiting.clear()
+            held, number = 0, number + 1
+            return pa.RecordBatch.from_arrays([pa.array([number - 1], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["chunk", "body"])
+
+        for batch in batches:
+            column = batch.column(batch.schema.get_field_index("text"))
+            for low, high, data, _ in text_chunks(column):
+                if waiting and held + len(data) > CHUNK_BYTES:
+                    yield chunk()
+                waiting.append(batch.slice(low, high - low))
+                held += len(data)
+        if waiting:
+            yield chunk()
+
+    return texts.mapInArrow(run, "chunk long, body binary")
+
+
+def _planes(ascending: np.ndarray) -> bytes:
+    """Ascending 64-bit values by their differences, highest bytes first: those are mostly 0, which the shuffle's codec takes out."""
+    steps = np.diff(ascending, prepend=np.uint64(0)).astype(">u8")
+    return steps.view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _from_planes(body: pa.Buffer) -> np.ndarray:
+    steps = np.ascontiguousarray(np.frombuffer(body, np.uint8).reshape(8, -1).T).view(">u8").ravel()
+    return np.cumsum(steps.astype(np.uint64), dtype=np.uint64)
+
+
+def _chunk_words(body: bytes, hasher: Hasher) -> tuple[pa.Table, np.ndarray, np.ndarray]:
+    """A chunk's rows, their words with ends, and the number of each row's first word (one more ends)."""
+    table = pa.ipc.open_stream(body).read_all()
+    words, firsts, at = [], [np.zeros(1, np.int64)], 0
+    for _, _, hashes, first in _word_runs(table.column("text"), hasher):
+        own, first = _with_ends(hashes, first)
+        words.append(own)
+        firsts.append(first[1:] + at)
+        at += len(own)
+    return table, np.concatenate(words), np.concatenate(firsts)
+
+
+def _by_segment(values: np.ndarray, segment: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order of values by segment, and where each segment begins in it (one more ends)."""
+    order = np.argsort(segment, kind="stable")
+    return order, np.searchsorted(segment[order], np.arange(segments + 1))
+
+
+def deal_chunks(chunks: DataFrame, sent: Broadcast) -> DataFrame:
+    """A chunk's distinct bigrams (``keys``, and ``counts`` in training) and rare words (``words``) of each segment, packed.
+
+    ``sent``: the fields of the layout. Words and keys are in the order of their hashes, which the answers keep.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        layout, hasher = Layout(*sent.value), Hasher(SPACED)
+        for batch in batches:
+            for number, body in zip(batch.column(0), batch.column(1), strict=True):
+                table, words, first = _chunk_words(body.as_buffer(), hasher)
+                train = np.repeat(~np.asarray(table.column("held_out")).astype(bool), np.diff(first))
+                del table
+                keys, at, back = _distinct(_bigrams(_before(words), words))
+                counts = np.bincount(back[train], minlength=len(keys))
+                del back, train
+                second, unique = words[at], np.unique(words)
+                del words, at
+                rare = unique[~layout.is_frequent(unique)]
+                by_word, word_cuts = _by_segment(rare, layout.of(rare), layout.segments)
+                by_key, key_cuts = _by_segment(keys, layout.of_bigrams(keys, second), layout.segments)
+                rare, keys, counts = rare[by_word], keys[by_key], counts[by_key]
+                full = np.flatnonzero(np.diff(key_cuts))  # a word's segment has a bigram that ends with it
+                spans = [(slice(*word_cuts[s : s + 2]), slice(*key_cuts[s : s + 2])) for s in full]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(full, pa.int64()),
+                        pa.array([number.as_py()] * len(full), pa.int64()),
+                        pa.array([_planes(rare[w]) for w, _ in spans], pa.binary()),
+                        pa.array([_planes(keys[k]) for _, k in spans], pa.binary()),
+                        pa.array([_packed(counts[k]) for _, k in spans], pa.binary()),
+                    ],
+                    names=["segment", "chunk", "words", "keys", "counts"],
+                )
+
+    return chunks.mapInArrow(run, "segment long, chunk long, words binary, keys binary, counts binary")
+
+
+def answer_chunks(dealt: DataFrame, rare: DataFrame, steps: np.ndarray) -> DataFrame:
+    """For every chunk and segment the ``steps`` of its bigrams in the segment's filter and the ``counts`` of its rare words.
+
+    ``rare``: ``segment``, ``word`` and ``count``. What meets in one task is bounded by ``SEGMENT_WORDS``.
+    """
+
+    def run(asked: pa.Table, known: pa.Table) -> pa.Table:
+        kinds = {"chunk": pa.int64(), "segment": pa.int64(), "steps": pa.binary(), "counts": pa.binary()}
+        out: dict[str, list] = {name: [] for name in kinds}
+        if asked.num_rows:
+            keys = [_from_planes(x.as_buffer()) for x in asked.column("keys")]
+            tally = _Tally()
+            for own, packed in zip(keys, asked.column("counts").to_pylist(), strict=True):
+                counts = _unpacked(packed, len(own))
+                tally.parts.append((own[counts > 0], counts[counts > 0]))
+            found, counts = tally.take()
+            bits = make_filter(found, counts, steps).tobytes() if len(found) else b""
+            del found, counts, tally
+            held = Segments({0: bits}, np.asarray(known.column("word").combine_chunks()).view(np.uint64), np.asarray(known.column("count").combine_chunks()), 0, 1)
+            for chunk, segment, own, words in zip(asked.column("chunk").to_pylist(), asked.column("segment").to_pylist(), keys, asked.column("words"), strict=True):
+                out["chunk"].append(chunk)
+                out["segment"].append(segment)
+                out["steps"].append(np.minimum(held.steps(own, np.zeros(len(own), np.int64)), 255).astype(np.uint8).tobytes())
+                out["counts"].append(_packed(held.count(_from_planes(words.as_buffer()))))
+        return pa.table({name: pa.array(out[name], kind) for name, kind in kinds.items()})
+
+    schema = "chunk long, segment long, steps binary, counts binary"
+    return dealt.groupBy("segment").cogroup(rare.groupBy("segment")).applyInArrow(run, schema)
+
+
+def score_chunks(chunks: DataFrame, answers: DataFrame, texts: DataFrame, sent: Broadcast) -> DataFrame:
+    """Every text's other columns, ``n_tokens``, ``n_known``, ``base`` and ``score``, from its chunk's answers.
+
+    ``sent``: the fields of the layout and of the model.
+    """
+    names, schema = _kinds(texts)
+
+    def run(chunk: pa.Table, answers: pa.Table) -> pa.Table:
+        layout, model = Layout(*sent.value[0]), Model(*sent.value[1])
+        table, words, first = _chunk_words(chunk.column("body")[0].as_buffer(), Hasher(SPACED))
+        answers = answers.sort_by("segment")
+        common = Segments({}, layout.frequent, layout.counts, 0, 0)
+
+        def counts_of(unique: np.ndarray) -> np.ndarray:
+            out = common.count(unique)
+            rare = np.flatnonzero(~layout.is_frequent(unique))
+            order, cuts = _by_segment(unique[rare], layout.of(unique[rare]), layout.segments)
+            many = np.diff(cuts)[answers.column("segment").to_numpy()]
+            out[rare[order]] = np.concatenate([_unpacked(x, n) for x, n in zip(answers.column("counts").to_pylist(), many, strict=True)])
+            return out
+
+        def steps_of(keys: np.ndarray, second: np.ndarray, count: np.ndarray) -> np.ndarray:
+            out = np.zeros(len(keys), np.int64)
+            order, _ = _by_segment(keys, layout.of_bigrams(keys, second), layout.segments)
+            out[order] = np.concatenate([np.frombuffer(x, np.uint8) for x in answers.column("steps").to_pylist()])
+            return out
+
+        out = model.scores(words, first, counts_of, steps_of)
+        return pa.Table.from_batches([_scored([table.column(c).combine_chunks() for c in names], names, out)])
+
+    return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(run, schema)
 
 
 def frequent_words(words: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
@@ -410,41 +607,26 @@ def score_texts(
     total, distinct, most = (int(x or 0) for x in words.agg(F.sum("count"), F.count(F.lit(1)), F.max("count")).first())
     steps = scale(max(most, 1))
     layout = Layout(max(1, -(-total // segment_words)), *frequent_words(words, frequent))
-    filters = stored(build_filters(deal_bigrams(learnt, layout), steps), "lm-filters")
+    model = (total, distinct, np.concatenate([[0], steps]), prior)
+    fields = (layout.segments, layout.frequent, layout.counts)
     place = F.pmod(F.shiftrightunsigned("word", 20), F.lit(layout.segments).cast("long"))
-    rare_from = words if len(layout.counts) == 0 else words.filter(F.col("count") < int(layout.counts.min()))
+    rare = words if len(layout.counts) == 0 else words.filter(F.col("count") < int(layout.counts.min()))
     width = 8 + _width(int(layout.counts.min()) if len(layout.counts) else most).itemsize
-    sizes = rare_from.groupBy(place.alias("segment")).agg((F.count(F.lit(1)) * width).alias("size"))
-    largest = filters.select("segment", "size").unionByName(sizes).groupBy("segment").agg(F.sum("size").alias("size")).agg(F.max("size")).first()[0] or 1
-    at_once = max(1, broadcast_bytes // int(largest))
-    keyed = rows.withColumns({"_a": F.xxhash64("text"), "_b": F.xxhash64(F.lit(1), "text")})
-    parts = None
-    for low in range(0, layout.segments, at_once):
-        high = min(low + at_once, layout.segments)
-        own = filters.filter(F.col("segment").between(low, high - 1)).select("segment", "bits").toArrow()
-        near = rare_from.filter(place.between(low, high - 1)).select("word", "count").toArrow()
+    context = docs.sparkSession.sparkContext
+    # A bigram has at most as many entries in its filter as it has occurrences.
+    if total * BITS // 8 + distinct * width <= broadcast_bytes:
+        filters = stored(build_filters(deal_bigrams(learnt, layout), steps), "lm-filters")
+        own, near = filters.select("segment", "bits").toArrow(), rare.select("word", "count").toArrow()
         bits = dict(zip(own.column("segment").to_pylist(), own.column("bits").to_pylist(), strict=True))
         hashes = np.asarray(near.column("word").combine_chunks()).view(np.uint64) if near.num_rows else np.zeros(0, np.uint64)
         counts = np.asarray(near.column("count").combine_chunks()) if near.num_rows else np.zeros(0, np.int64)
-        sent = docs.sparkSession.sparkContext.broadcast(
-            ((layout.segments, layout.frequent, layout.counts), vars(Segments(bits, hashes, counts, low, high)))
-        )
-        del own, near, bits, hashes, counts
-        found = score_round(keyed, sent, total, distinct, steps, low == 0, prior)
-        if high == layout.segments and low == 0:
-            parts = found
-        else:
-            found = stored(found, "lm-round")
-            sent.unpersist()
-            parts = found if parts is None else parts.unionByName(found)
-    if layout.segments > at_once:
-        # Equal rows have equal parts in every round: the sum over rounds and rows, divided by the rows.
-        rounds = -(-layout.segments // at_once)
-        rows_of = F.count(F.lit(1)) / rounds
-        sums = parts.groupBy("id", "_a", "_b").agg(*[(F.sum(c) / rows_of).alias(c) for c in ("n_tokens", "n_known", "base", "score")])
-        sums = sums.withColumns({c: F.round(c).cast("long") for c in ("n_tokens", "n_known")}).withColumnsRenamed({c: f"_{c}" for c in ("id", "_a", "_b")})
-        same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("_a") == F.col("__a")) & (F.col("_b") == F.col("__b"))
-        parts = keyed.drop("text").join(stored(sums, "lm-sums"), same)
+        parts = score_broadcast(rows, context.broadcast((fields, vars(Segments(bits, hashes, counts, 0, layout.segments)), model)))
+    else:
+        chunks = stored(pack_texts(rows), "lm-texts")
+        dealt = deal_chunks(chunks, context.broadcast(fields))
+        answers = stored(answer_chunks(dealt, rare.select(place.alias("segment"), "word", "count"), steps), "lm-answers")
+        release(words)
+        parts = score_chunks(chunks, answers, rows, context.broadcast((fields, model)))
     return parts.select(
         F.col("id").alias(id_column),
         "held_out",

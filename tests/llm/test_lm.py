@@ -83,6 +83,30 @@ def test_rounds_do_not_change_scores(spark):
     assert keyed(scored(spark, rows, **options)) == keyed(scored(spark, rows, 2, broadcast_bytes=1, **options))
 
 
+def test_texts_are_not_read_more_often_for_more_segments(spark, monkeypatch):
+    """As many intermediate results for many segments as for few, equal scores, and none of the filters at the driver."""
+    rows, stored, made = corpus(60, 6), lm.stored, []
+    monkeypatch.setattr(lm, "stored", lambda df, name: made.append(name) or stored(df, name))
+    keyed = lambda found: sorted((str(r[0]), r[1], r[2], r[3], round(r[5], 6), round(r[6], 6)) for r in found)
+    whole = keyed(scored(spark, rows, segment_words=2000, frequent=5))
+    made.clear()
+    assert keyed(scored(spark, rows, segment_words=2000, frequent=5, broadcast_bytes=1)) == whole
+    few = list(made)
+    made.clear()
+    scored(spark, rows, segment_words=200, frequent=5, broadcast_bytes=1)
+    assert made == few and "lm-filters" not in few
+
+
+def test_chunks_of_texts(spark, monkeypatch):
+    """Chunks smaller and larger than a text, with rows that repeat, give the scores of one broadcast."""
+    rows = corpus(80, 8)
+    keyed = lambda found: sorted((str(r[0]), r[1], r[2], r[3], round(r[5], 6), round(r[6], 6)) for r in found)
+    whole = keyed(scored(spark, rows, segment_words=3000, frequent=5))
+    for size in (1, 2000):
+        monkeypatch.setattr(lm, "CHUNK_BYTES", size)
+        assert keyed(scored(spark, rows, 3, segment_words=3000, frequent=5, broadcast_bytes=1)) == whole
+
+
 def test_no_rows_and_no_training(spark):
     assert scored(spark, []) == []
     rows = [(None, "a b", "", 0, 0), (None, None, "", 0, 0)]
