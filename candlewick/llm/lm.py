@@ -3,7 +3,7 @@
 Words are counted exactly; bigram counts are quantised by a geometric scale and kept in a Bloom filter that holds a
 bigram once for every step up to its own. A count is read by probing step after step until one is missing. The filter
 comes in segments, made where their bigrams meet in the shuffle. Filters and counts that fit ``broadcast_bytes`` together
-are broadcast and the texts scored in one pass. Larger ones stay where they were made: texts are stored in chunks, every chunk's distinct
+(as a rule what Spark's own joins may broadcast) are broadcast and the texts scored in one pass. Larger ones stay where they were made: texts are stored in chunks, every chunk's distinct
 words and bigrams go to their segments, which make their filters and answer each chunk, and each chunk is scored from
 its answers. So no text is read more often, and nothing larger is sent to the driver, as the corpus grows.
 
@@ -37,8 +37,8 @@ ADDED = 0.1
 PRIOR, RATIO = 1000.0, 1.25
 #: Bits of the filter for each entry, and probes for one.
 BITS, PROBES = 10, 6
-#: Training words for one segment, words whose counts go to every task, bytes of filters and counts broadcast at most.
-SEGMENT_WORDS, FREQUENT, BROADCAST_BYTES = 1 << 21, 1 << 16, 40 << 20
+#: Training words for one segment, words whose counts go to every task.
+SEGMENT_WORDS, FREQUENT = 1 << 21, 1 << 16
 #: Distinct words or bigrams that a task holds before it passes them on.
 HELD = 1 << 20
 #: A text of more bytes is hashed in parts that end at a separator.
@@ -190,10 +190,15 @@ class Layout:
     frequent: np.ndarray
     counts: np.ndarray
 
-    def is_frequent(self, words: np.ndarray) -> np.ndarray:
+    def places(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The place of each word among the frequent ones, and which words are there at all."""
         if len(self.frequent) == 0:
-            return np.zeros(len(words), bool)
-        return self.frequent[np.minimum(np.searchsorted(self.frequent, words), len(self.frequent) - 1)] == words
+            return np.zeros(len(words), np.int64), np.zeros(len(words), bool)
+        at = np.minimum(np.searchsorted(self.frequent, words), len(self.frequent) - 1)
+        return at, self.frequent[at] == words
+
+    def is_frequent(self, words: np.ndarray) -> np.ndarray:
+        return self.places(words)[1]
 
     def of(self, hashes: np.ndarray) -> np.ndarray:
         return ((hashes >> np.uint64(20)) % np.uint64(self.segments)).astype(np.int64)
@@ -464,10 +469,17 @@ def _by_segment(values: np.ndarray, segment: np.ndarray, segments: int) -> tuple
     return order, np.searchsorted(segment[order], np.arange(segments + 1))
 
 
+def _keys_of_pairs(pairs: np.ndarray, frequent: np.ndarray, rare: np.ndarray) -> np.ndarray:
+    """The keys of bigrams given by numbers: the second word's (the frequent words, then the rare ones sent along), then the frequent word's before it."""
+    second, before = np.divmod(pairs, np.uint64(max(len(frequent), 1)))
+    return _bigrams(frequent[before.astype(np.int64)], np.concatenate([frequent, rare])[second.astype(np.int64)])
+
+
 def deal_chunks(chunks: DataFrame, sent: Broadcast) -> DataFrame:
-    """A chunk's distinct bigrams (``keys``, and ``counts`` in training) and rare words (``words``) of each segment, packed.
+    """A chunk's distinct bigrams and rare words (``words``) of each segment, packed.
 
-    ``sent``: the fields of the layout. Words and keys are in the order of their hashes, which the answers keep.
+    ``sent``: the fields of the layout. A bigram after a frequent word is sent as the numbers of its two words (``pairs``), which take less than half
+    of a hash, any other one by its hash (``keys``). ``counts`` in training, words and answers are in the order of the hashes.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -480,12 +492,19 @@ def deal_chunks(chunks: DataFrame, sent: Broadcast) -> DataFrame:
                 keys, at, back = _distinct(_bigrams(_before(words), words))
                 counts = np.bincount(back[train], minlength=len(keys))
                 del back, train
-                second, unique = words[at], np.unique(words)
+                unique, second, before = np.unique(words), words[at], _before(words)[at]
                 del words, at
-                rare = unique[~layout.is_frequent(unique)]
+                number_of, common = layout.places(unique)
+                rare, many = unique[~common], np.uint64(len(layout.frequent))
                 by_word, word_cuts = _by_segment(rare, layout.of(rare), layout.segments)
+                own = np.empty(len(rare), np.int64)  # a rare word's place in its segment's list
+                own[by_word] = np.arange(len(rare)) - np.repeat(word_cuts[:-1], np.diff(word_cuts))
+                number_of[~common] = own + len(layout.frequent)
                 by_key, key_cuts = _by_segment(keys, layout.of_bigrams(keys, second), layout.segments)
-                rare, keys, counts = rare[by_word], keys[by_key], counts[by_key]
+                first_number, paired = layout.places(before)
+                pairs = number_of[np.searchsorted(unique, second)].astype(np.uint64) * many + first_number.astype(np.uint64)
+                del unique, second, before, own, number_of, common, first_number
+                rare, keys, counts, pairs, paired = rare[by_word], keys[by_key], counts[by_key], pairs[by_key], paired[by_key]
                 full = np.flatnonzero(np.diff(key_cuts))  # a word's segment has a bigram that ends with it
                 spans = [(slice(*word_cuts[s : s + 2]), slice(*key_cuts[s : s + 2])) for s in full]
                 yield pa.RecordBatch.from_arrays(
@@ -493,26 +512,31 @@ def deal_chunks(chunks: DataFrame, sent: Broadcast) -> DataFrame:
                         pa.array(full, pa.int64()),
                         pa.array([number.as_py()] * len(full), pa.int64()),
                         pa.array([_planes(rare[w]) for w, _ in spans], pa.binary()),
-                        pa.array([_planes(keys[k]) for _, k in spans], pa.binary()),
+                        pa.array([_planes(np.sort(pairs[k][paired[k]])) for _, k in spans], pa.binary()),
+                        pa.array([_planes(keys[k][~paired[k]]) for _, k in spans], pa.binary()),
                         pa.array([_packed(counts[k]) for _, k in spans], pa.binary()),
                     ],
-                    names=["segment", "chunk", "words", "keys", "counts"],
+                    names=["segment", "chunk", "words", "pairs", "keys", "counts"],
                 )
 
-    return chunks.mapInArrow(run, "segment long, chunk long, words binary, keys binary, counts binary")
+    return chunks.mapInArrow(run, "segment long, chunk long, words binary, pairs binary, keys binary, counts binary")
 
 
-def answer_chunks(dealt: DataFrame, rare: DataFrame, steps: np.ndarray) -> DataFrame:
+def answer_chunks(dealt: DataFrame, rare: DataFrame, steps: np.ndarray, sent: Broadcast) -> DataFrame:
     """For every chunk and segment the ``steps`` of its bigrams in the segment's filter and the ``counts`` of its rare words.
 
-    ``rare``: ``segment``, ``word`` and ``count``. What meets in one task is bounded by ``SEGMENT_WORDS``.
+    ``rare``: ``segment``, ``word`` and ``count``; ``sent``: the fields of the layout. What meets in one task is bounded by ``SEGMENT_WORDS``.
     """
 
     def run(asked: pa.Table, known: pa.Table) -> pa.Table:
         kinds = {"chunk": pa.int64(), "segment": pa.int64(), "steps": pa.binary(), "counts": pa.binary()}
         out: dict[str, list] = {name: [] for name in kinds}
         if asked.num_rows:
-            keys = [_from_planes(x.as_buffer()) for x in asked.column("keys")]
+            frequent = Layout(*sent.value).frequent
+            keys = []
+            for words, pairs, others in zip(asked.column("words"), asked.column("pairs"), asked.column("keys"), strict=True):
+                known_by_number = _keys_of_pairs(_from_planes(pairs.as_buffer()), frequent, _from_planes(words.as_buffer()))
+                keys.append(np.sort(np.concatenate([known_by_number, _from_planes(others.as_buffer())])))
             tally = _Tally()
             for own, packed in zip(keys, asked.column("counts").to_pylist(), strict=True):
                 counts = _unpacked(packed, len(own))
@@ -589,7 +613,7 @@ def score_texts(
     text_column: str = "text",
     prior: float = PRIOR,
     segment_words: int = SEGMENT_WORDS,
-    broadcast_bytes: int = BROADCAST_BYTES,
+    broadcast_bytes: int | None = None,
     frequent: int = FREQUENT,
 ) -> DataFrame:
     """Every text's base-10 log probability, from the rows where ``training`` is true.
@@ -598,7 +622,11 @@ def score_texts(
     ``train_tokens``, ``base_score`` (single words), ``score`` (after the word before). Null and empty texts are the end alone. Texts are scored
     whole, long ones hashed in parts. Repeated rows and ids, and null ids, keep a row each, equal rows with equal scores. Without
     training rows every probability is the base model's for unknown words. An empty table gives no rows. Other columns are not read.
+
+    ``broadcast_bytes``: filters and counts that surely fit it are broadcast; ``spark.sql.autoBroadcastJoinThreshold`` if not given.
     """
+    if broadcast_bytes is None:
+        broadcast_bytes = docs.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
     text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
     train = F.coalesce(training, F.lit(False))
     rows = docs.select(F.col(id_column).alias("id"), text.alias("text"), (~train).alias("held_out"))
@@ -623,8 +651,9 @@ def score_texts(
         parts = score_broadcast(rows, context.broadcast((fields, vars(Segments(bits, hashes, counts, 0, layout.segments)), model)))
     else:
         chunks = stored(pack_texts(rows), "lm-texts")
-        dealt = deal_chunks(chunks, context.broadcast(fields))
-        answers = stored(answer_chunks(dealt, rare.select(place.alias("segment"), "word", "count"), steps), "lm-answers")
+        sent = context.broadcast(fields)
+        dealt = deal_chunks(chunks, sent)
+        answers = stored(answer_chunks(dealt, rare.select(place.alias("segment"), "word", "count"), steps, sent), "lm-answers")
         release(words)
         parts = score_chunks(chunks, answers, rows, context.broadcast((fields, model)))
     return parts.select(

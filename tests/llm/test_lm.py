@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -107,6 +108,45 @@ def test_chunks_of_texts(spark, monkeypatch):
         assert keyed(scored(spark, rows, 3, segment_words=3000, frequent=5, broadcast_bytes=1)) == whole
 
 
+def test_bigrams_after_frequent_words_are_sent_by_number(spark):
+    """What is dealt to the segments takes well under a hash a bigram, and gives back every key in the order of the answers."""
+    rng = random.Random(9)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    texts = [" ".join(rng.choice(vocabulary) for _ in range(500)) for _ in range(60)]
+    rows = spark.createDataFrame([(x, i % 10 == 0) for i, x in enumerate(texts)], "text string, held_out boolean").coalesce(1)
+    hasher = lm.Hasher(lm.SPACED)
+    hashed = np.unique(np.append(hasher.words(np.frombuffer(" ".join(vocabulary[:2700]).encode(), np.uint8), np.zeros(1, np.int64))[0], lm.END))
+    layout = lm.Layout(7, hashed, np.full(len(hashed), 100))
+    sent = spark.sparkContext.broadcast((layout.segments, layout.frequent, layout.counts))
+    dealt = lm.deal_chunks(lm.pack_texts(rows), sent).collect()
+    words = np.concatenate([np.append(hasher.words(np.frombuffer(x.encode(), np.uint8), np.zeros(1, np.int64))[0], lm.END) for x in texts])
+    keys, at = np.unique(lm._bigrams(lm._before(words), words), return_index=True)
+    segment = layout.of_bigrams(keys, words[at])
+    size = 0
+    for row in dealt:
+        pairs, others, own = (lm._from_planes(pa.py_buffer(row[x])) for x in ("pairs", "keys", "words"))
+        found = np.sort(np.concatenate([lm._keys_of_pairs(pairs, layout.frequent, own), others]))
+        assert (found == keys[segment == row["segment"]]).all()
+        size += sum(len(pa.compress(row[x], "lz4_raw", asbytes=True)) for x in ("pairs", "keys"))
+    assert sum(len(row["counts"]) for row in dealt) >= len(keys) > 0.9 * len(words)
+    assert size <= 5 * len(keys)
+
+
+def test_broadcasts_follow_the_setting_of_spark(spark, monkeypatch):
+    rows, stored, made = corpus(40, 3), lm.stored, []
+    monkeypatch.setattr(lm, "stored", lambda df, name: made.append(name) or stored(df, name))
+    keyed = lambda found: sorted((str(r[0]), r[1], r[2], r[3], round(r[5], 6), round(r[6], 6)) for r in found)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    whole = keyed(scored(spark, rows))
+    assert "lm-answers" not in made
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1k")
+        assert keyed(scored(spark, rows)) == whole
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "lm-answers" in made
+
+
 def test_no_rows_and_no_training(spark):
     assert scored(spark, []) == []
     rows = [(None, "a b", "", 0, 0), (None, None, "", 0, 0)]
