@@ -10,6 +10,7 @@ import pyarrow.parquet as pq
 import pytest
 
 from candlewick.llm import extract, fingerprints, tokens, words
+from candlewick.llm import passages
 from candlewick.llm.passages import align, compact_windows
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -199,3 +200,36 @@ def test_labeller_reads_other_layouts():
             wrong += int(((extract.label(model, [blocks])[0] >= 0.5) != np.array(truth)).sum())
             total += len(truth)
     assert wrong < 0.05 * total
+
+
+def test_pairs_without_a_passage_are_given_up_at_once(monkeypatch):
+    """Where the best stretch is too short no purer one is searched for, and none is aligned unless a stretch with enough in common is long enough."""
+    calls = []
+    for name in ("_best_stretch", "_longest_stretch"):
+        own = getattr(passages, name)
+        monkeypatch.setattr(passages, name, lambda *x, own=own, name=name: calls.append(name) or own(*x))
+    rng = np.random.default_rng(5)
+    a, b = rng.integers(0, 1 << 32, 200).astype(np.uint32), rng.integers(0, 1 << 32, 200).astype(np.uint32)
+    b[:30], b[100:130] = a[20:50], a[120:150]  # two runs, both too short, with other words between them
+    assert align(a, b, 46, 0.8) == [] and calls == ["_best_stretch"]
+    calls.clear()
+    b[40:90] = a[60:110]
+    assert align(a, b, 46, 0.8) == [(60, 110, 40, 90, 1.0)]
+
+
+def test_passages_have_the_similarity_that_is_told():
+    """Random pairs: similarities are those of the sets, passages are long enough and apart, and a changed copy is found."""
+    rng = np.random.default_rng(6)
+    for _ in range(400):
+        many = int(rng.choice([30, 300, 1 << 30]))
+        a = rng.integers(0, many, rng.integers(46, 160)).astype(np.uint32)
+        b = np.concatenate([rng.integers(0, many, rng.integers(0, 50)), a, rng.integers(0, many, rng.integers(0, 50))]).astype(np.uint32)
+        changed = rng.random(len(b)) < rng.choice([0, 0.05, 0.3])
+        b[changed] = rng.integers(0, many, np.count_nonzero(changed))
+        found, before = align(a, b, 46, 0.8), 0
+        for start, end, other_start, other_end, near in found:
+            mine, theirs = set(a[start:end].tolist()), set(b[other_start:other_end].tolist())
+            assert near == len(mine & theirs) / len(mine | theirs) >= 0.8
+            assert start >= before and end - start >= 46
+            before = end
+        assert found or changed.any()
