@@ -130,6 +130,26 @@ def test_near_repeats_are_found_wherever_the_original_is(spark, monkeypatch, pla
     assert len(near - {r["doc_id"] for r in found}) <= 0.02 * len(near)
 
 
+def test_rows_do_not_grow_with_the_square_of_a_group(spark, monkeypatch):
+    rng = random.Random(11)
+    word = lambda: f"v{rng.randrange(50_000)}"
+    original = [word() for _ in range(150)]
+    rows = [(i, " ".join(w if rng.random() > 0.05 else word() for w in original)) for i in range(160)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+
+    def covered(longest):
+        monkeypatch.setattr(passages, "SHORT", longest, raising=False)
+        found = passages.repeated_passages(docs).collect()
+        assert all(r["other_id"] < r["doc_id"] and r["similarity"] >= 0.8 for r in found)
+        return found, {(r["doc_id"], w) for r in found for w in range(r["start_word"], r["end_word"])}
+
+    # Lists that go to blocks cover what pairs of all places cover, with a few rows for each document.
+    found, words = covered(8)
+    pairs, all_words = covered(1_000)
+    assert len(found) <= 12 * len(rows) and len(found) < len(pairs)
+    assert len(all_words - words) <= 0.01 * len(all_words)
+
+
 def test_passages_of_fifty_words_are_found(spark):
     rng = random.Random(8)
     word = lambda: f"v{rng.randrange(5000)}"
