@@ -217,6 +217,38 @@ def test_pairs_without_a_passage_are_given_up_at_once(monkeypatch):
     assert align(a, b, 46, 0.8) == [(60, 110, 40, 90, 1.0)]
 
 
+def test_open_places_are_aligned_only_where_a_passage_may_hold_an_open_shingle(monkeypatch):
+    """Near copies whose last shingles lie behind a change: what is passed over holds none that is not covered, and few pairs are aligned."""
+    rng = np.random.default_rng(9)
+    original, count = rng.integers(0, 1 << 32, 240).astype(np.uint32), 80
+    grams, fresh = [], []
+    for i in range(count):
+        text = original.copy()
+        for at in [222, *rng.integers(0, 215, 5)] if i else []:
+            text[at : at + 5] = rng.integers(0, 1 << 32, 5)
+        if i % 9 == 4:
+            text[100:140] = text[60:100]  # a text that repeats shingles
+        grams.append(text)
+        fresh.append(np.arange(240) >= 227 if i % 3 else rng.random(240) < 0.1)
+    rows = np.zeros(count, dtype=passages._SOUGHT)
+    rows["doc"], rows["r"], rows["open"] = np.arange(count), 239, 1
+    if "start" in rows.dtype.names:
+        rows["start"], rows["end"] = 230, 60
+    calls = []
+    monkeypatch.setattr(passages, "align", lambda *x: calls.append(1) or align(*x))
+    found = list(passages._first_partners(rows, grams, fresh, 46, 0.8))
+    covered = np.zeros((count, 240), dtype=bool)
+    for m, b, start, end, *rest in found:
+        assert b < m and (start, end, *rest) in align(grams[m], grams[b], 46, 0.8) and fresh[m][start:end].any()
+        covered[m, start:end] = True
+    for m in range(count):
+        sought = fresh[m] & np.isin(grams[m], np.concatenate(grams[:m])) if m else np.zeros(240, dtype=bool)
+        for b in range(m):
+            for start, end, *_ in align(grams[m], grams[b], 46, 0.8):
+                assert not (sought & ~covered[m])[start:end].any(), (m, b, start, end)
+    assert found and len(calls) <= 0.2 * count * (count - 1) / 2
+
+
 def test_passages_have_the_similarity_that_is_told():
     """Random pairs: similarities are those of the sets, passages are long enough and apart, and a changed copy is found."""
     rng = np.random.default_rng(6)
