@@ -19,6 +19,7 @@ a text is a word, and also what comes before its first one.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -215,8 +216,8 @@ class _Tally:
         self.size, self.merged = 0, 0
 
     def add(self, keys: np.ndarray, *more: np.ndarray) -> None:
-        at = np.argsort(keys, kind="stable")
-        keys = keys[at]
+        at = np.argsort(keys) if more else None
+        keys = keys[at] if more else np.sort(keys)
         new = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
         counts = np.diff(np.append(new, len(keys)))
         self.parts.append((keys[new], counts, *[m[at][new] for m in more]))
@@ -225,7 +226,7 @@ class _Tally:
     def merge(self) -> None:
         if len(self.parts) > 1:
             keys, counts, *more = (np.concatenate(c) for c in zip(*self.parts, strict=True))
-            at = np.argsort(keys, kind="stable")
+            at = np.argsort(keys)
             keys = keys[at]
             new = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
             sums = np.add.reduceat(counts[at], new) if len(new) else counts
@@ -350,7 +351,8 @@ class Model:
     ) -> np.ndarray:
         """``n_tokens``, ``n_known``, base and score of texts (words with ends, number of each text's first one).
 
-        ``counts_of`` gives the counts of distinct words, ``steps_of`` the filter's steps of distinct bigrams, from their keys, second words and the counts of these.
+        ``counts_of`` gives the counts of distinct words, ``steps_of`` the filter's steps of distinct bigrams, from their keys, the places of their second words
+        among the distinct ones and the counts of these.
         """
         unique, _, place = _distinct(words)
         count = counts_of(unique)
@@ -359,7 +361,7 @@ class Model:
         before = np.concatenate([[np.searchsorted(unique, END)], place[:-1]])
         keys, at, back = _distinct(_bigrams(unique[before], words))
         second = place[at]
-        step = steps_of(keys, unique[second], count[second])
+        step = steps_of(keys, second, count[second])
         quantised = np.minimum(self.values[np.minimum(step, len(self.values) - 1)], count[second])
         score = np.log10(quantised + self.prior * 10.0 ** base[second])[back] - below[before]
         return np.stack([np.diff(first).astype(float), _row_sums((count > 0)[place].astype(float), first), _row_sums(base[place], first), _row_sums(score, first)])
@@ -390,12 +392,16 @@ def score_broadcast(texts: DataFrame, sent: Broadcast) -> DataFrame:
         hasher = Hasher(SPACED)
         common = Segments({}, layout.frequent, layout.counts, 0, 0)
 
+        words = np.zeros(0, np.uint64)
+
         def counts_of(unique: np.ndarray) -> np.ndarray:
+            nonlocal words
+            words = unique
             return np.where(layout.is_frequent(unique), common.count(unique), held.count(unique))
 
         def steps_of(keys: np.ndarray, second: np.ndarray, count: np.ndarray) -> np.ndarray:
             out, seen = np.zeros(len(keys), np.int64), np.flatnonzero(count > 0)
-            out[seen] = held.steps(keys[seen], layout.of_bigrams(keys[seen], second[seen]))
+            out[seen] = held.steps(keys[seen], layout.of_bigrams(keys[seen], words[second[seen]]))
             return out
 
         for batch in batches:
@@ -465,7 +471,7 @@ def _chunk_words(body: bytes, hasher: Hasher) -> tuple[pa.Table, np.ndarray, np.
 
 def _by_segment(values: np.ndarray, segment: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray]:
     """The order of values by segment, and where each segment begins in it (one more ends)."""
-    order = np.argsort(segment, kind="stable")
+    order = np.argsort(segment.astype(np.min_scalar_type(segments)), kind="stable")  # small numbers are sorted by their digits
     return order, np.searchsorted(segment[order], np.arange(segments + 1))
 
 
@@ -492,17 +498,19 @@ def deal_chunks(chunks: DataFrame, sent: Broadcast) -> DataFrame:
                 keys, at, back = _distinct(_bigrams(_before(words), words))
                 counts = np.bincount(back[train], minlength=len(keys))
                 del back, train
-                unique, second, before = np.unique(words), words[at], _before(words)[at]
-                del words, at
+                # Words are looked up once each; a bigram has their places.
+                unique, _, place = _distinct(words)
+                second, before = place[at], np.concatenate([[np.searchsorted(unique, END)], place[:-1]])[at] if len(place) else place
+                del words, at, place
                 number_of, common = layout.places(unique)
+                first_number, paired = number_of.astype(np.uint64)[before], common[before]
                 rare, many = unique[~common], np.uint64(len(layout.frequent))
                 by_word, word_cuts = _by_segment(rare, layout.of(rare), layout.segments)
                 own = np.empty(len(rare), np.int64)  # a rare word's place in its segment's list
                 own[by_word] = np.arange(len(rare)) - np.repeat(word_cuts[:-1], np.diff(word_cuts))
                 number_of[~common] = own + len(layout.frequent)
-                by_key, key_cuts = _by_segment(keys, layout.of_bigrams(keys, second), layout.segments)
-                first_number, paired = layout.places(before)
-                pairs = number_of[np.searchsorted(unique, second)].astype(np.uint64) * many + first_number.astype(np.uint64)
+                by_key, key_cuts = _by_segment(keys, layout.of(np.where(common[second], keys, unique[second])), layout.segments)
+                pairs = number_of[second].astype(np.uint64) * many + first_number
                 del unique, second, before, own, number_of, common, first_number
                 rare, keys, counts, pairs, paired = rare[by_word], keys[by_key], counts[by_key], pairs[by_key], paired[by_key]
                 full = np.flatnonzero(np.diff(key_cuts))  # a word's segment has a bigram that ends with it
@@ -533,23 +541,26 @@ def answer_chunks(dealt: DataFrame, rare: DataFrame, steps: np.ndarray, sent: Br
         out: dict[str, list] = {name: [] for name in kinds}
         if asked.num_rows:
             frequent = Layout(*sent.value).frequent
-            keys = []
-            for words, pairs, others in zip(asked.column("words"), asked.column("pairs"), asked.column("keys"), strict=True):
-                known_by_number = _keys_of_pairs(_from_planes(pairs.as_buffer()), frequent, _from_planes(words.as_buffer()))
+            keys, words = [], [_from_planes(x.as_buffer()) for x in asked.column("words")]
+            for own, pairs, others in zip(words, asked.column("pairs"), asked.column("keys"), strict=True):
+                known_by_number = _keys_of_pairs(_from_planes(pairs.as_buffer()), frequent, own)
                 keys.append(np.sort(np.concatenate([known_by_number, _from_planes(others.as_buffer())])))
-            tally = _Tally()
-            for own, packed in zip(keys, asked.column("counts").to_pylist(), strict=True):
-                counts = _unpacked(packed, len(own))
-                tally.parts.append((own[counts > 0], counts[counts > 0]))
-            found, counts = tally.take()
-            bits = make_filter(found, counts, steps).tobytes() if len(found) else b""
-            del found, counts, tally
+            counts = np.concatenate([_unpacked(packed, len(own)) for own, packed in zip(keys, asked.column("counts").to_pylist(), strict=True)])
+            cuts, word_cuts = (np.cumsum([0, *map(len, x)]) for x in (keys, words))
+            # A bigram is probed once, however many chunks ask for it.
+            unique, _, place = _distinct(np.concatenate(keys))
+            del keys
+            sums = np.zeros(len(unique), np.int64)
+            np.add.at(sums, place, counts)
+            found = np.flatnonzero(sums)
+            bits = make_filter(unique[found], sums[found], steps).tobytes() if len(found) else b""
+            del counts, sums, found
             held = Segments({0: bits}, np.asarray(known.column("word").combine_chunks()).view(np.uint64), np.asarray(known.column("count").combine_chunks()), 0, 1)
-            for chunk, segment, own, words in zip(asked.column("chunk").to_pylist(), asked.column("segment").to_pylist(), keys, asked.column("words"), strict=True):
-                out["chunk"].append(chunk)
-                out["segment"].append(segment)
-                out["steps"].append(np.minimum(held.steps(own, np.zeros(len(own), np.int64)), 255).astype(np.uint8).tobytes())
-                out["counts"].append(_packed(held.count(_from_planes(words.as_buffer()))))
+            probed = np.minimum(held.steps(unique, np.zeros(len(unique), np.int64)), 255).astype(np.uint8)[place]
+            counts = held.count(np.concatenate(words))
+            out["chunk"], out["segment"] = asked.column("chunk").to_pylist(), asked.column("segment").to_pylist()
+            out["steps"] = [probed[low:high].tobytes() for low, high in itertools.pairwise(cuts.tolist())]
+            out["counts"] = [_packed(counts[low:high]) for low, high in itertools.pairwise(word_cuts.tolist())]
         return pa.table({name: pa.array(out[name], kind) for name, kind in kinds.items()})
 
     schema = "chunk long, segment long, steps binary, counts binary"
@@ -567,19 +578,21 @@ def score_chunks(chunks: DataFrame, answers: DataFrame, texts: DataFrame, sent:
         layout, model = Layout(*sent.value[0]), Model(*sent.value[1])
         table, words, first = _chunk_words(chunk.column("body")[0].as_buffer(), Hasher(SPACED))
         answers = answers.sort_by("segment")
-        common = Segments({}, layout.frequent, layout.counts, 0, 0)
+        common, dealt_by = Segments({}, layout.frequent, layout.counts, 0, 0), ()
 
         def counts_of(unique: np.ndarray) -> np.ndarray:
-            out = common.count(unique)
-            rare = np.flatnonzero(~layout.is_frequent(unique))
+            nonlocal dealt_by
+            out, frequent = common.count(unique), layout.is_frequent(unique)
+            dealt_by = unique, frequent
+            rare = np.flatnonzero(~frequent)
             order, cuts = _by_segment(unique[rare], layout.of(unique[rare]), layout.segments)
             many = np.diff(cuts)[answers.column("segment").to_numpy()]
             out[rare[order]] = np.concatenate([_unpacked(x, n) for x, n in zip(answers.column("counts").to_pylist(), many, strict=True)])
             return out
 
         def steps_of(keys: np.ndarray, second: np.ndarray, count: np.ndarray) -> np.ndarray:
-            out = np.zeros(len(keys), np.int64)
-            order, _ = _by_segment(keys, layout.of_bigrams(keys, second), layout.segments)
+            out, (unique, frequent) = np.zeros(len(keys), np.int64), dealt_by
+            order, _ = _by_segment(keys, layout.of(np.where(frequent[second], keys, unique[second])), layout.segments)
             out[order] = np.concatenate([np.frombuffer(x, np.uint8) for x in answers.column("steps").to_pylist()])
             return out
 

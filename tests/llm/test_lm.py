@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import pytest
 from pyspark.sql import functions as F
 
@@ -132,6 +133,74 @@ def test_bigrams_after_frequent_words_are_sent_by_number(spark):
     assert size <= 5 * len(keys)
 
 
+class Frame:
+    """Gives the function that a frame would run."""
+
+    def mapInArrow(self, run, schema):
+        return run
+
+    def groupBy(self, column):
+        return self
+
+    def cogroup(self, other):
+        return self
+
+    def applyInArrow(self, run, schema):
+        return run
+
+
+class Sent:
+    def __init__(self, value):
+        self.value = value
+
+
+@pytest.mark.parametrize("many", [1, 40])
+def test_bigrams_are_probed_once_for_all_chunks(monkeypatch, many):
+    """However many chunks ask a segment, its filter is probed as often as for one, and every chunk has the answers that it has alone."""
+    rng = random.Random(12)
+    bodies = [" ".join(f"w{min(int(rng.paretovariate(0.6)), 5000)}" for _ in range(3000 // many)) for _ in range(many)]
+    hasher = lm.Hasher(lm.SPACED)
+    rows = []
+    for i, body in enumerate(bodies):
+        sink = pa.BufferOutputStream()
+        batch = pa.RecordBatch.from_pydict({"text": [body], "held_out": [i % 10 == 9]})
+        with pa.ipc.new_stream(sink, batch.schema) as writer:
+            writer.write_batch(batch)
+        rows.append((i, sink.getvalue().to_pybytes()))
+    words, counts = np.unique(np.concatenate([lm._chunk_words(pa.py_buffer(x), hasher)[1] for _, x in rows]), return_counts=True)
+    layout = lm.Layout(3, words[counts >= 20], counts[counts >= 20])
+    sent, steps = Sent((layout.segments, layout.frequent, layout.counts)), lm.scale(10_000)
+    chunks = pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows], pa.int64()), pa.array([x for _, x in rows], pa.binary())], names=["chunk", "body"])
+    dealt = pa.Table.from_batches(list(lm.deal_chunks(Frame(), sent)(iter([chunks]))))
+    calls, probe = [], lm._probe
+    monkeypatch.setattr(lm, "_probe", lambda *x: calls.append(1) or probe(*x))
+    answer = lm.answer_chunks(Frame(), Frame(), steps, sent)
+    rare, rare_counts = words[counts < 20], counts[counts < 20]
+    for segment in range(3):
+        asked = dealt.filter(pa.compute.equal(dealt.column("segment"), segment))
+        mine = layout.of(rare) == segment
+        known = pa.table({"segment": pa.array([segment] * int(mine.sum()), pa.int64()), "word": pa.array(rare[mine].view(np.int64)), "count": pa.array(rare_counts[mine])})
+        calls.clear()
+        found = answer(asked, known)
+        assert asked.num_rows == many == found.num_rows and found.column("chunk").to_pylist() == asked.column("chunk").to_pylist()
+        # Both making and asking the filter take PROBES for a step of the most frequent bigram, and one more step that fails.
+        assert len(calls) <= 2 * lm.PROBES * (len(lm.scale(3000)) + 1)
+        tally = {}
+        own = []
+        for row in asked.to_pylist():
+            rare_words, pairs, others = (lm._from_planes(pa.py_buffer(row[x])) for x in ("words", "pairs", "keys"))
+            keys = np.sort(np.concatenate([lm._keys_of_pairs(pairs, layout.frequent, rare_words), others]))
+            own.append((keys, rare_words))
+            for key, n in zip(keys.tolist(), lm._unpacked(row["counts"], len(keys)).tolist(), strict=True):
+                tally[key] = tally.get(key, 0) + n
+        learnt = {key: n for key, n in tally.items() if n}
+        bits = lm.make_filter(np.array(list(learnt), np.uint64), np.array(list(learnt.values())), steps).tobytes()
+        held = lm.Segments({0: bits}, rare[mine], rare_counts[mine], 0, 1)
+        for (keys, rare_words), row in zip(own, found.to_pylist(), strict=True):
+            assert (np.frombuffer(row["steps"], np.uint8) == held.steps(keys, np.zeros(len(keys), np.int64))).all()
+            assert (lm._unpacked(row["counts"], len(rare_words)) == held.count(rare_words)).all()
+
+
 def test_broadcasts_follow_the_setting_of_spark(spark, monkeypatch):
     rows, stored, made = corpus(40, 3), lm.stored, []
     monkeypatch.setattr(lm, "stored", lambda df, name: made.append(name) or stored(df, name))
