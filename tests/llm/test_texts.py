@@ -249,6 +249,53 @@ def test_open_places_are_aligned_only_where_a_passage_may_hold_an_open_shingle(m
     assert found and len(calls) <= 0.2 * count * (count - 1) / 2
 
 
+class Frame:
+    """Takes the functions that a frame would run."""
+
+    def __init__(self):
+        self.runs = []
+
+    def mapInArrow(self, run, schema):
+        self.runs.append(run)
+        return self
+
+    def repartitionById(self, parts, column):
+        return self
+
+
+def test_long_lists_are_cut_into_parts_in_proportion(monkeypatch):
+    """A list of many parts is dealt out a few times, not once for each two parts, and like places share a part."""
+    monkeypatch.setattr(passages, "PART", 16)
+    rng = np.random.default_rng(3)
+    rows = np.zeros(1600, dtype=passages._PLACE)
+    rows["doc"], rows["open"], rows["key"] = rng.permutation(1600), 1, 77
+    for name in passages._SIDES:
+        rows[name] = np.repeat(rng.integers(1, 1 << 16, 800), 2)
+    frame = Frame()
+    passages.open_links(frame, 4, 2)
+    cut, link = frame.runs
+    packed = pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([rows.tobytes()], pa.binary())], names=["part", "body"])
+    blocks = list(cut(iter([packed])))
+    assert sum(len(body.as_py()) for batch in blocks for body in batch.column(1)) <= 4 * len(rows) * rows.dtype.itemsize
+    links = passages._unpack(link(iter(blocks)), passages._LINK)
+    pairs = {tuple(sorted(rows["doc"][i : i + 2].tolist(), reverse=True)) for i in range(0, 1600, 2)}
+    assert len(pairs & set(zip(links["doc"].tolist(), links["other"].tolist(), strict=True))) >= 0.95 * len(pairs)
+
+
+@pytest.mark.parametrize("pieces", [1, 2, 8])
+def test_pieces_of_a_block_meet_once(pieces):
+    """Every open place meets every other one of its block under one key, whatever the number of pieces."""
+    rows = np.zeros(60, dtype=passages._SOUGHT)
+    rows["doc"], rows["open"], rows["key"], rows["pieces"] = np.arange(60), np.arange(60) % 3 > 0, 5, pieces
+    rows = passages._in_pieces(rows)
+    seen = []
+    for key in np.unique(rows["key"]):
+        own = rows[rows["key"] == key]
+        seen += [(m, b) for m in own["doc"][(own["open"] == 1) & (own["side"] != 2)] for b in own["doc"][own["side"] != 1] if m != b]
+    assert sorted(seen) == [(m, b) for m in range(60) if m % 3 > 0 for b in range(60) if m != b]
+    assert len(np.unique(rows["key"])) == pieces**2 and len(rows) <= 60 * 2 * pieces
+
+
 def test_passages_have_the_similarity_that_is_told():
     """Random pairs: similarities are those of the sets, passages are long enough and apart, and a changed copy is found."""
     rng = np.random.default_rng(6)
