@@ -274,8 +274,7 @@ def test_long_lists_are_cut_into_parts_in_proportion(monkeypatch):
     frame = Frame()
     passages.open_links(frame, 4, 2)
     cut, link = frame.runs
-    packed = pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([rows.tobytes()], pa.binary())], names=["part", "body"])
-    blocks = list(cut(iter([packed])))
+    blocks = list(cut(iter([passages._by_part(rows, np.zeros(len(rows), np.int64), 1)])))
     assert sum(len(body.as_py()) for batch in blocks for body in batch.column(1)) <= 4 * len(rows) * rows.dtype.itemsize
     links = passages._unpack(link(iter(blocks)), passages._LINK)
     pairs = {tuple(sorted(rows["doc"][i : i + 2].tolist(), reverse=True)) for i in range(0, 1600, 2)}
